@@ -77,9 +77,7 @@ def price_by_storage(spark, sf_dir):
     ads = v.phones(spark, sf_dir)
     text = t.listing_text(F.col("info.title"), F.col("info.description"))
     return (
-        ads.select(text.alias("text"), "cost.price")
-        .select(storage.storage_gb(F.col("text")).alias("storage_gb"), "price")
-        .filter("storage_gb > 0 AND price >= 0")
+        storage.with_storage(ads.select(text.alias("text"), "cost.price").filter("price >= 0"))
         .groupBy("storage_gb")
         .agg(
             F.count("*").alias("n_ads"),
@@ -149,7 +147,7 @@ def outer_attach(spark, sf_dir):
 
 @query("dict_brands", v.with_(v.BRANDS_SQL) + "SELECT brand, pattern FROM brands")
 def dict_brands(spark, sf_dir):
-    return v.brands(spark, sf_dir)
+    return dictionary.clean_brands(v.raw_brands(spark, sf_dir))
 
 
 @query("dict_catalog", v.with_(v.MODELS_SQL) + "SELECT brand, model, url FROM models")
@@ -160,7 +158,7 @@ def dict_catalog(spark, sf_dir):
 
 @query("dict_models", v.with_(v.MODELS_SQL) + "SELECT brand, model, pattern, length, url FROM models")
 def dict_models(spark, sf_dir):
-    return v.models(spark, sf_dir)
+    return dictionary.clean_models(v.raw_models(spark, sf_dir))
 
 
 @query(

@@ -17,6 +17,7 @@ from mercato.functions.text import compact_length, norm_text, to_pattern
 from mercato.operators import conform, dictionary
 from mercato.operators.matching import listing_texts
 from mercato.sources.readers import table
+from mercato.sources.tables import stage
 
 RUN = datetime(2026, 1, 1)
 RUN_SQL = "TIMESTAMP '2026-01-01 00:00:00'"
@@ -90,7 +91,8 @@ def ads(spark: SparkSession, sf_dir: str, place: bool = False) -> DataFrame:
             F.col("o_totalprice").alias("total"),
             F.col("o_orderdate").cast("date").alias("day"),
         )
-        .join(first_part, F.col("k") == F.col("l_orderkey"))
+        # both sides grow with the data: never a broadcast, however small a test table is
+        .join(first_part.hint("merge"), F.col("k") == F.col("l_orderkey"))
         .join(table(spark, sf_dir, "part").drop("p_retailprice"), "p_partkey")
     )
     if place:
@@ -150,11 +152,12 @@ def raw_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dictionary.clean_brands(raw_brands(spark, sf_dir))
+    """The cleaned dictionary as the table the matching reads, written once."""
+    return stage(dictionary.clean_brands(raw_brands(spark, sf_dir)), "brands")
 
 
 def models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dictionary.clean_models(raw_models(spark, sf_dir))
+    return stage(dictionary.clean_models(raw_models(spark, sf_dir)), "models")
 
 
 # -- the same in DuckDB SQL

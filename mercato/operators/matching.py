@@ -116,9 +116,8 @@ def _literal_pass(
 
 
 def _indexed_pass(
-    texts: DataFrame, plain: DataFrame, fields: Sequence[str], on: Sequence[str], keep_all: bool
+    texts: DataFrame, plain: DataFrame, longest: int, fields: Sequence[str], on: Sequence[str], keep_all: bool
 ) -> DataFrame:
-    longest = plain.agg(F.max(F.size(F.split("words", " ")))).first()[0] or 1
     lookup = plain.withColumn("words", F.replace("words", F.lit(" "), F.lit("")))
     runs = word_runs(F.col("tokens"), longest)
     if keep_all:  # one more run per text that no word equals, its own so that these rows spread out
@@ -152,19 +151,25 @@ def dictionary_hits(
     several word runs comes once per run. ``keep_all`` keeps texts without hits as a row of NULL
     fields (texts with hits may have such a row too)."""
     dictionary = dictionary.select(*on, *fields, "pattern")
-    entries = read_small(dictionary, BLOCK)
-    if entries == []:
+    indexed = dictionary.withColumn("words", pattern_words(F.col("pattern")))
+    words_in = F.array_max(F.transform("words", lambda w: F.size(F.split(w, " "))))
+    size = indexed.agg(
+        F.count("*").alias("entries"),
+        F.count_if(F.col("words").isNull()).alias("regexes"),
+        F.max(words_in).alias("longest"),
+    ).first()
+    if size["entries"] == 0:
         rows = texts if keep_all else texts.limit(0)
         return rows.select("id", *on, *_typed_nulls(dictionary, fields))
-    if entries is not None:
-        return _literal_pass(texts, entries, fields, on, keep_all)[0]
-
-    indexed = dictionary.withColumn("words", pattern_words(F.col("pattern")))
-    regexes = read_small(indexed.filter("words IS NULL").drop("words"), MAX_REGEXES)
-    if regexes is None:
+    if size["entries"] <= BLOCK:
+        return _literal_pass(texts, dictionary.limit(BLOCK).collect(), fields, on, keep_all)[0]
+    if size["regexes"] > MAX_REGEXES:
         raise ValueError(f"dictionary holds more than {MAX_REGEXES} patterns that are not plain words")
+    regexes = []
+    if size["regexes"]:
+        regexes = indexed.filter("words IS NULL").drop("words").limit(MAX_REGEXES).collect()
     plain = indexed.select(*on, *fields, "pattern", F.explode("words").alias("words"))
-    found = _indexed_pass(texts, plain, fields, on, keep_all)
+    found = _indexed_pass(texts, plain, size["longest"] or 1, fields, on, keep_all)
     return reduce(DataFrame.unionByName, _literal_pass(texts, regexes, fields, on, False), found)
 
 
@@ -178,7 +183,7 @@ def first_matches(texts: DataFrame, dictionary: DataFrame, fields: Sequence[str]
         return rows.select("id", *[F.col(f"h.{f}") for f in fields], F.col("h.pos").alias("match_pos"))
     hits = dictionary_hits(texts, dictionary, fields)
     first = hits.groupBy("id", *fields).agg(F.min(F.struct("tok", "off")).alias("p"))
-    before = F.length(F.substring_index(F.col("text"), F.lit(" "), F.col("p.tok"))) + 1
+    before = F.length(F.expr("substring_index(text, ' ', p.tok)")) + 1
     pos = F.when(F.col("p.tok") > 0, before).otherwise(0) + F.col("p.off") + 1
     return first.join(texts, "id").select("id", *fields, pos.alias("match_pos"))
 
@@ -187,11 +192,11 @@ def multi_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRAND
     """(id, n_brands) of the texts rejected for naming too many brands."""
     entries = read_small(brands.select("brand", "pattern"), BLOCK)
     if entries:
-        n = F.size(literal_hits(F.col("text"), entries, ["brand"]))
-        counted = texts.select("id", n.cast("bigint").alias("n_brands"))
-    else:
-        hits = dictionary_hits(texts, brands, ["brand"])
-        counted = hits.distinct().groupBy("id").agg(F.count_distinct("brand").alias("n_brands"))
+        n = F.size(literal_hits(F.col("text"), entries, ["brand"])).cast("bigint")
+        many = F.filter(F.array(n), lambda size: size > max_brands)
+        return texts.select("id", F.explode(many).alias("n_brands"))
+    hits = dictionary_hits(texts, brands, ["brand"])
+    counted = hits.groupBy("id").agg(F.count_distinct("brand").alias("n_brands"))
     return counted.filter(F.col("n_brands") > max_brands)
 
 
@@ -206,18 +211,25 @@ def listing_texts(listings: DataFrame) -> DataFrame:
     )
 
 
+def _leaders(hits: Column, max_brands: int) -> Column:
+    """The brands at the smallest position among the hits of a text; none of too many. The hits are
+    bound once, as the element of a one-element array."""
+
+    def pick(found: Column) -> Column:
+        first = F.array_min(F.transform(found, lambda h: h["pos"]))
+        names = F.transform(F.filter(found, lambda h: h["pos"] == first), lambda h: h["brand"])
+        return F.when(F.size(found) <= max_brands, F.array_distinct(names))
+
+    return F.element_at(F.transform(F.array(hits), pick), 1)
+
+
 def attach_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRANDS_PER_AD) -> DataFrame:
     """(id, text, brand) of the brand named first; all of them when several start at the same place.
     Texts naming more than ``max_brands`` brands are left out."""
     entries = read_small(brands.select("brand", "pattern"), BLOCK)
     if entries:  # row-local: no shuffle
         hits = literal_hits(F.col("text"), entries, ["brand"])
-        row = texts.select("id", "text", hits.alias("hits")).filter(F.size("hits").between(1, max_brands))
-        first = F.array_min(F.transform("hits", lambda h: h["pos"]))
-        row = row.select("id", "text", "hits", first.alias("first"))
-        leaders = F.filter("hits", lambda h: h["pos"] == F.col("first"))
-        names = F.array_distinct(F.transform(leaders, lambda h: h["brand"]))
-        return row.select("id", "text", F.explode(names).alias("brand"))
+        return texts.select("id", "text", F.explode(_leaders(hits, max_brands)).alias("brand"))
     # brands of one text: one row per brand, so a group is bounded by the dictionary
     of_text = Window.partitionBy("id")
     hits = dictionary_hits(texts, brands, ["brand"]).repartition("id")

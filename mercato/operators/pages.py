@@ -92,39 +92,39 @@ def listing_records(pages: DataFrame, keys: list[str], html: str = "html") -> Da
     """(keys, Category, record columns, reject_reason): the typed record of a listing page, or why there
     is none: no script, not JSON, missing key, unknown type, bad value - the first that applies."""
     parsed = (
-        pages.select(*keys, json_ld(F.col(html)).alias("block"), F.col(html).rlike(_JSON_LD_TAG).alias("tagged"))
+        pages.select(*keys, json_ld(F.col(html)).alias("_block"), F.col(html).rlike(_JSON_LD_TAG).alias("_tagged"))
         .select(
             *keys,
-            "tagged",
-            F.try_parse_json(F.concat(F.lit("["), F.col("block"), F.lit("]"))).alias("listed"),
-            F.try_parse_json(F.concat(F.lit('{"d":'), F.col("block"), F.lit("}"))).alias("named"),
+            "_tagged",
+            F.try_parse_json(F.concat(F.lit("["), F.col("_block"), F.lit("]"))).alias("_listed"),
+            F.try_parse_json(F.concat(F.lit('{"d":'), F.col("_block"), F.lit("}"))).alias("_named"),
         )
         # the parser stops after one value: text that follows it breaks at least one of the wrappings
         .select(
             *keys,
-            "tagged",
+            "_tagged",
             F.when(
-                F.col("named").isNotNull() & F.try_variant_get("listed", "$[1]", "variant").isNull(),
-                F.try_variant_get("listed", "$[0]", "variant"),
-            ).alias("doc"),
+                F.col("_named").isNotNull() & F.try_variant_get("_listed", "$[1]", "variant").isNull(),
+                F.try_variant_get("_listed", "$[0]", "variant"),
+            ).alias("_doc"),
         )
     )
-    kind = F.try_variant_get("doc", "$['@type']", "string")
+    kind = F.try_variant_get("_doc", "$['@type']", "string")
     is_motorcycle = kind == "Motorcycle"
 
     def fault(path: str, as_number: bool) -> Column:
-        missing = F.when(F.try_variant_get("doc", path, "variant").isNull(), "missing key")
+        missing = F.when(F.try_variant_get("_doc", path, "variant").isNull(), "missing key")
         if not as_number:
             return missing
-        return missing.when(F.try_variant_get("doc", path, "double").isNull(), "bad value")
+        return missing.when(F.try_variant_get("_doc", path, "double").isNull(), "bad value")
 
     product_faults = [fault(path, how == "number") for _, path, how in PRODUCT_FIELDS]
     motorcycle_faults = [F.when(is_motorcycle, fault(path, how == "number")) for _, path, how in MOTORCYCLE_FIELDS]
     reason = (
-        F.when(~F.col("tagged"), "no script")
-        .when(F.col("doc").isNull(), "not JSON")
-        .when(F.try_variant_get("doc", "$", "map<string,variant>").isNull(), "bad value")
-        .when(F.try_variant_get("doc", "$['@type']", "variant").isNull(), "missing key")
+        F.when(~F.col("_tagged"), "no script")
+        .when(F.col("_doc").isNull(), "not JSON")
+        .when(F.try_variant_get("_doc", "$", "map<string,variant>").isNull(), "bad value")
+        .when(F.try_variant_get("_doc", "$['@type']", "variant").isNull(), "missing key")
         .when(kind.isNull() | ~kind.isin("Product", "Motorcycle"), "unknown type")
         .otherwise(F.coalesce(*product_faults, *motorcycle_faults))
     )
@@ -132,9 +132,9 @@ def listing_records(pages: DataFrame, keys: list[str], html: str = "html") -> Da
     good = F.col("reject_reason").isNull()
     types = {"number": "double", "text": "string"}
     columns = [
-        F.when(good, F.try_variant_get("doc", path, types[how])).alias(name) for name, path, how in PRODUCT_FIELDS
+        F.when(good, F.try_variant_get("_doc", path, types[how])).alias(name) for name, path, how in PRODUCT_FIELDS
     ] + [
-        F.when(good & is_motorcycle, F.try_variant_get("doc", path, types[how])).alias(name)
+        F.when(good & is_motorcycle, F.try_variant_get("_doc", path, types[how])).alias(name)
         for name, path, how in MOTORCYCLE_FIELDS
     ]
     return judged.select(*keys, F.when(good, kind).alias("Category"), *columns, "reject_reason")
@@ -149,9 +149,9 @@ def listing_cards(pages: DataFrame, keys: list[str], html: str = "html") -> Data
     body = element_body(F.col(html), *SEARCH_LIST)
     card = rf"""(?i)(?=<[a-z]+\b[^>]*{_attribute("data-testid", CARD_MARK)})"""
     link = rf"""(?is)(<[a-z]+\b[^>]*{_attribute("data-testid", LINK_MARK)}[^>]*>)"""
-    cards = pages.select(*keys, F.posexplode(F.split(body, card)).alias("pos", "card")).filter("pos > 0")
-    tag = F.regexp_extract("card", r"(?s)^(<[^>]*>)", 1)
-    anchor = F.regexp_extract("card", link, 1)
+    cards = pages.select(*keys, F.posexplode(F.split(body, card)).alias("pos", "_card")).filter("pos > 0")
+    tag = F.regexp_extract("_card", r"(?s)^(<[^>]*>)", 1)
+    anchor = F.regexp_extract("_card", link, 1)
     return cards.select(
         *keys,
         "pos",
@@ -166,18 +166,18 @@ def result_count(pages: DataFrame, keys: list[str], html: str = "html") -> DataF
     headers = F.filter(
         elements(F.col(html), tag), lambda e: e.rlike(rf"(?i)^<{tag}\b[^>]*{_attribute(name, value)}")
     )
-    text = F.replace(inner_text(F.col("headers")[0]), F.lit("\u00a0"), F.lit(" "))
-    numbers = F.when(F.size("headers") == 2, numbers_in(text))
+    text = F.replace(inner_text(F.col("_headers")[0]), F.lit("\u00a0"), F.lit(" "))
+    numbers = F.when(F.size("_headers") == 2, numbers_in(text))
     return (
-        pages.select(*keys, headers.alias("headers"))
-        .select(*keys, numbers.alias("n"))
-        .select(*keys, F.when(F.size("n") == 3, F.col("n")).alias("n"))
+        pages.select(*keys, headers.alias("_headers"))
+        .select(*keys, numbers.alias("_numbers"))
+        .select(*keys, F.when(F.size("_numbers") == 3, F.col("_numbers")).alias("_numbers"))
         .select(
             *keys,
-            F.col("n")[0].alias("first"),
-            F.col("n")[1].alias("last"),
-            F.col("n")[2].alias("total"),
-            (F.col("n")[1] == F.col("n")[2]).alias("is_last"),
+            F.col("_numbers")[0].alias("first"),
+            F.col("_numbers")[1].alias("last"),
+            F.col("_numbers")[2].alias("total"),
+            (F.col("_numbers")[1] == F.col("_numbers")[2]).alias("is_last"),
         )
     )
 
@@ -195,13 +195,13 @@ def brand_directory(pages: DataFrame, keys: list[str], html: str = "html") -> Da
     """(keys, brand, url, quantity) from the cells of the brand table; a brand named twice on a page
     keeps its last cell."""
     table = element_body(element_body(F.col(html), *BRAND_TABLE), "table")
-    cells = pages.select(*keys, F.posexplode(_items(table, "td")).alias("pos", "cell"))
+    cells = pages.select(*keys, F.posexplode(_items(table, "td")).alias("pos", "_cell"))
     found = cells.select(
         *keys,
         "pos",
-        unescape(F.regexp_extract("cell", BRAND_CELL, 1)).alias("brand"),
-        first_href(F.col("cell")).alias("url"),
-        blank_to_null(F.regexp_extract("cell", BRAND_CELL, 2)).try_cast("int").alias("quantity"),
+        unescape(F.regexp_extract("_cell", BRAND_CELL, 1)).alias("brand"),
+        first_href(F.col("_cell")).alias("url"),
+        blank_to_null(F.regexp_extract("_cell", BRAND_CELL, 2)).try_cast("int").alias("quantity"),
     ).filter("brand <> '' AND url IS NOT NULL")
     last = F.max_by(F.struct("url", "quantity"), "pos")
     return found.groupBy(*keys, "brand").agg(last.alias("last")).select(*keys, "brand", "last.*")
@@ -210,9 +210,9 @@ def brand_directory(pages: DataFrame, keys: list[str], html: str = "html") -> Da
 def numbered_links(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """(keys, pos, page_no, url): navigation links whose text is a number."""
     anchors = elements(element_body(F.col(html), *PAGE_LINKS), "a")
-    rows = pages.select(*keys, F.posexplode(anchors).alias("pos", "a"))
+    rows = pages.select(*keys, F.posexplode(anchors).alias("pos", "_a"))
     return rows.select(
-        *keys, "pos", inner_text(F.col("a")).alias("page_no"), first_href(F.col("a")).alias("url")
+        *keys, "pos", inner_text(F.col("_a")).alias("page_no"), first_href(F.col("_a")).alias("url")
     ).filter(F.col("page_no").rlike("^[0-9]+$") & F.col("url").isNotNull())
 
 
@@ -221,9 +221,9 @@ def list_items(
 ) -> DataFrame:
     """(keys, pos, model, url): text and first link of each item of the model list."""
     items = _items(element_body(F.col(html), *container), "li")
-    rows = pages.select(*keys, F.posexplode(items).alias("pos", "li"))
+    rows = pages.select(*keys, F.posexplode(items).alias("pos", "_li"))
     return rows.select(
-        *keys, "pos", inner_text(F.col("li")).alias("model"), first_href(F.col("li")).alias("url")
+        *keys, "pos", inner_text(F.col("_li")).alias("model"), first_href(F.col("_li")).alias("url")
     ).filter("url IS NOT NULL")
 
 

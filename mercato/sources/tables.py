@@ -92,6 +92,18 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
     replace_contents(merge.upsert(target, batch, keys), table)
 
 
+def _overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace only the partitions the frame holds rows of; an empty frame leaves the table alone."""
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def apply_scd2(batch: DataFrame, dimension: str, run: datetime) -> None:
     """One run of a dimension. Versions closed by the run go to its own partition of the closed table,
     then the open versions are swapped, so a run that died between the two can simply be repeated."""
@@ -99,11 +111,5 @@ def apply_scd2(batch: DataFrame, dimension: str, run: datetime) -> None:
     current = spark.table(f"{dimension}_open")
     after = stage(merge.scd2_step(current, batch, run), dimension.split(".")[-1])
     closed = after.filter("valid_to IS NOT NULL").withColumn(CLOSED_RUN, F.lit(run.isoformat()))
-    target = f"{dimension}_closed"
-    (
-        closed.select(*spark.table(target).columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .insertInto(target)
-    )
+    _overwrite_partitions(closed, f"{dimension}_closed")
     replace_contents(after.filter("valid_to IS NULL"), f"{dimension}_open")
