@@ -96,7 +96,7 @@ def dim_cost(spark, sf_dir):
            FROM listing WHERE year BETWEEN 1900 AND 2027 AND raw_brand IS NOT NULL AND raw_model IS NOT NULL""",
 )
 def dim_vehicle(spark, sf_dir):
-    return dimensions.vehicle_spec(v.motorcycles(spark, sf_dir), v.RUN.date())
+    return dimensions.vehicle_spec(v.motorcycles(spark, sf_dir), v.RUN_DAY)
 
 
 @query(
@@ -224,6 +224,95 @@ def latest_batch(spark, sf_dir):
     return merge.latest_batch(days, "day").select("event_id", "user_id", "event_type", "value")
 
 
+# -- the daily jobs over two batches: first postings, then second postings
+
+
+def _gold_sql(dimension, columns, condition=""):
+    """Two batches of a dimension: what both conform to, then the versions that the second leaves."""
+    hashed = v.hash_sql(*[c.split(" AS ")[-1] for c in columns])
+    names = ", ".join(c.split(" AS ")[-1] for c in columns)
+    select = ", ".join(columns)
+
+    def batch(posting):
+        return f"""(SELECT id, {names}, {hashed} AS hash FROM (SELECT TRY_CAST(ID AS BIGINT) AS id, {select} FROM raw
+          WHERE posting = {posting} AND TRY_CAST(ID AS BIGINT) IS NOT NULL AND TRY_CAST("Date" AS DATE) IS NOT NULL)
+          WHERE {condition})"""
+
+    return v.with_(
+        v.RAW_SQL,
+        f"b1 AS {batch(0)}",
+        f"b2 AS {batch(1)}",
+    ) + f"""SELECT b1.*, TIMESTAMP '2026-01-01' AS valid_from,
+              CASE WHEN b2.hash <> b1.hash THEN TIMESTAMP '2026-01-08' END AS valid_to
+            FROM b1 LEFT JOIN b2 ON b2.id = b1.id
+            UNION ALL SELECT b2.*, TIMESTAMP '2026-01-08', CAST(NULL AS TIMESTAMP)
+            FROM b2 LEFT JOIN b1 ON b1.id = b2.id WHERE b1.id IS NULL OR b1.hash <> b2.hash"""
+
+
+def _two_runs(spark, sf_dir, conforming, dimension, vehicle):
+    """Both batches through conform, split, dimension and history merge."""
+    first, second = (
+        dimension(
+            conform.split_listings(
+                conforming(v.raw_listings(spark, sf_dir, vehicle=vehicle, posting=i), v.run_stamp(day))
+            )[0]
+        )
+        for i, day in enumerate(("2026-01-01", "2026-01-08"))
+    )
+    stamp, open_end = v.run_stamp(), F.lit(None).cast("timestamp")
+    start = first.select("*", stamp.alias("valid_from"), open_end.alias("valid_to"))
+    return _ntz(merge.scd2_apply(start, second, v.run_stamp("2026-01-08")))
+
+
+@query(
+    "phone_gold_cost",
+    _gold_sql(
+        "cost",
+        [
+            "coalesce(Currency, 'CAD') AS currency",
+            "CAST(coalesce(TRY_CAST(Price AS DECIMAL(18,2)), 0) AS DECIMAL(18,2)) AS price",
+        ],
+        "length(currency) = 3 AND price >= 0",
+    ),
+)
+def phone_gold_cost(spark, sf_dir):
+    return _two_runs(spark, sf_dir, conform.conform_phone, dimensions.cost, vehicle=False)
+
+
+@query(
+    "motorcycle_gold_odometer",
+    _gold_sql(
+        "odometer",
+        [
+            "lower(replace(OdometerUnits, 'KMT', 'KM')) AS units",
+            "TRY_CAST(Odometer AS INTEGER) AS odometer",
+        ],
+        "units IN ('km', 'mi') AND odometer >= 0",
+    ),
+)
+def motorcycle_gold_odometer(spark, sf_dir):
+    return _two_runs(spark, sf_dir, conform.conform_motorcycle, dimensions.odometer, vehicle=True)
+
+
+@query(
+    "gold_listing",
+    v.with_(v.RAW_SQL)
+    + """SELECT TRY_CAST(ID AS BIGINT) AS id, 'Product' AS category, TRY_CAST("Date" AS DATE) AS posted_at,
+           CASE posting WHEN 0 THEN TIMESTAMP '2026-01-01' ELSE TIMESTAMP '2026-01-08' END AS processed_at FROM raw
+         WHERE TRY_CAST(ID AS BIGINT) IS NOT NULL AND TRY_CAST("Date" AS DATE) IS NOT NULL
+         QUALIFY row_number() OVER (PARTITION BY TRY_CAST(ID AS BIGINT) ORDER BY posting DESC) = 1""",
+)
+def gold_listing(spark, sf_dir):
+    first, second = (
+        conform.split_listings(
+            conform.conform_phone(v.raw_listings(spark, sf_dir, posting=i), v.run_stamp(day))
+        )[1]
+        for i, day in enumerate(("2026-01-01", "2026-01-08"))
+    )
+    after = merge.upsert(first, second, ["id"])
+    return after.withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
+
+
 # -- quality
 
 

@@ -7,9 +7,9 @@ separately on the two sides.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.constants import STORAGE_PATTERNS
@@ -19,7 +19,7 @@ from mercato.operators.matching import listing_texts
 from mercato.sources.readers import table
 from mercato.sources.tables import stage
 
-RUN = datetime(2026, 1, 1)
+RUN_DAY = date(2026, 1, 1)
 RUN_SQL = "TIMESTAMP '2026-01-01 00:00:00'"
 
 _PARTS_LIST = (
@@ -78,6 +78,11 @@ VEHICLE_COLUMNS = {
 }
 
 
+def run_stamp(day: str = "2026-01-01") -> Column:
+    """Midnight in the session's time zone, whichever that is."""
+    return F.lit(day).cast("timestamp")
+
+
 def ads(spark: SparkSession, sf_dir: str, place: bool = False) -> DataFrame:
     """One row per ad and posting; every tenth ad is posted twice."""
     first_part = (
@@ -116,19 +121,24 @@ def _columns(place: bool, vehicle: bool) -> dict[str, str]:
     return cols | (VEHICLE_COLUMNS if vehicle else {})
 
 
-def raw_listings(spark: SparkSession, sf_dir: str, place: bool = False, vehicle: bool = False) -> DataFrame:
+def raw_listings(
+    spark: SparkSession, sf_dir: str, place: bool = False, vehicle: bool = False, posting: int | None = None
+) -> DataFrame:
     """Flat records as a scraper would land them. Without ``place`` the address columns are NULL and
-    the customers are not read."""
+    the customers are not read. ``posting`` 0 gives the first postings only, 1 the second ones."""
     cols = _columns(place, vehicle)
-    return ads(spark, sf_dir, place).selectExpr(*[f"{e} AS `{c}`" for c, e in cols.items()])
+    rows = ads(spark, sf_dir, place)
+    if posting is not None:
+        rows = rows.filter(F.col("r") == posting)
+    return rows.selectExpr(*[f"{e} AS `{c}`" for c, e in cols.items()])
 
 
 def phones(spark: SparkSession, sf_dir: str, place: bool = False) -> DataFrame:
-    return conform.conform_phone(raw_listings(spark, sf_dir, place), RUN)
+    return conform.conform_phone(raw_listings(spark, sf_dir, place), run_stamp())
 
 
 def motorcycles(spark: SparkSession, sf_dir: str, place: bool = False) -> DataFrame:
-    return conform.conform_motorcycle(raw_listings(spark, sf_dir, place, vehicle=True), RUN)
+    return conform.conform_motorcycle(raw_listings(spark, sf_dir, place, vehicle=True), run_stamp())
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,7 +228,7 @@ RAW_SQL = (
     ADS_SQL
     + ",\nraw AS (SELECT "
     + ", ".join(f'{e} AS "{c}"' for c, e in _columns(place=True, vehicle=True).items() if c not in ("Brand", "Model"))
-    + f', {VEHICLE_COLUMNS["Brand"]} AS raw_brand, {VEHICLE_COLUMNS["Model"]} AS raw_model FROM ad)'
+    + f', {VEHICLE_COLUMNS["Brand"]} AS raw_brand, {VEHICLE_COLUMNS["Model"]} AS raw_model, r AS posting FROM ad)'
 )
 LISTINGS_SQL = (
     RAW_SQL

@@ -96,7 +96,12 @@ def _typed_nulls(dictionary: DataFrame, fields: Sequence[str]) -> list[Column]:
 
 
 def _literal_pass(
-    texts: DataFrame, entries: list[Row], fields: Sequence[str], on: Sequence[str], keep_all: bool
+    texts: DataFrame,
+    entries: list[Row],
+    fields: Sequence[str],
+    on: Sequence[str],
+    keep_all: bool,
+    carry: Sequence[str],
 ) -> list[DataFrame]:
     passes = []
     for start in range(0, len(entries), BLOCK):
@@ -104,8 +109,9 @@ def _literal_pass(
         unnest = F.explode_outer if keep_all and start == 0 else F.explode
         before = F.substring("text", F.lit(1), F.col("h.pos") - 1)
         passes.append(
-            texts.select("id", *on, "text", unnest(hits).alias("h")).select(
+            texts.select("id", *carry, *on, "text", unnest(hits).alias("h")).select(
                 "id",
+                *carry,
                 *on,
                 *[F.col(f"h.{f}") for f in fields],
                 (F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit("")))).alias("tok"),
@@ -116,7 +122,13 @@ def _literal_pass(
 
 
 def _indexed_pass(
-    texts: DataFrame, plain: DataFrame, longest: int, fields: Sequence[str], on: Sequence[str], keep_all: bool
+    texts: DataFrame,
+    plain: DataFrame,
+    longest: int,
+    fields: Sequence[str],
+    on: Sequence[str],
+    keep_all: bool,
+    carry: Sequence[str],
 ) -> DataFrame:
     lookup = plain.withColumn("words", F.replace("words", F.lit(" "), F.lit("")))
     runs = word_runs(F.col("tokens"), longest)
@@ -124,8 +136,8 @@ def _indexed_pass(
         own = F.concat(F.lit("#"), F.col("id").cast("string"))
         runs = F.concat(runs, F.array(F.struct(F.lit(-1).alias("tok"), own.alias("run"))))
     runs = (
-        texts.select("id", *on, F.split("text", " ").alias("tokens"))
-        .select("id", *on, F.inline(runs))
+        texts.select("id", *carry, *on, F.split("text", " ").alias("tokens"))
+        .select("id", *carry, *on, F.inline(runs))
         .withColumn("words", F.replace("run", F.lit(" "), F.lit("")))
     )
     # No hint: Spark broadcasts the lookup where its size allows and shuffles both sides beyond,
@@ -135,7 +147,7 @@ def _indexed_pass(
         found = runs.join(lookup, [*on, "words"], "left").filter((F.col("tok") < 0) | fits)
     else:
         found = runs.join(lookup, [*on, "words"], "inner").filter(fits)
-    return found.select("id", *on, *fields, "tok", F.lit(0).alias("off"))
+    return found.select("id", *carry, *on, *fields, "tok", F.lit(0).alias("off"))
 
 
 def dictionary_hits(
@@ -144,12 +156,13 @@ def dictionary_hits(
     fields: Sequence[str],
     on: Sequence[str] = (),
     keep_all: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, *on, *fields, tok, off) for every dictionary entry found in a text ``(id, *on, text)``;
+    """(id, *carry, *on, *fields, tok, off) for every dictionary entry found in a text ``(id, *on, text)``;
     an entry counts only for texts that agree on the ``on`` columns. (tok, off) orders the hits of a
     text by the position of the match: words before it, letters into its word. An entry found as
     several word runs comes once per run. ``keep_all`` keeps texts without hits as a row of NULL
-    fields (texts with hits may have such a row too)."""
+    fields (texts with hits may have such a row too). ``carry`` names columns of the texts to pass on."""
     dictionary = dictionary.select(*on, *fields, "pattern")
     indexed = dictionary.withColumn("words", pattern_words(F.col("pattern")))
     words_in = F.array_max(F.transform("words", lambda w: F.size(F.split(w, " "))))
@@ -160,17 +173,17 @@ def dictionary_hits(
     ).first()
     if size["entries"] == 0:
         rows = texts if keep_all else texts.limit(0)
-        return rows.select("id", *on, *_typed_nulls(dictionary, fields))
+        return rows.select("id", *carry, *on, *_typed_nulls(dictionary, fields))
     if size["entries"] <= BLOCK:
-        return _literal_pass(texts, dictionary.limit(BLOCK).collect(), fields, on, keep_all)[0]
+        return _literal_pass(texts, dictionary.limit(BLOCK).collect(), fields, on, keep_all, carry)[0]
     if size["regexes"] > MAX_REGEXES:
         raise ValueError(f"dictionary holds more than {MAX_REGEXES} patterns that are not plain words")
     regexes = []
     if size["regexes"]:
         regexes = indexed.filter("words IS NULL").drop("words").limit(MAX_REGEXES).collect()
     plain = indexed.select(*on, *fields, "pattern", F.explode("words").alias("words"))
-    found = _indexed_pass(texts, plain, size["longest"] or 1, fields, on, keep_all)
-    return reduce(DataFrame.unionByName, _literal_pass(texts, regexes, fields, on, False), found)
+    found = _indexed_pass(texts, plain, size["longest"] or 1, fields, on, keep_all, carry)
+    return reduce(DataFrame.unionByName, _literal_pass(texts, regexes, fields, on, False, carry), found)
 
 
 def first_matches(texts: DataFrame, dictionary: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -223,13 +236,16 @@ def _leaders(hits: Column, max_brands: int) -> Column:
     return F.element_at(F.transform(F.array(hits), pick), 1)
 
 
-def attach_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRANDS_PER_AD) -> DataFrame:
-    """(id, text, brand) of the brand named first; all of them when several start at the same place.
-    Texts naming more than ``max_brands`` brands are left out."""
+def attach_brand(
+    texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRANDS_PER_AD, keep_all: bool = False
+) -> DataFrame:
+    """The columns of the texts and the brand named first; a row for each of several that start at the
+    same place. Texts naming no brand, or more than ``max_brands``, are left out, or kept with a NULL
+    brand (``keep_all``)."""
     entries = read_small(brands.select("brand", "pattern"), BLOCK)
     if entries:  # row-local: no shuffle
-        hits = literal_hits(F.col("text"), entries, ["brand"])
-        return texts.select("id", "text", F.explode(_leaders(hits, max_brands)).alias("brand"))
+        leaders = _leaders(literal_hits(F.col("text"), entries, ["brand"]), max_brands)
+        return texts.select("*", (F.explode_outer if keep_all else F.explode)(leaders).alias("brand"))
     # brands of one text: one row per brand, so a group is bounded by the dictionary
     of_text = Window.partitionBy("id")
     hits = dictionary_hits(texts, brands, ["brand"]).repartition("id")
@@ -240,7 +256,8 @@ def attach_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRAN
         .withColumn("first", F.min("place").over(of_text))
         .filter((F.col("n") <= max_brands) & (F.col("place") == F.col("first")))
     )
-    return texts.join(leaders.select("id", "brand"), "id", "inner").select("id", "text", "brand")
+    joined = texts.join(leaders.select("id", "brand"), "id", "left" if keep_all else "inner")
+    return joined.select(*texts.columns, "brand")
 
 
 def detect_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRANDS_PER_AD) -> DataFrame:
@@ -271,23 +288,28 @@ def brand_model(
     models: DataFrame,
     max_brands: int = MAX_BRANDS_PER_AD,
     reject_at: int = MODEL_HITS_TO_REJECT,
+    keep_all: bool = False,
 ) -> DataFrame:
-    """One (id, brand, model) per text that names a brand; model NULL where none is found. Several
-    models in first place, or several brands without any: by brand, then by model name."""
-    branded = attach_brand(texts, brands, max_brands)
-    hits = dictionary_hits(branded, models, ["model", "length"], on=["brand"], keep_all=True)
+    """One row (id, further columns of the texts, brand, model) per text that names a brand, or per text
+    (``keep_all``); model NULL where none is found. Several models in first place, or several brands
+    without any: by brand, then by model name. One exchange, of the hits."""
+    carry = [c for c in texts.columns if c not in ("id", "text")]
+    branded = attach_brand(texts, brands, max_brands, keep_all)
+    hits = dictionary_hits(branded, models, ["model", "length"], on=["brand"], keep_all=True, carry=carry)
     found = hits.repartition("id").groupBy("id", "brand", "model", "length").agg(
-        F.min(F.struct("tok", "off")).alias("place")
+        F.min(F.struct("tok", "off")).alias("place"), *[F.any_value(c).alias(c) for c in carry]
     )
     rank = F.struct(-F.col("length"), F.col("place"), F.col("brand"), F.col("model"))
     best = found.groupBy("id").agg(
         F.count("model").alias("n"),
         F.min("brand").alias("brand"),
         F.min(F.when(F.col("model").isNotNull(), rank)).alias("hit"),
+        *[F.any_value(c).alias(c) for c in carry],
     )
     keep = F.col("n").between(1, reject_at - 1)
     return best.select(
         "id",
+        *carry,
         F.when(keep, F.col("hit.brand")).otherwise(F.col("brand")).alias("brand"),
         F.when(keep, F.col("hit.model")).alias("model"),
     )

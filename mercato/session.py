@@ -25,11 +25,16 @@ def build_session(app: str = "mercato", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_OWN_STAGING: dict[str, str] = {}
+
+
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the one the cluster names in
     ``spark.checkpoint.dir``; a temporary folder only where none is named (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="mercato-stage-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_STAGING:
+            _OWN_STAGING[app] = tempfile.mkdtemp(prefix="mercato-stage-")
+        named = _OWN_STAGING[app]
     return named.rstrip("/")
