@@ -8,6 +8,7 @@ from mercato.checks import views as v
 from mercato.checks.registry import query
 from mercato.constants import SEARCH_LIST
 from mercato.operators import pages
+from mercato.plans import pages as page_plans
 from mercato.sources.readers import table
 
 _UNESCAPED = "replace(replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')"
@@ -219,3 +220,44 @@ def listing_pages(spark, sf_dir):
 def jsonld_extract(spark, sf_dir):
     stored = table(spark, sf_dir, "pages").select("url", F.lit(None).cast("string").alias("day"), "html")
     return pages.listing_records(listing_pages(spark, sf_dir).unionByName(stored), ["url", "day"])
+
+
+# -- whole lineages: search and listing pages to raw listings, maker pages to the catalogue
+
+
+def search_pages(spark, sf_dir):
+    """Each ad on a result page of its own, carded twice."""
+    card = (
+        "'<li><section data-testid=\"listing-card\" data-listingid=\"' || ID || '\"><a href=\"' || url || "
+        "'\" data-testid=\"listing-link\">' || coalesce(Title, '') || '</a></section></li>'"
+    )
+    html = f"'<ul data-testid=\"{SEARCH_LIST[2]}\">' || {card} || {card} || '</ul>'"
+    return v.raw_listings(spark, sf_dir, posting=0).selectExpr(f"{html} AS html")
+
+
+@query(
+    "scraped_listings",
+    v.with_(v.RAW_SQL)
+    + """, j AS (SELECT *, CASE WHEN Country = '' THEN 'Vehicle'
+              WHEN raw_brand IS NOT NULL AND OdometerUnits IS NOT NULL THEN 'Motorcycle' ELSE 'Product' END AS kind FROM raw),
+       f AS (SELECT *, CASE WHEN Year = '2000' THEN 'no script' WHEN Year = '1999' THEN 'not JSON'
+              WHEN kind = 'Vehicle' THEN 'unknown type' WHEN Currency = 'US' THEN 'bad value'
+              WHEN Price IS NULL OR Currency IS NULL THEN 'missing key' END AS fault FROM j)
+       SELECT ID AS "ID", url, CASE WHEN fault IS NULL THEN kind END AS "Category",
+         CASE WHEN fault IS NULL THEN Title END AS "Title", CASE WHEN fault IS NULL THEN Price END AS "Price",
+         fault AS reject_reason FROM f""",
+)
+def scraped_listings(spark, sf_dir):
+    listings = listing_pages(spark, sf_dir).select("url", "html")
+    scraped = page_plans.listings_from_pages(search_pages(spark, sf_dir), listings)
+    return scraped.select("ID", "url", "Category", "Title", "Price", "reject_reason")
+
+
+@query(
+    "scraped_catalogue",
+    """SELECT p_brand AS brand, p_name || ' & co' AS model, min('/' || p_brand) AS url FROM part GROUP BY ALL
+       UNION ALL SELECT DISTINCT p_brand, CAST(p_size AS VARCHAR), '/s' FROM part""",
+)
+def scraped_catalogue(spark, sf_dir):
+    makers = _part_pages(spark, sf_dir, _MAKERS_PAGE).select(F.col("p_brand").alias("brand"), "html")
+    return page_plans.catalogue_from_pages(makers)

@@ -410,13 +410,15 @@ def regex_masks(spark, sf_dir):
 
 @query(
     "brand_counts",
-    """SELECT p_brand, count(p_name) AS n_models, count(DISTINCT p_name) AS n_names FROM part
-       WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#5', 'Brand#8', 'Brand#13') GROUP BY p_brand""",
+    """SELECT p_brand, p_brand IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#5', 'Brand#8', 'Brand#13') AS in_focus,
+         count(p_name) AS n_models, count(DISTINCT p_name) AS n_names FROM part GROUP BY p_brand""",
 )
 def brand_counts(spark, sf_dir):
-    wanted = ["Brand#1", "Brand#2", "Brand#3", "Brand#5", "Brand#8", "Brand#13"]
-    part = table(spark, sf_dir, "part").filter(F.col("p_brand").isin(wanted))
-    return part.groupBy("p_brand").agg(F.count("p_name").alias("n_models"), F.countDistinct("p_name").alias("n_names"))
+    focus = ["Brand#1", "Brand#2", "Brand#3", "Brand#5", "Brand#8", "Brand#13"]
+    counts = table(spark, sf_dir, "part").groupBy("p_brand").agg(
+        F.count("p_name").alias("n_models"), F.countDistinct("p_name").alias("n_names")
+    )
+    return counts.withColumn("in_focus", F.col("p_brand").isin(focus))
 
 
 @query(

@@ -148,6 +148,11 @@ MOTORCYCLE_FIELDS = [
     ("OdometerUnits", "$.mileageFromOdometer.unitCode", "text"),
 ]
 
+# The tables exported as CSV.
+GOLD_EXPORT = [
+    "cost", "electronic_brand", "info", "listing", "location", "odometer", "storage", "vehicle_spec",
+]
+
 # Page markers.
 SEARCH_LIST = ("ul", "data-testid", "srp-search-list")
 RESULT_HEADER = ("h2", "data-testid", "srp-results")

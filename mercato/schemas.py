@@ -1,4 +1,5 @@
-"""Declared schemas. Raw files are never inferred: an empty day would lose its columns."""
+"""The columns, types, keys and CHECK rules of all tables. Raw files are never inferred: an
+empty day would lose its columns."""
 
 from pyspark.sql.types import StructType
 

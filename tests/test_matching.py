@@ -163,3 +163,24 @@ def test_model_detection_is_no_nested_loop(spark):
     plan = plan_of(m.brand_model(texts, brands(spark), models(spark, 100)))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert plan.count("hashpartitioning(id") == 1
+
+
+def test_without_broadcasts(spark, rows):
+    """A lookup too large to broadcast shuffles both sides; the rows are the same."""
+    texts = frame(spark, MODEL_TEXTS, "id bigint, text string")
+    want = rows(m.brand_model(texts, brands(spark), models(spark, 100), keep_all=True), "id")
+    assert [r[0] for r in want] == [t[0] for t in MODEL_TEXTS]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wide = m.brand_model(texts, brands(spark, 100), models(spark, 100), keep_all=True)
+        assert "SortMergeJoin" in plan_of(wide)
+        assert rows(wide, "id") == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_frequent_word_and_repeated_words(spark, rows):
+    """One word in every text and many times in one: each text counts a model once."""
+    texts = spark.range(3000).select("id", F.lit("iphone 13 " + "13 " * 50).alias("text"))
+    got = m.brand_model(texts, brands(spark), models(spark, 100)).groupBy("brand", "model").count()
+    assert rows(got) == [("Apple", "13", 3000)]

@@ -144,3 +144,16 @@ def test_long_page_with_deep_lists(spark, rows):
     item = "<li><ul><li>x</li></ul></li>"
     html = f'<div class="makers"><ul>{item * 20000}<li><a href="last">end</a></li></ul></div>'
     assert rows(pages.list_items(page(spark, html), ["n"]).select("model", "url")) == [("end", "last")]
+
+
+def test_listings_from_pages(spark, rows):
+    from mercato.plans.pages import listings_from_pages, split_rejects
+
+    card = '<li><div data-testid="listing-card" data-listingid="{0}"><a data-testid="listing-link" href="/{0}">x</a></div></li>'
+    search = '<ul data-testid="srp-search-list">' + "".join(card.format(i) for i in (1, 2, 3)) + "</ul>"
+    stored = spark.createDataFrame(
+        [("/1", script(json.dumps(ad()))), ("/2", "<html></html>"), ("/4", script(json.dumps(ad())))], "url string, html string"
+    )
+    good, rejects = split_rejects(listings_from_pages(page(spark, search, search), stored))
+    assert rows(good.select("ID", "url", "Title")) == [("1", "/1", "Phone")]
+    assert rows(rejects) == [("2", "/2", "no script")]
