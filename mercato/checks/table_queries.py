@@ -12,6 +12,7 @@ from mercato.constants import MODELS_PER_CATALOGUE_PAGE
 from mercato.functions.text import row_hash
 from mercato.operators import conform, dimensions, merge, pages, quality
 from mercato.sources.readers import table
+from mercato.sources.tables import stage
 
 L = v.with_(v.LISTINGS_SQL)
 
@@ -177,8 +178,8 @@ versions AS (
 def two_batches(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     cut = F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz")
-    first = customer_states(orders.filter(F.col("o_orderdate") < cut))
-    second = customer_states(orders.filter(F.col("o_orderdate") >= cut))
+    first = stage(customer_states(orders.filter(F.col("o_orderdate") < cut)), "states-1")
+    second = stage(customer_states(orders.filter(F.col("o_orderdate") >= cut)), "states-2")
     stamp = F.lit("1999-01-01").cast("timestamp")
     table_1 = first.select("*", stamp.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
     return merge.scd2_apply(table_1, second, F.lit("2002-01-01"))
@@ -252,10 +253,13 @@ def _gold_sql(dimension, columns, condition=""):
 def _two_runs(spark, sf_dir, conforming, dimension, vehicle):
     """Both batches through conform, split, dimension and history merge."""
     first, second = (
-        dimension(
-            conform.split_listings(
-                conforming(v.raw_listings(spark, sf_dir, vehicle=vehicle, posting=i), v.run_stamp(day))
-            )[0]
+        stage(
+            dimension(
+                conform.split_listings(
+                    conforming(v.raw_listings(spark, sf_dir, vehicle=vehicle, posting=i), v.run_stamp(day))
+                )[0]
+            ),
+            f"batch-{i}",
         )
         for i, day in enumerate(("2026-01-01", "2026-01-08"))
     )
@@ -309,7 +313,7 @@ def gold_listing(spark, sf_dir):
         )[1]
         for i, day in enumerate(("2026-01-01", "2026-01-08"))
     )
-    after = merge.upsert(first, second, ["id"])
+    after = merge.upsert(first, stage(second, "listings"), ["id"])
     return after.withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
 
 

@@ -70,7 +70,7 @@ def storage_extract(spark, sf_dir):
     "price_by_storage",
     v.with_(v.TEXTS_SQL, STORAGE_SQL)
     + """SELECT s.storage_gb, count(*) AS n_ads, min(l.price) AS lowest_price, max(l.price) AS highest_price,
-           sum(TRY_CAST(l.price AS DECIMAL(18,2))) AS total_price
+           CAST(sum(TRY_CAST(l.price AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_price
          FROM sized s JOIN listing l ON l.id = s.id WHERE s.storage_gb > 0 AND l.price >= 0 GROUP BY s.storage_gb""",
 )
 def price_by_storage(spark, sf_dir):
@@ -90,7 +90,7 @@ def price_by_storage(spark, sf_dir):
 
 @query(
     "theta_regex_join",
-    v.with_(v.TEXTS_SQL, v.BRANDS_SQL, v.BRAND_HITS_SQL) + "SELECT id, brand, pos AS match_pos FROM brand_hits",
+    v.with_(v.TEXTS_SQL, v.BRANDS_SQL, v.BRAND_HITS_SQL) + "SELECT id, brand, CAST(pos AS INTEGER) AS match_pos FROM brand_hits",
 )
 def theta_regex_join(spark, sf_dir):
     ads, brands = v.texts(spark, sf_dir), v.brands(spark, sf_dir)

@@ -13,17 +13,22 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
+def _words(c: Column) -> Column:
+    """Everything but a-z and 0-9 becomes a space, runs of it one."""
+    return F.regexp_replace(c, "[^a-z0-9]+", " ")
+
+
 def norm_text(c: Column) -> Column:
-    """Lower-case words of a-z and 0-9, ``+`` spelled out, everything from a word starting with
-    ``tags`` on removed."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(c), r"\+", " plus "), "[^a-z0-9]+", " ")
-    return squeeze(F.regexp_replace(words, r"\btags.*$", ""))
+    """Lower-case words of a-z and 0-9 with single spaces, ``+`` spelled out, everything from a word
+    starting with ``tags`` on removed. One regex: among such words the rest is plain text search."""
+    words = _words(F.replace(F.lower(c), F.lit("+"), F.lit(" plus ")))
+    return F.trim(F.substring_index(F.concat(F.lit(" "), words), " tags", 1))
 
 
 def norm_text_at_tag(c: Column) -> Column:
     """Variant that cuts at the first ``tag`` anywhere, even inside a word, and glues ``plus``."""
-    head = F.split(F.lower(c), "tag", 2)[0]
-    return squeeze(F.regexp_replace(F.regexp_replace(head, r"\+", " plus"), "[^a-z0-9]", " "))
+    head = F.substring_index(F.lower(c), "tag", 1)
+    return F.trim(_words(F.replace(head, F.lit("+"), F.lit(" plus"))))
 
 
 def listing_text(title: Column, description: Column) -> Column:

@@ -23,28 +23,22 @@ def _stamp(ts: datetime | Column) -> Column:
 
 
 def scd2_step(current: DataFrame, batch: DataFrame, ts: datetime | Column, key: str = "id") -> DataFrame:
-    """What becomes of the current versions under a batch, in one join: kept, closed at ``ts`` (valid_to
-    set) and new (valid from ``ts``). Equal hash leaves a row as it is; keys the batch lacks stay
-    current. Both sides hold a key once."""
-    attributes = [c for c in current.columns if c not in (key, *VERSION_COLUMNS)]
-    old = current.select(key, F.struct(*attributes, "hash", "valid_from").alias("old"))
-    new = batch.select(key, F.struct(*attributes, "hash").alias("new"))
-    stamp = _stamp(ts)
-    open_end = F.lit(None).cast("timestamp")
-    changed = F.col("old.hash") != F.col("new.hash")
-
-    def version(side: str, start: Column, end: Column) -> Column:
-        fields = [F.col(f"{side}.{c}").alias(c) for c in (*attributes, "hash")]
-        return F.struct(*fields, start.alias("valid_from"), end.alias("valid_to"))
-
-    old_version = version("old", F.col("old.valid_from"), F.when(changed, stamp).otherwise(open_end))
-    new_version = version("new", stamp, open_end)
-    versions = F.array(
-        F.when(F.col("old").isNotNull(), old_version),
-        F.when(F.col("new").isNotNull() & (F.col("old").isNull() | changed), new_version),
-    )
-    joined = old.join(new, key, "full")
-    return joined.select(key, F.inline(F.filter(versions, lambda v: v.isNotNull()))).select(*current.columns)
+    """What becomes of the current versions under a batch: kept, closed at ``ts`` (valid_to set) and new
+    (valid from ``ts``). Equal hash leaves a row as it is; keys the batch lacks stay current. Both sides
+    hold a key once.
+
+    The current versions stream past the keys and hashes of the batch, twice, the second time reduced to
+    those the batch touches. A batch small enough to broadcast thus moves none of them; a full outer join
+    would shuffle and sort them all."""
+    stamp, open_end = _stamp(ts), F.lit(None).cast("timestamp")
+    incoming = batch.select(key, F.col("hash").alias("_new_hash"))
+    touched = F.col("_new_hash") != F.col("hash")
+    kept = current.join(incoming, key, "left").withColumn("valid_to", F.when(touched, stamp).otherwise(open_end))
+    before = current.join(batch.select(key), key, "left_semi").select(key, F.col("hash").alias("_old_hash"))
+    changed = F.col("_old_hash").isNull() | (F.col("_old_hash") != F.col("hash"))
+    new = batch.join(before, key, "left").filter(changed)
+    new = new.withColumns({"valid_from": stamp, "valid_to": open_end})
+    return kept.select(*current.columns).unionByName(new.select(*current.columns))
 
 
 def scd2_apply(table: DataFrame, batch: DataFrame, ts: datetime | Column, key: str = "id") -> DataFrame:

@@ -108,8 +108,8 @@ def apply_scd2(batch: DataFrame, dimension: str, run: datetime) -> None:
     """One run of a dimension. Versions closed by the run go to its own partition of the closed table,
     then the open versions are swapped, so a run that died between the two can simply be repeated."""
     spark = batch.sparkSession
-    current = spark.table(f"{dimension}_open")
-    after = stage(merge.scd2_step(current, batch, run), dimension.split(".")[-1])
+    batch = stage(batch, dimension.split(".")[-1])
+    after = merge.scd2_step(spark.table(f"{dimension}_open"), batch, run)
     closed = after.filter("valid_to IS NOT NULL").withColumn(CLOSED_RUN, F.lit(run.isoformat()))
     _overwrite_partitions(closed, f"{dimension}_closed")
     replace_contents(after.filter("valid_to IS NULL"), f"{dimension}_open")

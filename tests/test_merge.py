@@ -92,9 +92,13 @@ def test_history_equals_fold(spark):
     assert sorted(versions(got), key=key) == sorted(versions(fold(spark, batches)), key=key)
 
 
-def test_scd2_is_one_join(spark):
-    step = merge.scd2_step(empty(spark), batch(spark, {1: "a"}), day(0))
-    assert step._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+def test_small_batch_does_not_move_the_current_versions(spark, tmp_path):
+    table = fold(spark, [{k: "a" for k in range(50)}])
+    table.write.parquet(str(tmp_path / "open"))
+    batch(spark, {1: "b"}).write.parquet(str(tmp_path / "batch"))
+    current, new = spark.read.parquet(str(tmp_path / "open")), spark.read.parquet(str(tmp_path / "batch"))
+    plan = merge.scd2_step(current, new, day(1))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
 
 
 def test_close_missing(spark):
