@@ -22,23 +22,34 @@ def _stamp(ts: datetime | Column) -> Column:
     return (ts if isinstance(ts, Column) else F.lit(ts)).cast("timestamp")
 
 
+def scd2_new(current: DataFrame, batch: DataFrame, ts: datetime | Column, key: str = "id") -> DataFrame:
+    """The versions a batch opens at ``ts``: of keys without a current version, and of changed hash. The
+    current versions are first reduced to the keys of the batch."""
+    before = current.join(batch.select(key), key, "left_semi").select(key, F.col("hash").alias("_old_hash"))
+    changed = F.col("_old_hash").isNull() | (F.col("_old_hash") != F.col("hash"))
+    new = batch.join(before, key, "left").filter(changed)
+    new = new.withColumns({"valid_from": _stamp(ts), "valid_to": F.lit(None).cast("timestamp")})
+    return new.select(*current.columns)
+
+
+def scd2_closed(current: DataFrame, batch: DataFrame, ts: datetime | Column, key: str = "id") -> DataFrame:
+    """The current versions a batch closes at ``ts``: those whose hash it changes."""
+    incoming = batch.select(key, F.col("hash").alias("_new_hash"))
+    changed = current.join(incoming, key, "inner").filter(F.col("_new_hash") != F.col("hash"))
+    return changed.withColumn("valid_to", _stamp(ts)).select(*current.columns)
+
+
 def scd2_step(current: DataFrame, batch: DataFrame, ts: datetime | Column, key: str = "id") -> DataFrame:
     """What becomes of the current versions under a batch: kept, closed at ``ts`` (valid_to set) and new
     (valid from ``ts``). Equal hash leaves a row as it is; keys the batch lacks stay current. Both sides
     hold a key once.
 
-    The current versions stream past the keys and hashes of the batch, twice, the second time reduced to
-    those the batch touches. A batch small enough to broadcast thus moves none of them; a full outer join
-    would shuffle and sort them all."""
-    stamp, open_end = _stamp(ts), F.lit(None).cast("timestamp")
+    The current versions stream past the keys and hashes of the batch, so a batch small enough to
+    broadcast moves none of them; a full outer join would shuffle and sort them all."""
     incoming = batch.select(key, F.col("hash").alias("_new_hash"))
-    touched = F.col("_new_hash") != F.col("hash")
-    kept = current.join(incoming, key, "left").withColumn("valid_to", F.when(touched, stamp).otherwise(open_end))
-    before = current.join(batch.select(key), key, "left_semi").select(key, F.col("hash").alias("_old_hash"))
-    changed = F.col("_old_hash").isNull() | (F.col("_old_hash") != F.col("hash"))
-    new = batch.join(before, key, "left").filter(changed)
-    new = new.withColumns({"valid_from": stamp, "valid_to": open_end})
-    return kept.select(*current.columns).unionByName(new.select(*current.columns))
+    end = F.when(F.col("_new_hash") != F.col("hash"), _stamp(ts)).otherwise(F.lit(None).cast("timestamp"))
+    kept = current.join(incoming, key, "left").withColumn("valid_to", end).select(*current.columns)
+    return kept.unionByName(scd2_new(current, batch, ts, key))
 
 
 def scd2_apply(table: DataFrame, batch: DataFrame, ts: datetime | Column, key: str = "id") -> DataFrame:

@@ -17,26 +17,27 @@ CLOSED_RUN = "closed_run"
 ROW_LEVEL_PROVIDERS = {"delta", "iceberg", "hudi"}
 
 
-def create_silver(spark: SparkSession, schema: str = "silver") -> None:
+def create_silver(spark: SparkSession, schema: str = "silver", provider: str = "parquet") -> None:
+    """The silver tables, in a format with row-level operations where the session has one."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     for name, ddl in schemas.SILVER.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({ddl}) USING parquet")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({ddl}) USING {provider}")
 
 
-def create_gold(spark: SparkSession, schema: str = "gold") -> None:
+def create_gold(spark: SparkSession, schema: str = "gold", provider: str = "parquet") -> None:
     """The listing table and, per dimension, its open versions, its closed versions by the run that
     closed them, and a view over both. A run rewrites open versions only; history is appended to."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.listing ({schemas.LISTING}) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.listing ({schemas.LISTING}) USING {provider}")
     for name, ddl in schemas.DIMENSIONS.items():
         rules = "; ".join(f"CHECK ({rule})" for rule in schemas.CHECKS[name].values())
         comment = rules.replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {schema}.{name}_open ({ddl}) USING parquet COMMENT '{comment}'"
+            f"CREATE TABLE IF NOT EXISTS {schema}.{name}_open ({ddl}) USING {provider} COMMENT '{comment}'"
         )
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {schema}.{name}_closed ({ddl}, {CLOSED_RUN} string) "
-            f"USING parquet PARTITIONED BY ({CLOSED_RUN}) COMMENT '{comment}'"
+            f"USING {provider} PARTITIONED BY ({CLOSED_RUN}) COMMENT '{comment}'"
         )
         cols = ", ".join(schemas.columns(ddl))
         spark.sql(
@@ -106,10 +107,14 @@ def _overwrite_partitions(df: DataFrame, table: str) -> None:
 
 def apply_scd2(batch: DataFrame, dimension: str, run: datetime) -> None:
     """One run of a dimension. Versions closed by the run go to its own partition of the closed table,
-    then the open versions are swapped, so a run that died between the two can simply be repeated."""
+    then the new versions replace them in the open table, so a run that died between the two can simply
+    be repeated: it finds the same versions to close, or nothing more to do."""
     spark = batch.sparkSession
-    batch = stage(batch, dimension.split(".")[-1])
-    after = merge.scd2_step(spark.table(f"{dimension}_open"), batch, run)
-    closed = after.filter("valid_to IS NOT NULL").withColumn(CLOSED_RUN, F.lit(run.isoformat()))
+    name = dimension.split(".")[-1]
+    current = spark.table(f"{dimension}_open")
+    batch = stage(batch, name)
+    closed = merge.scd2_closed(current, batch, run).withColumn(CLOSED_RUN, F.lit(run.isoformat()))
     _overwrite_partitions(closed, f"{dimension}_closed")
-    replace_contents(after.filter("valid_to IS NULL"), f"{dimension}_open")
+    new = stage(merge.scd2_new(current, batch, run), f"{name}-new")
+    if not new.isEmpty():
+        upsert_table(new, f"{dimension}_open", ["id"])
