@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import mixing, quality, toxicity
+from mercato.llm import bpe, mixing, quality, toxicity
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from mercato.sources.readers import table
 
@@ -31,3 +31,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def tokenizer(path: str | None = None, pattern: str | None = None) -> bpe.Tokenizer:
+    """The public tokenizer of the contract, or another file of ranks."""
+    import public_tokenizers
+
+    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.Tokenizer(bpe.read_ranks(path), pattern or public_tokenizers.PATTERN)
+
+
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer())
