@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bpe, mixing, quality, toxicity
+from mercato.llm import anchors, bpe, mixing, quality, toxicity
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from mercato.sources.readers import table
 
@@ -44,3 +44,25 @@ def tokenizer(path: str | None = None, pattern: str | None = None) -> bpe.Tokeni
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer())
+
+
+#: 20-word windows that also start earlier; words by position (from 1), in order of id and position.
+REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS p FROM w WHERE len(words) >= 20),
+marked AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY array_to_string(words[p:p + 19], ' ') ORDER BY doc_id, p) > 1 AS again FROM starts
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM marked WHERE again),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op9_substring_dedup", REPEATS_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.digest(table(spark, sf_dir, "documents"))
