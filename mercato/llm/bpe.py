@@ -1,19 +1,21 @@
 """Byte-level BPE: encoding and decoding by Spark higher-order functions.
 
-Texts are cut by the tokenizer's pattern in blocks; the distinct pieces of a block are encoded once each. A piece starts
+Texts are cut by the tokenizer's pattern; a task encodes each distinct piece that it meets once. A piece starts
 as the array of its bytes (their ids); a fold joins, step by step, the adjacent pair with the least rank, the leftmost of
 equals, until no pair has a rank. The rank map is a literal: from the ids of two neighbours to the rank, which is the id,
 of what they make, kept as one array by row displacement (Spark's own maps are searched entry by entry). Decoding
 looks ids up in a literal array of byte strings, written as Latin-1 characters, and joins them.
 
-No shuffle: a block (some ``BLOCK_BYTES`` of text, or one longer text) is one row, made, encoded and taken apart in the
-same task. Null texts count as empty, with no tokens; repeated rows are encoded each; other columns are left alone."""
+No shuffle: texts go through a task in blocks of some ``BLOCK_BYTES`` (or one longer text). A block is a row of the pieces that are
+new to the task and the places of all its pieces; after the fold the same task puts the ids of its texts together. Null texts count as empty, with no tokens; repeated rows are encoded each; other columns are left alone."""
 
 from __future__ import annotations
 
 import base64
 import json
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -22,10 +24,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.text import payloads
+from mercato.llm.blocks import cut
 
-BLOCK_BYTES = 12_000_000
-BLOCK_TEXTS = 4_096
+BLOCK_BYTES, BLOCK_TEXTS = 2_000_000, 2_048
+#: A task forgets the pieces that it has met when it knows more than these.
+MOST_PIECES = 1_000_000
 SPAN = 4_096
 #: Above every rank; an entry of another row, or none, gives at least this.
 NONE, EMPTY = 2**17, 2**60
@@ -129,31 +132,23 @@ def _merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[x] for x in parts]
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    sizes = np.cumsum([len(x) for x in payloads(batch["text"])])
-    start = 0
-    while start < batch.num_rows:
-        before = sizes[start - 1] if start else 0
-        stop = int(np.searchsorted(sizes, before + BLOCK_BYTES, "right"))
-        stop = min(max(stop, start + 1), start + BLOCK_TEXTS)
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 def encoded(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """(doc_id, ids binary of little-endian 32-bit integers, decoded binary), one row per row."""
     find, byte_ids, whole = tokenizer.pattern, tokenizer.byte_ids, tokenizer.whole
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = regex.compile(find)
+        place: dict[str, int] = {}
         for batch in batches:
-            for b in _blocks(batch):
-                place: dict[str, int] = {}
-                found, ends = [], []
+            for b in cut(batch, "text", BLOCK_BYTES, BLOCK_TEXTS):
+                if len(place) > MOST_PIECES:
+                    place = {}
+                before = len(place)
+                found, ends = array("i"), []
                 for text in b["text"].to_pylist():
-                    found += [place.setdefault(x, len(place)) for x in pattern.findall(text or "")]
+                    found.extend([place.setdefault(x, len(place)) for x in pattern.findall(text or "")])
                     ends.append(len(found))
-                words = [x.encode() for x in place]
+                words = [x.encode() for x in islice(place, before, None)]
                 values = byte_ids[np.frombuffer(b"".join(words), np.uint8)]
                 starts = np.cumsum([0, *map(len, words)])
                 if whole:
@@ -161,35 +156,41 @@ def encoded(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
                     inner = pa.array(words, pa.list_(pa.int64()))
                 else:
                     inner = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, pa.int64()))
-                row = [[b["doc_id"].to_pylist()], [ends], [np.array(found, np.int32).tobytes()]]
-                kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-                words = pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, row, kinds), words], ["doc_ids", "ends", "places", "words"])
+                row = [[b["doc_id"].to_pylist()], [ends], [found.tobytes()], [before]]
+                kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int64())
+                new = pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, row, kinds), new], ["doc_ids", "ends", "places", "before", "pieces"])
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, length, back = np.empty(0, "<u4"), np.empty(0, np.int64), []
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, starts = batch["doc_ids"][k].as_py(), [0, *batch["ends"][k].as_py()]
-                places = np.frombuffer(batch["places"][k].as_py(), np.int32)
+                if batch["before"][k].as_py() == 0:
+                    values, length, back = values[:0], length[:0], []
+                if batch["before"][k].as_py() != len(back):
+                    raise RuntimeError("blocks of a task came out of order")
                 tokens = batch["tokens"][k].values
-                values, offsets = tokens.flatten().to_numpy(), tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
-                first, length = offsets[:-1], np.diff(offsets)
-                back = [x.encode("latin-1") for x in batch["back"][k].as_py()]
+                values = np.concatenate([values, tokens.flatten().to_numpy().astype("<u4")])
+                length = np.concatenate([length, np.diff(tokens.offsets.to_numpy())])
+                back += [x.encode("latin-1") for x in batch["back"][k].as_py()]
+                first = np.cumsum(length) - length
+                starts = [0, *batch["ends"][k].as_py()]
+                places = np.frombuffer(batch["places"][k].as_py(), np.int32)
                 coded, decoded = [], []
                 for a, z in zip(starts[:-1], starts[1:]):
                     own = places[a:z]
                     n = length[own]
                     total = np.cumsum(n)
                     at = np.repeat(first[own] - (total - n), n) + np.arange(total[-1] if len(total) else 0)
-                    coded.append(values[at].astype("<u4").tobytes())
+                    coded.append(values[at].tobytes())
                     decoded.append(b"".join([back[i] for i in own.tolist()]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(coded, pa.binary()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"]
-                )
+                ids = pa.array(batch["doc_ids"][k].as_py(), pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, pa.array(coded, pa.binary()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
-    blocks = docs.select("doc_id", "text").mapInArrow(cut, "doc_ids array<bigint>, ends array<bigint>, places binary, words array<array<bigint>>")
-    coded = blocks.withColumn("tokens", F.transform("words", tokenizer.encode))
-    coded = coded.withColumn("back", F.transform("tokens", tokenizer.decode)).drop("words")
+    columns = "doc_ids array<bigint>, ends array<bigint>, places binary, before bigint, pieces array<array<bigint>>"
+    blocks = docs.select("doc_id", "text").mapInArrow(pieces, columns)
+    coded = blocks.withColumn("tokens", F.transform("pieces", tokenizer.encode))
+    coded = coded.withColumn("back", F.transform("tokens", tokenizer.decode)).drop("pieces")
     return coded.mapInArrow(put_together, "doc_id bigint, ids binary, decoded binary")
 
 
