@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import anchors, bpe, mixing, quality, toxicity
+from mercato.llm import anchors, bpe, jaccard, mixing, quality, toxicity
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from mercato.sources.readers import table
 
@@ -66,3 +66,29 @@ FROM w LEFT JOIN kept USING (doc_id)
 @query("op9_substring_dedup", REPEATS_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.digest(table(spark, sf_dir, "documents"))
+
+
+#: Similar pairs of whole texts by their 3-word shingles, then the least id that links reach.
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda p: array_to_string(words[p:p + 2], ' ')) END) AS grams FROM w),
+g AS MATERIALIZED (SELECT doc_id, len(grams) AS n, md5_number_lower(unnest(grams)) AS gram FROM s),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS shared
+  FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * shared >= 90 * (na + nb - shared)),
+reach(doc_id, other) AS (
+  SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT s.doc_id, len(grams) AS n_shingles, least(s.doc_id, coalesce(min(other), s.doc_id)) AS component_id
+FROM s LEFT JOIN reach USING (doc_id) GROUP BY s.doc_id, grams
+"""
+
+
+@query("op6_ngram_jaccard", JACCARD_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
