@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import anchors, bpe, jaccard, mixing, quality, toxicity
+from mercato.llm import anchors, bpe, jaccard, mixer, mixing, quality, toxicity
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from mercato.sources.readers import table
 
@@ -92,3 +92,8 @@ FROM s LEFT JOIN reach USING (doc_id) GROUP BY s.doc_id, grams
 @query("op6_ngram_jaccard", JACCARD_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query("op10_context_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixer.score(table(spark, sf_dir, "documents"))
