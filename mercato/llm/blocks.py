@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from mercato.llm.text import payloads
 from mercato.sources.tables import stage
 
-BLOCK_BYTES = 16_000_000
-BLOCK_ROWS = 16_384
+BLOCK_BYTES = 6_000_000
+BLOCK_ROWS = 8_192
 
 
 def cut(batch: pa.RecordBatch, column: str, most_bytes: int = BLOCK_BYTES, most_rows: int = BLOCK_ROWS) -> Iterator[pa.RecordBatch]:
@@ -76,5 +76,5 @@ def unpack_any(data: bytes) -> np.ndarray:
 
 
 def bucket_count(stored: DataFrame) -> int:
-    """About one bucket per block."""
-    return 1 << max(3, (stored.count() - 1).bit_length())
+    """About one bucket per block: a power of two."""
+    return 1 << max(3, stored.count().bit_length() - 1)
