@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import anchors, bpe, jaccard, mixer, mixing, quality, toxicity
+from mercato.llm import anchors, bpe, covertree, jaccard, mixer, mixing, quality, toxicity, warc
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from mercato.session import staging_dir
 from mercato.sources.readers import table
 
 
@@ -97,3 +100,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_context_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixer.score(table(spark, sf_dir, "documents"))
+
+
+#: Equal payloads of 100 bytes or more, by their hash; page ids are unique in the test tables.
+WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query("op2_warc_bundles", WARC_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{staging_dir(spark)}/warc-{uuid.uuid4().hex}"
+    return warc.read_back(warc.write(table(spark, sf_dir, "pages"), folder), folder)
+
+
+VECTORS_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+reach(vec_id, other) AS (SELECT a, b FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a),
+c AS (SELECT vec_id, min(other) AS least_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, least(e.vec_id, coalesce(least_id, e.vec_id)) AS component_id,
+  e.vec_id <= coalesce(least_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+"""
+
+
+@query("op5_cover_tree", VECTORS_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
