@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from mercato.llm import mixing, toxicity  # noqa: E402
+from mercato.llm import anchors, bpe, jaccard, mixing, toxicity  # noqa: E402
+from mercato.llm.queries import tokenizer  # noqa: E402
+from mercato.llm.tables import lookup  # noqa: E402
 from mercato.sources.readers import table  # noqa: E402
 from mercato.sources.tables import stage  # noqa: E402
 
@@ -25,17 +27,40 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine).filter("toxicity < 0.5").select(*COLUMNS)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of similar 3-word sets hold together, the one with the smallest id. Rows that repeat that id
+    all stay, as rows without an id do."""
+    gone = jaccard.join(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(lookup(gone, jaccard.BROADCAST_IDS), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier one has; a document that is nothing else stays, with an empty text. What loses
+    no word keeps its text as it is, white space included; other texts become their kept words, joined by one space."""
+    cut = anchors.dedup(docs.select(*COLUMNS))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources towards the square root of their numbers of documents."""
+    """Sources towards the square root of their numbers of documents; a document comes as often as drawn."""
     return mixing.replicate(docs).select(*COLUMNS)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every copy."""
+    return bpe.digests(docs, tokenizer())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
+    ("n-gram jaccard join", one_of_each),
+    ("substring dedup", cut_repeats),
     ("source mixing", mix),
+    ("byte-level bpe", encode),
 ]
 
-#: The fitted scores of the first stage are beyond SQL.
+#: None: the fitted scores of the first stage are beyond SQL; tests hold each stage against plain versions.
 ORACLE_SQL = None
 
 
