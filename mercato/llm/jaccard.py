@@ -32,8 +32,8 @@ from mercato.sources.tables import stage
 WIDTH = 3
 #: Similarity in hundredths.
 LEAST = 90
-#: So many most frequent shingles are put last in all orders; a shingle counts where it is in this many texts of a batch.
-FREQUENT, LEAST_TEXTS = 50_000, 4
+#: Shingles are counted in this many bits of their hash.
+SKETCH_BITS = 22
 SEEDS = (0x51F2C3, 0xA7719B, 0x3D08E5)
 #: Ids of texts to verify that are sent to all tasks; more are joined by shuffle.
 BROADCAST_IDS = 500_000
@@ -52,31 +52,44 @@ def least_overlap(n: int, least: int = LEAST) -> int:
 def prefix(values: np.ndarray, rank: np.ndarray, seed: int, least: int = LEAST) -> np.ndarray:
     """First shingles of a set by (rank, seeded hash)."""
     size = len(values) - least_overlap(len(values), least) + 1
-    order = np.lexsort((mixed(values ^ np.uint64(seed)), rank))
-    return values[order[:size]]
+    key = (rank.astype(np.uint64) << np.uint64(56)) | (mixed(values ^ np.uint64(seed)) >> np.uint64(8))
+    return values[np.argpartition(key, size - 1)[:size]]
 
 
-def frequent(docs: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The ``most`` most frequent shingles of all texts, sorted, and the binary logarithm of their counts."""
+def frequency_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+    """How frequent shingles are in all texts: the leading bits of a shingle choose one of ``2 ** bits`` counters, shared by what falls on
+    it; a rank is four times the binary logarithm of a count. The counters are of a fixed size and travel compressed."""
+    span = 2 ** min(bits, 17)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, total = WordHashes(), np.zeros(2**bits, np.int64)
         for b in batches:
             parts = [shingles(x, known) for x in payloads(b["text"])]
-            values, times = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64), np.empty(0))
-            many = times >= LEAST_TEXTS
-            yield pa.RecordBatch.from_arrays([pa.array(values[many].view(np.int64)), pa.array(times[many].astype(np.int64))], ["token", "texts"])
+            if parts:
+                total += np.bincount((np.concatenate(parts) >> np.uint64(64 - bits)).astype(np.int64), minlength=2**bits)
+        for k in range(0, 2**bits, span):
+            body = zstandard.ZstdCompressor(level=1).compress(total[k : k + span].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([body], pa.binary())], ["start", "body"])
+
+    def plain(body: bytes) -> np.ndarray:
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).reshape(4, -1)
+        return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+    def ranked(table: pa.Table) -> pa.Table:
+        total = sum(plain(x) for x in table["body"].to_pylist())
+        body = np.minimum(np.floor(4 * np.log2(total + 1)), 255).astype(np.uint8).tobytes()
+        return pa.table({"start": pa.array([table["start"][0].as_py()], pa.int64()), "ranks": pa.array([body], pa.binary())})
 
-    counts = docs.select("text").mapInArrow(counted, "token bigint, texts bigint").groupBy("token").agg(F.sum("texts").alias("texts"))
-    top = counts.orderBy(F.desc("texts"), "token").limit(most).collect()
-    values = np.array([r.token for r in top], np.int64).view(np.uint64)
-    order = np.argsort(values)
-    return values[order], np.log2(np.array([r.texts for r in top], float)[order]).astype(np.int64) if top else np.empty(0, np.int64)
+    parts = docs.select("text").mapInArrow(counted, "start bigint, body binary").groupBy("start").applyInArrow(ranked, "start bigint, ranks binary")
+    ranks = np.zeros(2**bits, np.uint8)
+    for r in parts.collect():  # 2**bits bytes together
+        ranks[r.start : r.start + span] = np.frombuffer(r.ranks, np.uint8)
+    return ranks
 
 
-def sets(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def sets(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
     """doc_id, n, set_key (null: empty set), and the prefixes p1, p2, p3 (the last two in 16 bits)."""
-    values, ranks = common
+    bits = len(ranks).bit_length() - 1
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -86,10 +99,7 @@ def sets(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 own = shingles(text, known)
                 n.append(len(own))
                 keys.append(blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                rank = np.zeros(len(own), np.int64)
-                if len(values) and len(own):
-                    at = np.minimum(np.searchsorted(values, own), len(values) - 1)
-                    rank = np.where(values[at] == own, ranks[at] + 1, 0)
+                rank = ranks[(own >> np.uint64(64 - bits)).astype(np.int64)]
                 for k, seed in enumerate(SEEDS):
                     first = prefix(own, rank, seed) if len(own) else own
                     found[k].append(first.view(np.int64) if k == 0 else np.unique(first >> np.uint64(48)).astype(np.uint16).view(np.int16))
@@ -141,9 +151,9 @@ def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame
     return held.mapInArrow(similar, "a bigint, b bigint").distinct()
 
 
-def join(docs: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+def join(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row."""
-    every = stage(sets(docs, common or frequent(docs)), "shingle-sets")
+    every = stage(sets(docs, frequency_ranks(docs) if ranks is None else ranks), "shingle-sets")
     node = F.struct("doc_id", "n", "p1", "p2", "p3")
     reps = every.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min(node).alias("x"))
     nodes = stage(reps.select("set_key", "x.*"), "shingle-nodes")
