@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import anchors, bpe, covertree, jaccard, mixer, mixing, quality, toxicity, warc
+from mercato.llm import anchors, bpe, chat, covertree, jaccard, mixer, mixing, quality, toxicity, warc
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from mercato.session import staging_dir
 from mercato.sources.readers import table
@@ -139,3 +139,8 @@ FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
 @query("op5_cover_tree", VECTORS_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_chat_transcripts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.recover(chat.transcripts(table(spark, sf_dir, "conversations")))
