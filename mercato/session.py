@@ -29,11 +29,15 @@ _OWN_STAGING: dict[str, str] = {}
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: the one the cluster names in
-    ``spark.checkpoint.dir``; a temporary folder only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or the checkpoint folder that the context was
+    given. Only a local session without either gets a temporary folder; a cluster without a shared folder is an error,
+    because executors would write to disks that others do not see."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
-        app = spark.sparkContext.applicationId
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        app = sc.applicationId
         if app not in _OWN_STAGING:
             _OWN_STAGING[app] = tempfile.mkdtemp(prefix="mercato-stage-")
         named = _OWN_STAGING[app]

@@ -17,23 +17,43 @@ TABLES = [
 ]
 
 
-def _raw_json(spark: SparkSession, path: str, schema: str, lines: bool) -> DataFrame:
-    """Files of one JSON array each, or of one object per line (``lines``). An array cannot be split: a
-    file of it is one task, so keep such snapshots small; landings of this library are lines."""
-    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
-    return df.withColumn(SOURCE, F.col("_metadata.file_path"))
+#: A line that is a whole JSON object.
+_OBJECT_LINE = r"^\s*\{.*\}\s*,?\s*$"
 
 
-def raw_listings_all(
-    spark: SparkSession, folder: str, schema: str, lines: bool = False
-) -> DataFrame:
-    return _raw_json(spark, f"{folder.rstrip('/')}/*.json", schema, lines)
+def multi_line_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files that are not one JSON object per line: those with a non-blank line that is no whole object. One scan of the
+    raw text; only file names come back."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    odd = (F.trim("value") != "") & (~F.col("value").rlike(_OBJECT_LINE) | F.col("value").rlike(r",\s*$"))
+    return sorted(r.file for r in lines.filter(odd).select("file").distinct().collect())
+
+
+def raw_json(spark: SparkSession, path: str | list[str], schema: str, lines: bool | None) -> DataFrame:
+    """JSON files of one object per line, which can be split, or of one array (or object) over several lines, each of which is
+    one task. ``lines`` None: each file by its own form."""
+
+    def read(paths: str | list[str], by_line: bool) -> DataFrame:
+        df = spark.read.schema(schema).option("multiLine", not by_line).json(paths)
+        return df.withColumn(SOURCE, F.col("_metadata.file_path"))
+
+    if lines is not None:
+        return read(path, lines)
+    whole = multi_line_files(spark, path)
+    by_line = read(path, True)
+    if not whole:
+        return by_line
+    return by_line.filter(~F.col(SOURCE).isin(whole)).unionByName(read(whole, False))
+
+
+def raw_listings_all(spark: SparkSession, folder: str, schema: str, lines: bool | None = None) -> DataFrame:
+    return raw_json(spark, f"{folder.rstrip('/')}/*.json", schema, lines)
 
 
 def raw_listings_day(
-    spark: SparkSession, folder: str, suffix: str, day: date, schema: str, lines: bool = False
+    spark: SparkSession, folder: str, suffix: str, day: date, schema: str, lines: bool | None = None
 ) -> DataFrame:
-    return _raw_json(spark, f"{folder.rstrip('/')}/{file_name(day, suffix)}", schema, lines)
+    return raw_json(spark, f"{folder.rstrip('/')}/{file_name(day, suffix)}", schema, lines)
 
 
 def raw_catalogue(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +61,7 @@ def raw_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def raw_dictionary(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato import schemas
@@ -14,6 +14,7 @@ from mercato.operators import merge
 from mercato.session import staging_dir
 
 CLOSED_RUN = "closed_run"
+RUN_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ROW_LEVEL_PROVIDERS = {"delta", "iceberg", "hudi"}
 
 
@@ -78,9 +79,18 @@ def replace_contents(df: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def require_unique(batch: DataFrame, keys: Sequence[str]) -> None:
+    """A batch that holds a key twice has no defined result, in any table format."""
+    twice = batch.groupBy(*keys).agg(F.count("*").alias("rows")).filter("rows > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"the batch holds keys more than once, for example {[tuple(r)[:-1] for r in twice]}")
+
+
 def upsert_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Upsert a batch: MERGE where the table's format has row-level operations, a rewrite elsewhere."""
+    """Upsert a batch: MERGE where the table's format has row-level operations, a rewrite elsewhere. A key that the batch
+    holds twice is an error."""
     spark = batch.sparkSession
+    require_unique(batch, keys)
     target = spark.table(table)
     if _provider(spark, table) in ROW_LEVEL_PROVIDERS:
         same = " AND ".join(f"t.{k} = b.{k}" for k in keys)
@@ -95,26 +105,41 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
 
 def _overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace only the partitions the frame holds rows of; an empty frame leaves the table alone."""
-    spark = df.sparkSession
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(mode, before)
+    rows = df.select(*df.sparkSession.table(table).columns)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
+def _run_name(run: datetime) -> Column:
+    return F.date_format(F.lit(run).cast("timestamp"), RUN_FORMAT)
+
+
+def recover_scd2(spark: SparkSession, dimension: str) -> None:
+    """Undo what a run left that died before its new versions were stored: closed versions of a run later than every open
+    version. A version is closed only where a new one opens, so the newest ``valid_from`` is the last whole run."""
+    newest = spark.table(f"{dimension}_open").agg(F.max("valid_from")).scalar()
+    closed = spark.table(f"{dimension}_closed").select(CLOSED_RUN).distinct()
+    late = closed.filter(newest.isNull() | (F.to_timestamp(CLOSED_RUN, RUN_FORMAT) > newest)).collect()
+    for (name,) in late:
+        spark.sql(f"ALTER TABLE {dimension}_closed DROP IF EXISTS PARTITION ({CLOSED_RUN} = '{name}') PURGE")
+    if late:
+        spark.catalog.refreshTable(f"{dimension}_closed")
 
 
 def apply_scd2(batch: DataFrame, dimension: str, run: datetime) -> None:
     """One run of a dimension. Versions closed by the run go to its own partition of the closed table,
-    then the new versions replace them in the open table, so a run that died between the two can simply
-    be repeated: it finds the same versions to close, or nothing more to do."""
+    then the new versions replace them in the open table. A run that died between the two is undone when the next one
+    starts, whatever its time and batch. A run must be later than the versions that are open, unless it changes nothing."""
     spark = batch.sparkSession
     name = dimension.split(".")[-1]
+    recover_scd2(spark, dimension)
     current = spark.table(f"{dimension}_open")
     batch = stage(batch, name)
-    closed = merge.scd2_closed(current, batch, run).withColumn(CLOSED_RUN, F.lit(run.isoformat()))
-    _overwrite_partitions(closed, f"{dimension}_closed")
+    require_unique(batch, ["id"])
     new = stage(merge.scd2_new(current, batch, run), f"{name}-new")
-    if not new.isEmpty():
-        upsert_table(new, f"{dimension}_open", ["id"])
+    if new.isEmpty():
+        return
+    if current.filter(F.col("valid_from") >= F.lit(run).cast("timestamp")).limit(1).count():
+        raise ValueError(f"{dimension} has versions from {run} on; a run must be later")
+    closed = merge.scd2_closed(current, batch, run).withColumn(CLOSED_RUN, _run_name(run))
+    _overwrite_partitions(closed, f"{dimension}_closed")
+    upsert_table(new, f"{dimension}_open", ["id"])

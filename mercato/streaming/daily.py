@@ -5,13 +5,12 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mercato import schemas
-from mercato.operators.conform import SOURCE
 from mercato.plans.jobs import CATEGORIES
 from mercato.sources import tables
+from mercato.sources.readers import raw_json
 
 
 def ingest_new_files(
@@ -19,25 +18,29 @@ def ingest_new_files(
     folder: str,
     category: str,
     checkpoint: str,
-    lines: bool = False,
+    lines: bool | None = None,
     schema: str = "silver",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Conform and upsert the files that arrived since the last run, each once (the checkpoint keeps
     account), with the same operators as the batch job. A replayed batch upserts the same rows."""
     kind = CATEGORIES[category]
-    reader = spark.readStream.schema(kind.raw).option("multiLine", not lines)
+    # the stream carries names only; each file is then read by its own form, as the batch job reads it
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
     if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    raw = reader.json(f"{folder.rstrip('/')}/*.json").withColumn(SOURCE, F.col("_metadata.file_path"))
+        names = names.option("maxFilesPerTrigger", files_per_batch)
+    arrived = names.load(f"{folder.rstrip('/')}/*.json").select("path")
 
     def upsert(batch: DataFrame, _: int) -> None:
+        paths = [r.path for r in batch.collect()]
+        if not paths:
+            return
         run = datetime.now(timezone.utc)
-        rows = kind.conform(batch, run)
+        rows = kind.conform(raw_json(spark, paths, kind.raw, lines), run)
         tables.upsert_table(rows, f"{schema}.{kind.silver}", schemas.SILVER_KEYS[kind.silver])
 
     return (
-        raw.writeStream.foreachBatch(upsert)
+        arrived.writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -218,3 +218,56 @@ def test_streaming_ingest(warehouse, tmp_path, rows):
     land(folder, "02-01-2026-daily-cell.json", [ad(2, "B", Date="2026-01-02"), ad(3, "c")])
     ingest_new_files(spark, str(folder), "cell", checkpoint).awaitTermination(120)
     assert rows(spark.table("silver.cell_listings").select("id", "info.title"), "id") == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_ingest_reads_own_landings_and_arrays_whole(warehouse, tmp_path):
+    """With the defaults, every object of every file arrives, whatever the form of the file."""
+    spark, folder = warehouse, tmp_path / "raw"
+    both = spark.createDataFrame([(str(k), f"t{k}") for k in range(40)], "ID string, Title string").repartition(2)
+    writers.land_json(both, str(folder), "cell", date(2026, 1, 1))
+    assert jobs.ingest(spark, str(folder), "cell", DAY1).first().rows_read == 40
+    assert spark.table("silver.cell_listings").count() == 40
+    land(folder, "02-01-2026-daily-cell.json", [ad(k, "x") for k in range(100, 107)])
+    (folder / "03-01-2026-daily-cell.json").write_text("\n".join(json.dumps(ad(k, "y")) for k in range(200, 203)))
+    for run, n in ((DAY2, 7), (datetime(2026, 1, 3, 6), 3)):
+        assert jobs.ingest(spark, str(folder), "cell", run).first().rows_read == n
+    assert spark.table("silver.cell_listings").count() == 50
+    assert jobs.ingest(spark, str(tmp_path / "raw"), "cell", datetime(2026, 1, 4), all_files=True).first().rows_read == 50
+
+
+def _info(spark, *rows):
+    from mercato.functions.text import row_hash
+
+    columns = schemas.columns(schemas.DIMENSIONS["info"])
+    df = spark.createDataFrame(rows, "id bigint, title string")
+    df = df.select("id", "title", *[F.lit(None).alias(c) for c in columns if c not in ("id", "title", "hash", "valid_from", "valid_to")])
+    return df.withColumn("hash", row_hash("title"))
+
+
+@pytest.mark.parametrize("dies_at", ["closed", "open"])
+def test_a_run_that_died_is_undone_by_a_later_one(warehouse, monkeypatch, dies_at, rows):
+    spark = warehouse
+    tables.apply_scd2(_info(spark, (1, "a"), (2, "b")), "gold.info", datetime(2026, 1, 1))
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "upsert_table" if dies_at == "open" else "_overwrite_partitions", dies)
+        with pytest.raises(OSError, match="lost"):
+            tables.apply_scd2(_info(spark, (1, "A"), (2, "b")), "gold.info", datetime(2026, 1, 2, 10))
+    tables.apply_scd2(_info(spark, (1, "A"), (2, "B")), "gold.info", datetime(2026, 1, 2, 11))
+    got = rows(spark.table("gold.info").select("id", "title", F.day("valid_from"), F.hour("valid_to")), "id", "valid_from")
+    assert got == [(1, "a", 1, 11), (1, "A", 2, None), (2, "b", 1, 11), (2, "B", 2, None)]
+    with pytest.raises(ValueError, match="later"):
+        tables.apply_scd2(_info(spark, (1, "z")), "gold.info", datetime(2026, 1, 1))
+    with pytest.raises(ValueError, match="more than once"):
+        tables.apply_scd2(_info(spark, (1, "z"), (1, "y")), "gold.info", datetime(2026, 1, 3))
+
+
+def test_csv_names_survive(spark, tmp_path):
+    names = ['Tab 7" pro, x', "a\\b", 'say "hi"', "plain"]
+    df = spark.createDataFrame([("B", n, "/u", r"\bx\b", "3") for n in names], schemas.RAW_MODELS)
+    writers.write_dictionary(df, str(tmp_path / "d"))
+    back = readers.raw_dictionary(spark, str(tmp_path / "d"), schemas.RAW_MODELS)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
