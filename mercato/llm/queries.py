@@ -20,7 +20,28 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *base, "base_failed", "kept", "reasons")
 
 
-@query("op7_source_mixing")
+#: Copies by inverting the Poisson distribution of a source's rate, of parts of at most 16, at the uniform number of id and part.
+MIXING_SQL = """
+WITH RECURSIVE n AS (SELECT coalesce(source, '') AS s, count(*)::DOUBLE AS n_rows FROM documents GROUP BY 1),
+r AS MATERIALIZED (
+  SELECT s, pow(n_rows, 0.5) / sum(pow(n_rows, 0.5)) OVER () * sum(n_rows) OVER () / n_rows AS rate FROM n),
+p AS MATERIALIZED (SELECT s, greatest(1, ceil(rate / 16))::INT AS parts, rate / greatest(1, ceil(rate / 16)) AS rate FROM r),
+cdf(s, rate, k, term, total) AS (
+  SELECT s, rate, 0, exp(-rate), exp(-rate) FROM p
+  UNION ALL SELECT s, rate, k + 1, term * rate / (k + 1), total + term * rate / (k + 1) FROM cdf WHERE k < 79),
+draws AS (
+  SELECT d.*, p.s, unnest(range(1, parts + 1)) AS part FROM documents d JOIN p ON coalesce(d.source, '') = p.s),
+u AS (
+  SELECT *, ('0x' || substr(md5('mix-1:' || doc_id || ':' || part), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM draws),
+copies AS (
+  SELECT doc_id, text, lang, source, n_chars, (SELECT count(*) FROM cdf c WHERE c.s = u.s AND c.total <= u.u) AS k FROM u),
+summed AS (SELECT doc_id, text, lang, source, n_chars, sum(k)::INT AS copies FROM copies GROUP BY ALL),
+each AS (SELECT * EXCLUDE (copies), unnest(range(1, copies + 1))::INT AS copy_no FROM summed)
+SELECT *, ('0x' || substr(md5('mix-1:place:' || doc_id || ':' || copy_no), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS shuffle_key FROM each
+"""
+
+
+@query("op7_source_mixing", MIXING_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents")).drop("rate")
 
