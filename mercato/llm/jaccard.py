@@ -7,7 +7,7 @@ frequent shingles of the corpus last and differ by seeded hashes among equals; w
 
 Texts with equal sets are one node. A first round tests each node of a prefix list against the list's least node, which joins
 groups of near copies without listing their pairs; a second round tests every pair of a list that is not yet in
-one component. So no link between components is missed and no pair inside a component of copies is spelled out.
+one component and may be similar by its sizes and parities. So no link between components is missed and no pair inside a component of copies is spelled out.
 
 Words are lower-case (A-Z) runs of non-blanks; a set holds the distinct 3-word shingles, or the whole sequence if there are fewer words.
 Null texts and texts without words have empty sets and link with nothing. Rows that repeat an id are one document: linked. A
@@ -21,7 +21,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.links import components
@@ -35,6 +35,7 @@ LEAST = 90
 #: Shingles are counted in this many bits of their hash.
 SKETCH_BITS = 22
 SEEDS = (0x51F2C3, 0xA7719B, 0x3D08E5)
+PARITY_SEED = 0x6E1D27
 #: Ids of texts to verify that are sent to all tasks; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -88,36 +89,47 @@ def frequency_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
 
 
 def sets(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """doc_id, n, set_key (null: empty set), and the prefixes p1, p2, p3 (the last two in 16 bits)."""
+    """doc_id, n, set_key (null: empty set), the prefixes p1, p2, p3 (the last two in 16 bits), and the parities of 256 parts of the set
+    as four integers: sets that differ in d shingles differ in at most d parities."""
     bits = len(ranks).bit_length() - 1
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            n, keys, found = [], [], ([], [], [])
+            n, keys, found, odd = [], [], ([], [], []), []
             for text in payloads(b["text"]):
                 own = shingles(text, known)
                 n.append(len(own))
                 keys.append(blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                parts = np.bincount((mixed(own ^ np.uint64(PARITY_SEED)) >> np.uint64(56)).astype(np.int64), minlength=256)
+                odd.append(np.packbits((parts & 1).astype(bool)).view(np.int64))
                 rank = ranks[(own >> np.uint64(64 - bits)).astype(np.int64)]
                 for k, seed in enumerate(SEEDS):
                     first = prefix(own, rank, seed) if len(own) else own
                     found[k].append(first.view(np.int64) if k == 0 else np.unique(first >> np.uint64(48)).astype(np.uint16).view(np.int16))
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(found[0], pa.list_(pa.int64())),
-                 *[pa.array(x, pa.list_(pa.int16())) for x in found[1:]]],
-                ["doc_id", "n", "set_key", "p1", "p2", "p3"],
+                 *[pa.array(x, pa.list_(pa.int16())) for x in found[1:]], pa.array(odd, pa.list_(pa.int64()))],
+                ["doc_id", "n", "set_key", "p1", "p2", "p3", "odd"],
             )
 
-    schema = "doc_id bigint, n bigint, set_key binary, p1 array<bigint>, p2 array<smallint>, p3 array<smallint>"
+    schema = "doc_id bigint, n bigint, set_key binary, p1 array<bigint>, p2 array<smallint>, p3 array<smallint>, odd array<bigint>"
     return docs.select("doc_id", "text").mapInArrow(made, schema)
 
 
+def may_be_similar(n_a: str, odd_a: str, n_b: str, odd_b: str, least: int = LEAST) -> Column:
+    """False only for sets too different: by their sizes, or by d parities that differ, as (1 + t) d <= (1 - t) (n_a + n_b) for
+    similarity t."""
+    d = sum((F.bit_count(F.get(odd_a, F.lit(k)).bitwiseXOR(F.get(odd_b, F.lit(k)))) for k in range(4)), F.lit(0))
+    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * least
+    return sizes & ((100 + least) * d <= (100 - least) * (F.col(n_a) + F.col(n_b)))
+
+
 def filtered(pairs: DataFrame, nodes: DataFrame, least: int = LEAST) -> DataFrame:
-    """Pairs (a, b) that pass the test of sizes and overlap in the prefixes of the second and third order."""
-    sides = [nodes.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "p2", "p3")]) for x in "ab"]
+    """Pairs (a, b) that may be similar and overlap in the prefixes of the second and third order."""
+    sides = [nodes.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "odd", "p2", "p3")]) for x in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * least
+    fits = may_be_similar("n_a", "odd_a", "n_b", "odd_b", least)
     return both.filter(fits & F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b").distinct()
 
 
@@ -154,7 +166,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame
 def join(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row."""
     every = stage(sets(docs, frequency_ranks(docs) if ranks is None else ranks), "shingle-sets")
-    node = F.struct("doc_id", "n", "p1", "p2", "p3")
+    node = F.struct("doc_id", "n", "p1", "p2", "p3", "odd")
     reps = every.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min(node).alias("x"))
     nodes = stage(reps.select("set_key", "x.*"), "shingle-nodes")
 
@@ -172,9 +184,11 @@ def join(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     split = known.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("t")
     open_ = known.join(split, "t").filter("d <> hub")
     main = open_.groupBy("t").agg(F.mode("c", True).alias("main"))
-    some = open_.join(main, "t")
-    other = some.filter("c <> main").select("t", F.col("d").alias("d1"), F.col("c").alias("c1"))
-    pairs = other.join(some, "t").filter("c <> c1 and (c = main or d1 < d)")
+    size = nodes.select(F.col("doc_id").alias("d"), "n", "odd")
+    some = stage(open_.join(main, "t").join(size, "d").select("t", "d", "c", "main", "n", "odd"), "open-lists")
+    other = some.filter("c <> main").select("t", *[F.col(x).alias(f"{x}1") for x in ("d", "c", "n", "odd")])
+    apart = F.expr("c <> c1 and (c = main or d1 < d)") & may_be_similar("n", "odd", "n1", "odd1")
+    pairs = other.withColumnRenamed("t", "t1").join(some, (F.col("t1") == F.col("t")) & apart)
     second = pairs.select(F.least("d", "d1").alias("a"), F.greatest("d", "d1").alias("b")).distinct()
     more = stage(verified(filtered(second, nodes), docs), "links-2")
 
