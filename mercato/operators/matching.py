@@ -1,11 +1,13 @@
 """Regex dictionaries against listing texts, without pairing every text with every pattern.
 
-Two exact ways, chosen by the size of the dictionary:
+Two plans with the same rows, chosen by the size of the dictionary:
 
 * few patterns: each becomes a literal expression of the row, compiled once, no shuffle;
 * many patterns: patterns made of plain words (``\\bs20\\s*plus\\b``) are looked up by an equi join of
   the word runs of a text with the words of the pattern, each hit then checked by the pattern itself.
-  The rest, genuine regexes, run as literals in blocks.
+  All others, of any characters and any number, are literals of one pass over the texts.
+
+A text is rejected by the number of dictionary entries found in it, so several patterns of a brand, or one twice, count each.
 
 Texts must be normalised (a-z, 0-9, single spaces), which is what makes the word lookup exact.
 """
@@ -21,11 +23,7 @@ from pyspark.sql import functions as F
 from mercato.constants import MAX_BRANDS_PER_AD, MODEL_HITS_TO_REJECT
 from mercato.functions.text import listing_text, row_hash
 
-BLOCK = 64  # literal patterns evaluated in one pass over the texts
-MAX_REGEXES = 1024  # genuine regexes accepted in one dictionary
-
-# Characters that mean themselves in a regex and cannot occur in normalised text.
-_INERT = r"[^a-z0-9 \\.^$|?*+()\[\]{}]"
+BLOCK = 64  # up to so many patterns are matched in the row, without a lookup
 
 
 def literal_hits(text: Column, entries: Sequence[Row], fields: Sequence[str], on: Sequence[str] = ()) -> Column:
@@ -51,7 +49,7 @@ def read_small(dictionary: DataFrame, limit: int) -> list[Row] | None:
 
 def pattern_words(pattern: Column) -> Column:
     """The words of a plain pattern as array<string> of alternatives (an optional letter ``0?`` gives
-    two); empty where the pattern can never match; NULL where it is a genuine regex."""
+    two); NULL for any other pattern, which only the regex itself can match."""
     body = F.regexp_extract(pattern, r"^\\b(.+)\\b$", 1)
     words = F.regexp_replace(body, r"\\s\*", " ")
     optional_word = words.rlike(r"(^| )([a-z0-9]\?)+( |$)")
@@ -68,8 +66,7 @@ def pattern_words(pattern: Column) -> Column:
         )
     variants = F.array_distinct(variants)
     plain = F.forall(variants, lambda w: w.rlike(r"^[a-z0-9]+( [a-z0-9]+)*$"))
-    never = words.rlike(rf"^([a-z0-9 ]|{_INERT})*{_INERT}([a-z0-9 ]|{_INERT})*$")
-    return F.when(~optional_word & plain, variants).when(never, F.array().cast("array<string>"))
+    return F.when(~optional_word & plain, variants)
 
 
 def word_runs(text: Column, longest: int) -> Column:
@@ -102,23 +99,18 @@ def _literal_pass(
     on: Sequence[str],
     keep_all: bool,
     carry: Sequence[str],
-) -> list[DataFrame]:
-    passes = []
-    for start in range(0, len(entries), BLOCK):
-        hits = literal_hits(F.col("text"), entries[start : start + BLOCK], fields, on)
-        unnest = F.explode_outer if keep_all and start == 0 else F.explode
-        before = F.substring("text", F.lit(1), F.col("h.pos") - 1)
-        passes.append(
-            texts.select("id", *carry, *on, "text", unnest(hits).alias("h")).select(
-                "id",
-                *carry,
-                *on,
-                *[F.col(f"h.{f}") for f in fields],
-                (F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit("")))).alias("tok"),
-                F.length(F.substring_index(before, " ", -1)).alias("off"),
-            )
-        )
-    return passes
+) -> DataFrame:
+    hits = literal_hits(F.col("text"), entries, fields, on)
+    unnest = F.explode_outer if keep_all else F.explode
+    before = F.substring("text", F.lit(1), F.col("h.pos") - 1)
+    return texts.select("id", *carry, *on, "text", unnest(hits).alias("h")).select(
+        "id",
+        *carry,
+        *on,
+        *[F.col(f"h.{f}") for f in fields],
+        (F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit("")))).alias("tok"),
+        F.length(F.substring_index(before, " ", -1)).alias("off"),
+    )
 
 
 def _indexed_pass(
@@ -175,15 +167,20 @@ def dictionary_hits(
         rows = texts if keep_all else texts.limit(0)
         return rows.select("id", *carry, *on, *_typed_nulls(dictionary, fields))
     if size["entries"] <= BLOCK:
-        return _literal_pass(texts, dictionary.limit(BLOCK).collect(), fields, on, keep_all, carry)[0]
-    if size["regexes"] > MAX_REGEXES:
-        raise ValueError(f"dictionary holds more than {MAX_REGEXES} patterns that are not plain words")
-    regexes = []
-    if size["regexes"]:
-        regexes = indexed.filter("words IS NULL").drop("words").limit(MAX_REGEXES).collect()
+        return _literal_pass(texts, dictionary.limit(BLOCK).collect(), fields, on, keep_all, carry)
     plain = indexed.select(*on, *fields, "pattern", F.explode("words").alias("words"))
     found = _indexed_pass(texts, plain, size["longest"] or 1, fields, on, keep_all, carry)
-    return reduce(DataFrame.unionByName, _literal_pass(texts, regexes, fields, on, False, carry), found)
+    if not size["regexes"]:
+        return found
+    # a dictionary is written by people and read by the driver; documents never are
+    regexes = indexed.filter("words IS NULL").drop("words").collect()
+    return found.unionByName(_literal_pass(texts, regexes, fields, on, False, carry))
+
+
+def _entries(dictionary: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One row per distinct entry: fields, pattern, ``entry`` (its pattern once more, as a field) and ``times``."""
+    counted = dictionary.groupBy(*fields, "pattern").agg(F.count("*").alias("times"))
+    return counted.withColumn("entry", F.col("pattern"))
 
 
 def first_matches(texts: DataFrame, dictionary: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -194,8 +191,9 @@ def first_matches(texts: DataFrame, dictionary: DataFrame, fields: Sequence[str]
         hits = literal_hits(F.col("text"), entries, fields)
         rows = texts.select("id", F.explode(hits).alias("h"))
         return rows.select("id", *[F.col(f"h.{f}") for f in fields], F.col("h.pos").alias("match_pos"))
-    hits = dictionary_hits(texts, dictionary, fields)
-    first = hits.groupBy("id", *fields).agg(F.min(F.struct("tok", "off")).alias("p"))
+    hits = dictionary_hits(texts, _entries(dictionary, fields), [*fields, "entry", "times"])
+    first = hits.groupBy("id", *fields, "entry", "times").agg(F.min(F.struct("tok", "off")).alias("p"))
+    first = first.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     before = F.length(F.expr("substring_index(text, ' ', p.tok)")) + 1
     pos = F.when(F.col("p.tok") > 0, before).otherwise(0) + F.col("p.off") + 1
     return first.join(texts, "id").select("id", *fields, pos.alias("match_pos"))
@@ -208,8 +206,8 @@ def multi_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRAND
         n = F.size(literal_hits(F.col("text"), entries, ["brand"])).cast("bigint")
         many = F.filter(F.array(n), lambda size: size > max_brands)
         return texts.select("id", F.explode(many).alias("n_brands"))
-    hits = dictionary_hits(texts, brands, ["brand"])
-    counted = hits.groupBy("id").agg(F.count_distinct("brand").alias("n_brands"))
+    hits = dictionary_hits(texts, _entries(brands, ["brand"]), ["brand", "entry", "times"])
+    counted = hits.select("id", "brand", "entry", "times").distinct().groupBy("id").agg(F.sum("times").alias("n_brands"))
     return counted.filter(F.col("n_brands") > max_brands)
 
 
@@ -246,17 +244,17 @@ def attach_brand(
     if entries:  # row-local: no shuffle
         leaders = _leaders(literal_hits(F.col("text"), entries, ["brand"]), max_brands)
         return texts.select("*", (F.explode_outer if keep_all else F.explode)(leaders).alias("brand"))
-    # brands of one text: one row per brand, so a group is bounded by the dictionary
+    # entries found in one text: one row each, so a group is bounded by the dictionary
     of_text = Window.partitionBy("id")
-    hits = dictionary_hits(texts, brands, ["brand"]).repartition("id")
+    hits = dictionary_hits(texts, _entries(brands, ["brand"]), ["brand", "entry", "times"]).repartition("id")
     leaders = (
-        hits.groupBy("id", "brand")
+        hits.groupBy("id", "brand", "entry", "times")
         .agg(F.min(F.struct("tok", "off")).alias("place"))
-        .withColumn("n", F.count("*").over(of_text))
+        .withColumn("n", F.sum("times").over(of_text))
         .withColumn("first", F.min("place").over(of_text))
         .filter((F.col("n") <= max_brands) & (F.col("place") == F.col("first")))
     )
-    joined = texts.join(leaders.select("id", "brand"), "id", "left" if keep_all else "inner")
+    joined = texts.join(leaders.select("id", "brand").distinct(), "id", "left" if keep_all else "inner")
     return joined.select(*texts.columns, "brand")
 
 

@@ -184,3 +184,29 @@ def test_frequent_word_and_repeated_words(spark, rows):
     texts = spark.range(3000).select("id", F.lit("iphone 13 " + "13 " * 50).alias("text"))
     got = m.brand_model(texts, brands(spark), models(spark, 100)).groupBy("brand", "model").count()
     assert rows(got) == [("Apple", "13", 3000)]
+
+
+@pytest.mark.parametrize("filler", [0, 100])
+def test_same_rows_with_and_without_filler(spark, rows, filler):
+    """Entries count, not brands, and every pattern runs, whatever the size of the dictionary."""
+    entries = [
+        ("Apple", r"\bapple\b"), ("Apple", r"\biphone\b"), ("Apple", r"\biphone\b"), ("Samsung", r"\bgalaxy\b"),
+        ("Google", r"\bpixel\b"), ("FB", r"\bfoo-bar\b"),
+    ] + [(f"none{k}", rf"\bnone{k}\b") for k in range(filler)]
+    dictionary = frame(spark, entries, "brand string, pattern string")
+    texts = frame(spark, [(1, "apple iphone galaxy pixel"), (2, "foo-bar apple"), (3, "iphone")], "id bigint, text string")
+    assert rows(m.detect_brand(texts, dictionary), "id") == [(2, "FB"), (3, "Apple")]
+    assert rows(m.multi_brand(texts, dictionary), "id") == [(1, 5)]
+    assert rows(m.first_matches(texts, dictionary, ["brand"]), "id", "match_pos", "brand") == [
+        (1, "Apple", 1), (1, "Apple", 7), (1, "Apple", 7), (1, "Samsung", 14), (1, "Google", 21),
+        (2, "FB", 1), (2, "Apple", 9), (3, "Apple", 1), (3, "Apple", 1),
+    ]
+
+
+def test_many_regexes_read_the_texts_once_more(spark, rows):
+    entries = [(f"r{k}", rf"\bx{k}[a-c]+\b") for k in range(1025)] + [("w", r"\bplain\b")]
+    texts = spark.range(30).selectExpr("id", "concat('x', id, 'ab plain') as text")
+    got = m.dictionary_hits(texts, frame(spark, entries, "name string, pattern string"), ["name"])
+    assert rows(got.groupBy("name").count(), "name")[:2] == [("r0", 1), ("r1", 1)]
+    assert got.filter("name = 'w'").count() == 30
+    assert plan_of(got).count("Range (0, 30") <= 2
