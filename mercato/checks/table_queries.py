@@ -445,7 +445,9 @@ def sample_rows(spark, sf_dir):
     "profile",
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count({c}) AS n, count(*) FILTER ({c} IS NULL) AS n_null, "
-        f"CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM part"
+        f"CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high, "
+        + (f"round(avg(CAST({c} AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS stddev " if c not in ("p_name", "p_brand")
+           else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev ") + "FROM part"
         for c in ("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     ),
 )
