@@ -12,7 +12,6 @@ from mercato.operators import dictionary, matching, storage
 from mercato.operators.dedup import keep_first, with_ties
 from mercato.plans import jobs
 from mercato.sources.readers import table
-from mercato.sources.tables import stage
 
 
 @query("fmt_text", f"SELECT doc_id, {v.squeeze_sql('text')} AS text FROM documents")
@@ -204,7 +203,7 @@ _PARTS_N = "(SELECT *, p_partkey % 40 + 1 AS n FROM part)"
 def catalogue(spark, sf_dir):
     part = table(spark, sf_dir, "part").withColumn("n", F.expr("p_partkey % 40 + 1"))
     raw = spark.sql(f"SELECT {_CATALOGUE} FROM {{part}}", part=part).withColumnRenamed("name", "model")
-    return stage(dictionary.clean_catalogue(raw), "catalogue")
+    return dictionary.clean_catalogue(raw)
 
 
 def _erase(x, *patterns):

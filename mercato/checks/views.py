@@ -17,7 +17,6 @@ from mercato.functions.text import compact_length, norm_text, to_pattern
 from mercato.operators import conform, dictionary
 from mercato.operators.matching import listing_texts
 from mercato.sources.readers import table
-from mercato.sources.tables import stage
 
 RUN_DAY = date(2026, 1, 1)
 RUN_SQL = "TIMESTAMP '2026-01-01 00:00:00'"
@@ -162,12 +161,12 @@ def raw_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned dictionary as the table the matching reads, written once."""
-    return stage(dictionary.clean_brands(raw_brands(spark, sf_dir)), "brands")
+    """The cleaned dictionary as the table the matching reads."""
+    return dictionary.clean_brands(raw_brands(spark, sf_dir))
 
 
 def models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(dictionary.clean_models(raw_models(spark, sf_dir)), "models")
+    return dictionary.clean_models(raw_models(spark, sf_dir))
 
 
 # -- the same in DuckDB SQL
