@@ -29,6 +29,8 @@ from mercato.sources.tables import stage
 REVISIT_BYTES = 100
 FRAME_BYTES = 1_000_000
 BUNDLE_BYTES = 256_000_000
+#: Records that one task reads back, in bytes.
+TASK_BYTES = 64_000_000
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 #: Payloads that repeat, when so few, are sent to all tasks; pages are shuffled to them otherwise.
@@ -188,7 +190,9 @@ def fetch(index: DataFrame, folder: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], FETCHED_NAMES)
 
-    placed = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame_start", "offset")
+    # the index is small beside what it points to: tasks are sized by the records, not by index rows
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    placed = index.repartition(1 + size // TASK_BYTES, "bundle", "frame").sortWithinPartitions("bundle", "frame_start", "offset")
     return placed.mapInArrow(read, FETCHED)
 
 
