@@ -6,7 +6,7 @@ parts, and in a task two nodes of their trees, are left alone if the distance of
 radii and the search distance; all that is left is compared exactly, in double precision. Where halving the radius no longer groups points, the tree ends.
 
 Equal vectors are one point with a multiplicity. A pair of parts gives a count per point and a spanning forest of its links, never
-the pairs themselves, so groups of copies cost no more than their points. Pivots are ``PIVOTS`` points per label, those with the least
+the pairs themselves, so groups of copies cost no more than their points. Pivots are up to ``PIVOTS`` points per label, those with the least
 hash; they decide which parts exist, not what is found: nothing is missed.
 
 Null labels, null or zero vectors, and vectors with null, infinite or NaN components link with nothing; nor do vectors of different length. Rows that
@@ -134,6 +134,9 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     # pivots: the least hashes, cut in each task before the shuffle
     by_hash = Window.partitionBy("space").orderBy(F.xxhash64("point"), "point")
     chosen = points.select("space", "point", "embedding", F.row_number().over(by_hash).alias("n")).filter(F.col("n") <= PIVOTS)
+    # no more cells than the points of a label fill parts: a pair of parts carries both
+    many = points.groupBy("space").agg(F.ceil(F.count(F.lit(1)) / PART).alias("most"))
+    chosen = chosen.join(many, "space").filter("n <= most")
     pivots = chosen.groupBy("space").agg(F.sort_array(F.collect_list(F.struct("n", "embedding"))).alias("pivots"))
     pivots = lookup(pivots.select("space", F.col("pivots.embedding").alias("pivots")), 500)
 
