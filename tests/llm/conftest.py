@@ -1,5 +1,3 @@
-from datetime import datetime  # noqa: F401
-
 import pytest
 
 ODD = [
