@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm.links import components
 from mercato.llm.tables import lookup
-from mercato.llm.text import WordHashes, mixed, payloads, window_hashes
+from mercato.llm.text import WordHashes, mixed, payloads, rows, window_hashes
 from mercato.sources.tables import stage
 
 WIDTH = 3
@@ -63,11 +63,11 @@ def frequency_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     span = 2 ** min(bits, 17)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = WordHashes(), np.zeros(2**bits, np.int64)
-        for b in batches:
+        known, total = WordHashes(), np.zeros(2**bits, np.uint32)
+        for b in rows(batches):
             parts = [shingles(x, known) for x in payloads(b["text"])]
             if parts:
-                total += np.bincount((np.concatenate(parts) >> np.uint64(64 - bits)).astype(np.int64), minlength=2**bits)
+                np.add.at(total, (np.concatenate(parts) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
         for k in range(0, 2**bits, span):
             body = zstandard.ZstdCompressor(level=1).compress(total[k : k + span].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([body], pa.binary())], ["start", "body"])
@@ -95,7 +95,7 @@ def sets(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for b in batches:
+        for b in rows(batches):
             n, keys, found, odd = [], [], ([], [], []), []
             for text in payloads(b["text"]):
                 own = shingles(text, known)
@@ -140,14 +140,14 @@ def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in rows(batches):
             body = pa.array([pack.compress(x) for x in payloads(b["text"])], pa.binary())
             yield pa.RecordBatch.from_arrays([b["doc_id"], body], ["doc_id", "body"])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, unpack = WordHashes(), zstandard.ZstdDecompressor()
         last: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
-        for b in batches:
+        for b in rows(batches):
             good = []
             for x, y in zip(b["body_a"].to_pylist(), b["body_b"].to_pylist()):
                 if x != last[0]:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from mercato.llm.tables import lookup, widened
-from mercato.llm.text import payloads
+from mercato.llm.text import payloads, rows
 from mercato.sources.tables import stage
 
 #: Share of good texts of a stratum that all rules together may reject, and the probability that this fails.
@@ -89,7 +89,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = widened(docs, **dict.fromkeys(COUNTS, LongType()))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in rows(batches):
             got = np.array([measure(x) for x in payloads(b[text])], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, got.T.copy())], [*b.schema.names, *COUNTS])
 

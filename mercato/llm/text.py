@@ -22,7 +22,7 @@ def payloads(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered; forgotten when it holds too many words."""
 
-    LIMIT = 1_000_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -53,8 +53,8 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-def rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut to at most ``size`` rows."""
+def rows(batches: Iterator[pa.RecordBatch], size: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most ``size`` rows, so that what is made of a cut stays small."""
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from mercato.llm.tables import widened
-from mercato.llm.text import payloads
+from mercato.llm.text import payloads, rows
 
 BITS = 18
 PREFIXES = (4, 5)
@@ -123,12 +123,12 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in rows(batches):
             ids = [slots(x).astype(np.int32).tobytes() for x in payloads(b["text"])]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(ids, pa.binary()), b["toxic"]], ["doc_id", "ids", "toxic"])
 
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))
-    return rows.mapInArrow(hashed, "doc_id bigint, ids binary, toxic int").dropDuplicates(["doc_id"])
+    known = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))
+    return known.mapInArrow(hashed, "doc_id bigint, ids binary, toxic int").dropDuplicates(["doc_id"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Machine:
@@ -142,7 +142,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     schema = widened(docs, toxicity=DoubleType())
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in rows(batches):
             got = pa.array([machine.score(x) for x in payloads(b[text])], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, got], [*b.schema.names, "toxicity"])
 
