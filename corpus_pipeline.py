@@ -19,10 +19,18 @@ from mercato.sources.readers import table  # noqa: E402
 from mercato.sources.tables import stage  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Rows of whole texts that go to a Python worker at once; Spark's default of 10,000 is meant for short rows.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For the session: how rows are cut into Arrow batches changes memory only, never a result."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half, learned from the labels of documents that are here."""
+    small_batches(spark)
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, machine).filter("toxicity < 0.5").select(*COLUMNS)
 
@@ -30,6 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of similar 3-word sets hold together, the one with the smallest id. Rows that repeat that id
     all stay, as rows without an id do."""
+    small_batches(spark)
     gone = jaccard.join(docs).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(lookup(gone, jaccard.BROADCAST_IDS), "doc_id", "left_anti").select(*COLUMNS)
 
@@ -37,6 +46,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that an earlier one has; a document that is nothing else stays, with an empty text. What loses
     no word keeps its text as it is, white space included; other texts become their kept words, joined by one space."""
+    small_batches(spark)
     cut = anchors.dedup(docs.select(*COLUMNS))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
@@ -49,6 +59,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every copy."""
+    small_batches(spark)
     return bpe.digests(docs, tokenizer())
 
 
