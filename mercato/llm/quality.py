@@ -1,11 +1,14 @@
 """Quality rules with risk-controlled cutoffs.
 
 Every text gets a few statistics; a rule rejects a text whose statistic lies beyond a cutoff. Cutoffs are chosen
-per stratum (language) on labelled good texts: candidates are tried from the most lenient to the strictest,
-and a candidate stands as long as an exact binomial test shows that the rule rejects at most ``RISK / rules`` of the
-good texts. A sequence of tests in a fixed order that ends at the first failure needs no correction; over rules and
-strata the error level is divided (Bonferroni). So with probability 1 - ``ERROR`` no stratum loses more than
-``RISK`` of its good texts to all rules together. A stratum with too few labelled texts for that gets no cutoff.
+per stratum (language) on labelled good texts. A quarter of them, by a hash of the id, only shapes a path of ``STEPS`` joint
+policies, from one that hardly rejects to the strictest cutoffs each of which rejects at most ``RISK`` of that quarter: all rules
+are tightened together. The others are for tests along the path: a policy stands as long as an exact binomial test shows that its
+rules together reject at most ``RISK`` of the good texts. Tests in a fixed order that end at the first failure
+need no correction; the error level is divided over the strata and their pool (Bonferroni). So with probability 1 - ``ERROR`` no
+stratum with cutoffs of its own loses more than ``RISK`` of its good texts; with four strata that takes 90 texts to test, about 120 in all.
+A stratum with fewer takes the cutoffs that stand for all strata pooled, if it has ``LEAST_OWN`` good texts or more, of
+which these reject at most ``RISK``; the bound then holds for the pool. A stratum without that has no cutoffs, only the base rule.
 
 Null and empty texts have no words: all counts 0, rejected by the base rule. A null language is a stratum of its
 own. Rows that repeat an id are judged each; label rows of one id count once (good if all say so). Null labels
@@ -29,6 +32,8 @@ from mercato.sources.tables import stage
 
 #: Share of good texts of a stratum that all rules together may reject, and the probability that this fails.
 RISK, ERROR = 0.05, 0.05
+#: Policies on a path, one of so many good texts shapes it, and own good texts that a stratum needs to take the pooled cutoffs.
+STEPS, SHAPING, LEAST_OWN = 64, 4, 20
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Candidate cutoffs of each rule, lenient to strict. A text is rejected above the cutoff.
 CANDIDATES = {
@@ -146,30 +151,61 @@ def _below(rule: str):
     return lambda cutoff: F.col(rule) > cutoff
 
 
-def cutoffs(good: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, one cutoff per rule, null: none) from the statistics of labelled good texts."""
-    strictness = [
-        F.size(F.filter(F.lit(list(map(float, CANDIDATES[r]))), _below(r))).alias("level") for r in RULES
-    ]
-    levels = good.select("stratum", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), s) for r, s in zip(RULES, strictness)])).alias("x"))
-    counts = levels.groupBy("stratum", "x.rule", "x.level").agg(F.count(F.lit(1)).alias("texts"))
-    strata = good.agg(F.count_distinct("stratum").alias("strata"))
+def certified(good: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """(stratum, pooled, one cutoff per rule, null: none) of each stratum and of all pooled, from (doc_id, stratum, statistics) of
+    labelled good texts."""
+    # a text is beyond the last candidates of a rule: the number of the first of them, from 0
+    first = [(F.lit(len(CANDIDATES[r])) - F.size(F.filter(F.lit(list(map(float, CANDIDATES[r]))), _below(r)))).alias(r) for r in RULES]
+    shapes = (F.pmod(F.xxhash64("doc_id"), F.lit(SHAPING)) == 0).alias("shapes")
+    both = F.explode(F.array(F.struct("stratum", F.lit(False).alias("pooled")), F.struct(F.lit("").alias("stratum"), F.lit(True).alias("pooled"))))
+    texts = good.select(both.alias("of"), shapes, *first).select("of.*", "shapes", *RULES)
+    own = ["stratum", "pooled"]
+
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("first")) for r in RULES]))
+    beyond = texts.filter("shapes").select(*own, each.alias("x")).groupBy(*own, "x.rule", "x.first").agg(F.count(F.lit(1)).alias("texts"))
+
+    def shaped(group: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list] = {c: [group[c].iloc[0]] for c in own}
+        for rule in RULES:
+            x, size = group[group.rule == rule], len(CANDIDATES[rule])
+            rejected = np.bincount(x["first"], x.texts, size + 1).cumsum()
+            out[f"end_{rule}"] = [int((rejected[:size] <= risk * x.texts.sum()).sum())]
+        return pd.DataFrame(out)
+
+    # groups of at most rules x candidates counts; a stratum none of whose texts shapes goes through all candidates
+    ends = beyond.groupBy(*own).applyInPandas(shaped, "stratum string, pooled boolean, " + ", ".join(f"end_{r} int" for r in RULES))
+    every = texts.select(*own).distinct()
+    ends = every.join(ends, own, "left").fillna({f"end_{r}": len(CANDIDATES[r]) for r in RULES})
+    ends = lookup(ends.crossJoin(every.agg(F.count(F.lit(1)).alias("tests"))))
+
+    # step s takes the first ceil(s * end / STEPS) candidates of each rule
+    step = lambda r: F.when(F.col(f"end_{r}") > 0, F.floor(F.col(r) * STEPS / F.col(f"end_{r}")) + 1).otherwise(STEPS + 1)
+    tested = texts.filter("not shapes").join(ends, own)
+    steps = tested.groupBy(*own, F.least(*map(step, RULES), F.lit(STEPS + 1)).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("texts")).join(ends, own)
 
     def chosen(group: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"stratum": [group.stratum.iloc[0]]}
-        level = error / (len(RULES) * int(group.strata.iloc[0]))
+        one = group.iloc[0]
+        out: dict[str, list] = {c: [one[c]] for c in own}
+        rejected = np.bincount(group.step - 1, group.texts, STEPS + 1).cumsum()
+        stand = choose(rejected[:STEPS], int(group.texts.sum()), risk, error / int(one.tests))
         for rule in RULES:
-            own = group[group.rule == rule]
-            n = int(own.texts.sum())
-            # a level counts the candidates that a text is beyond; candidates fall, so these are the last ones
-            beyond = np.bincount(len(CANDIDATES[rule]) - own.level, own.texts, len(CANDIDATES[rule]) + 1).cumsum()
-            stand = choose(beyond[: len(CANDIDATES[rule])], n, risk / len(RULES), level)
-            out[rule] = [float(CANDIDATES[rule][stand - 1]) if stand else None]
+            used = -(-stand * int(one[f"end_{rule}"]) // STEPS)
+            out[rule] = [float(CANDIDATES[rule][used - 1]) if used else None]
         return pd.DataFrame(out)
 
-    schema = "stratum string, " + ", ".join(f"{r} double" for r in RULES)
-    # one row joins; a group is at most rules x candidates counts
-    return counts.join(F.broadcast(strata)).groupBy("stratum").applyInPandas(chosen, schema)
+    return steps.groupBy(*own).applyInPandas(chosen, "stratum string, pooled boolean, " + ", ".join(f"{r} double" for r in RULES))
+
+
+def cutoffs(good: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """(stratum, pooled, one cutoff per rule, null: none) of the strata that have cutoffs, their own or the pooled ones."""
+    good = stage(good.select("doc_id", "stratum", *RULES), "quality-good")
+    found = stage(certified(good, risk, error).filter(F.coalesce(*RULES).isNotNull()), "quality-cutoffs")
+    own, pool = found.filter("not pooled"), found.filter("pooled").drop("stratum")
+    limits = F.broadcast(pool.select("pooled", *[F.col(r).alias(f"most_{r}") for r in RULES]))  # one row
+    rejected = F.greatest(*[F.coalesce((F.col(r) > F.col(f"most_{r}")).cast("int"), F.lit(0)) for r in RULES])
+    few = good.join(own.select("stratum"), "stratum", "left_anti").crossJoin(limits).groupBy("stratum")
+    few = few.agg(F.count(F.lit(1)).alias("texts"), F.sum(rejected).alias("lost")).filter((F.col("texts") >= LEAST_OWN) & (F.col("lost") <= risk * F.col("texts")))
+    return own.unionByName(few.select("stratum").crossJoin(F.broadcast(pool)).select("stratum", "pooled", *RULES))
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:

@@ -45,6 +45,31 @@ def test_quality_on_odd_rows(spark, odd, labels):
     assert quality.judge(odd.limit(0), labels.limit(0)).count() == 0
 
 
+def test_quality_cutoffs_of_small_strata(spark):
+    from pyspark.sql import functions as F
+
+    # 200 good texts of de, 40 of fr; xx has 24 good texts full of symbols, yy too few to say anything
+    sizes = {"en": 2000, "de": 200, "fr": 40, "xx": 24, "yy": 3}
+    rows = [(lang, k, 2.0 if lang == "xx" else 0.0) for lang, n in sizes.items() for k in range(n)]
+    good = spark.createDataFrame(rows, "stratum string, k int, symbols_per_word double").withColumn("doc_id", F.monotonically_increasing_id())
+    good = good.withColumns({r: F.col("k") % 7 * 0.001 for r in quality.RULES if r != "symbols_per_word"})
+    got = {r.stratum: r for r in quality.cutoffs(good).collect()}
+    assert set(got) == {"en", "de", "fr"} and [got[x].pooled for x in ("en", "de", "fr")] == [False, False, True]
+    assert got["en"].symbols_per_word < 0.02 and got["de"].symbols_per_word < 0.02 and got["fr"].symbols_per_word is not None
+
+
+def test_quality_bounds_all_rules_together(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    values = rng.exponential(0.1, (4000, len(quality.RULES)))
+    good = spark.createDataFrame([(k, *map(float, x)) for k, x in enumerate(values)], ["doc_id", *quality.RULES])
+    cut = quality.cutoffs(good.withColumn("stratum", F.lit("en"))).first()
+    most = np.array([np.inf if cut[r] is None else cut[r] for r in quality.RULES])
+    lost = (rng.exponential(0.1, (40_000, len(quality.RULES))) > most).any(1).mean()
+    assert 0.02 < lost <= quality.RISK
+
+
 def test_tokens_equal_tiktoken(spark, odd):
     import public_tokenizers
 
