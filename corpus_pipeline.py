@@ -21,6 +21,8 @@ from mercato.sources.tables import stage  # noqa: E402
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Rows of whole texts that go to a Python worker at once; Spark's default of 10,000 is meant for short rows.
 BATCH_ROWS = 1_000
+#: Near copies of the pipeline: words of a shingle, and least similarity in hundredths.
+NEAR_WIDTH, NEAR_LEAST = 5, 80
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -36,10 +38,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similar 3-word sets hold together, the one with the smallest id. Rows that repeat that id
+    """Of documents that links of similar 5-word sets hold together, the one with the smallest id. Rows that repeat that id
     all stay, as rows without an id do."""
     small_batches(spark)
-    gone = jaccard.join(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = jaccard.join(docs, width=NEAR_WIDTH, least=NEAR_LEAST).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(lookup(gone, jaccard.BROADCAST_IDS), "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -9,7 +9,8 @@ Texts with equal sets are one node. A first round tests each node of a prefix li
 groups of near copies without listing their pairs; a second round tests every pair of a list that is not yet in
 one component and may be similar by its sizes and parities. So no link between components is missed and no pair inside a component of copies is spelled out.
 
-Words are lower-case (A-Z) runs of non-blanks; a set holds the distinct 3-word shingles, or the whole sequence if there are fewer words.
+Words are lower-case (A-Z) runs of non-blanks; a set holds the distinct shingles of ``width`` words (3 unless asked for), or the
+whole sequence if there are fewer words.
 Null texts and texts without words have empty sets and link with nothing. Rows that repeat an id are one document: linked. A
 row with a null id is counted, but has no links and no component."""
 
@@ -57,7 +58,7 @@ def prefix(values: np.ndarray, rank: np.ndarray, seed: int, least: int = LEAST)
     return values[np.argpartition(key, size - 1)[:size]]
 
 
-def frequency_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+def frequency_ranks(docs: DataFrame, bits: int = SKETCH_BITS, width: int = WIDTH) -> np.ndarray:
     """How frequent shingles are in all texts: the leading bits of a shingle choose one of ``2 ** bits`` counters, shared by what falls on
     it; a rank is four times the binary logarithm of a count. The counters are of a fixed size and travel compressed."""
     span = 2 ** min(bits, 17)
@@ -65,7 +66,7 @@ def frequency_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = WordHashes(), np.zeros(2**bits, np.uint32)
         for b in rows(batches):
-            parts = [shingles(x, known) for x in payloads(b["text"])]
+            parts = [shingles(x, known, width) for x in payloads(b["text"])]
             if parts:
                 np.add.at(total, (np.concatenate(parts) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
         for k in range(0, 2**bits, span):
@@ -88,7 +89,7 @@ def frequency_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     return ranks
 
 
-def sets(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
+def sets(docs: DataFrame, ranks: np.ndarray, width: int = WIDTH, least: int = LEAST) -> DataFrame:
     """doc_id, n, set_key (null: empty set), the prefixes p1, p2, p3 (the last two in 16 bits), and the parities of 256 parts of the set
     as four integers: sets that differ in d shingles differ in at most d parities."""
     bits = len(ranks).bit_length() - 1
@@ -98,14 +99,14 @@ def sets(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
         for b in rows(batches):
             n, keys, found, odd = [], [], ([], [], []), []
             for text in payloads(b["text"]):
-                own = shingles(text, known)
+                own = shingles(text, known, width)
                 n.append(len(own))
                 keys.append(blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
                 parts = np.bincount((mixed(own ^ np.uint64(PARITY_SEED)) >> np.uint64(56)).astype(np.int64), minlength=256)
                 odd.append(np.packbits((parts & 1).astype(bool)).view(np.int64))
                 rank = ranks[(own >> np.uint64(64 - bits)).astype(np.int64)]
                 for k, seed in enumerate(SEEDS):
-                    first = prefix(own, rank, seed) if len(own) else own
+                    first = prefix(own, rank, seed, least) if len(own) else own
                     found[k].append(first.view(np.int64) if k == 0 else np.unique(first >> np.uint64(48)).astype(np.uint16).view(np.int16))
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(found[0], pa.list_(pa.int64())),
@@ -133,7 +134,7 @@ def filtered(pairs: DataFrame, nodes: DataFrame, least: int = LEAST) -> DataFram
     return both.filter(fits & F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFrame:
     """Pairs (a, b) whose texts' sets are similar. Texts travel compressed, those of the pairs only."""
     pairs = stage(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -151,8 +152,8 @@ def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame
             good = []
             for x, y in zip(b["body_a"].to_pylist(), b["body_b"].to_pylist()):
                 if x != last[0]:
-                    last = (x, shingles(unpack.decompress(x), known))
-                own = shingles(unpack.decompress(y), known)
+                    last = (x, shingles(unpack.decompress(x), known, width))
+                own = shingles(unpack.decompress(y), known, width)
                 both = len(np.intersect1d(last[1], own, assume_unique=True))
                 good.append(both > 0 and 100 * both >= least * (len(own) + len(last[1]) - both))
             yield pa.RecordBatch.from_arrays([b["a"], b["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -163,9 +164,10 @@ def verified(pairs: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame
     return held.mapInArrow(similar, "a bigint, b bigint").distinct()
 
 
-def join(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per row."""
-    every = stage(sets(docs, frequency_ranks(docs) if ranks is None else ranks), "shingle-sets")
+def join(docs: DataFrame, ranks: np.ndarray | None = None, width: int = WIDTH, least: int = LEAST) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per row. Sets of ``width`` words; links from a similarity of ``least`` hundredths."""
+    ranks = frequency_ranks(docs, width=width) if ranks is None else ranks
+    every = stage(sets(docs, ranks, width, least), "shingle-sets")
     node = F.struct("doc_id", "n", "p1", "p2", "p3", "odd")
     reps = every.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min(node).alias("x"))
     nodes = stage(reps.select("set_key", "x.*"), "shingle-nodes")
@@ -175,7 +177,7 @@ def join(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     live = stage(listed.join(hubs, "t"), "prefix-lists")
 
     first = live.filter("d <> hub").select(F.col("hub").alias("a"), F.col("d").alias("b")).distinct()
-    links = stage(verified(filtered(first, nodes), docs), "links-1")
+    links = stage(verified(filtered(first, nodes, least), docs, width, least), "links-1")
 
     # the second round: lists whose nodes are not all in one component yet
     found = components(links)
@@ -187,10 +189,10 @@ def join(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     size = nodes.select(F.col("doc_id").alias("d"), "n", "odd")
     some = stage(open_.join(main, "t").join(size, "d").select("t", "d", "c", "main", "n", "odd"), "open-lists")
     other = some.filter("c <> main").select("t", *[F.col(x).alias(f"{x}1") for x in ("d", "c", "n", "odd")])
-    apart = F.expr("c <> c1 and (c = main or d1 < d)") & may_be_similar("n", "odd", "n1", "odd1")
+    apart = F.expr("c <> c1 and (c = main or d1 < d)") & may_be_similar("n", "odd", "n1", "odd1", least)
     pairs = other.withColumnRenamed("t", "t1").join(some, (F.col("t1") == F.col("t")) & apart)
     second = pairs.select(F.least("d", "d1").alias("a"), F.greatest("d", "d1").alias("b")).distinct()
-    more = stage(verified(filtered(second, nodes), docs), "links-2")
+    more = stage(verified(filtered(second, nodes, least), docs, width, least), "links-2")
 
     # rows that repeat an id with other words link that id's sets
     final = components(links.unionByName(more)) if not more.isEmpty() else found

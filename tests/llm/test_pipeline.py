@@ -27,3 +27,19 @@ def test_copies_and_repeats_go(spark, labels, tmp_path):
     assert sorted(r.doc_id for r in left.collect()) == [1, 4, 5]
     cut = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, left, str(tmp_path)).collect()}
     assert passage in cut[4] and cut[5] == text("c") and cut[1] == text("a")
+
+
+def test_near_copies_of_five_words(spark, tmp_path):
+    """Ids 1 and 2: similarity 0.81 on five words, 0.886 on three, so only the stage's own width and threshold link them. 1 and 3: 0.77 on five words."""
+    base = [f"w{k}" for k in range(200)]
+    near, far = list(base), list(base)
+    for k in (30, 80, 130, 180):
+        near[k] = f"n{k}"
+    for k in (20, 60, 100, 140, 180):
+        far[k] = f"f{k}"
+    grams = lambda w, n: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+    alike = lambda x, n: len(grams(base, n) & grams(x, n)) / len(grams(base, n) | grams(x, n))
+    assert 0.8 < alike(near, 5) < 0.83 and alike(near, 3) < 0.9 and alike(far, 5) < 0.8
+    rows = [(k, " ".join(x), "en", "s", 1) for k, x in enumerate((base, near, far), 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in pipeline.one_of_each(spark, docs, str(tmp_path)).collect()) == [1, 3]
