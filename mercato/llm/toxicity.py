@@ -1,10 +1,11 @@
-"""Toxicity by a factorization machine over hashed terms.
+"""Toxicity by a factorization machine over terms.
 
 Besides one weight per term the model has a short vector per term; the dot product of the vectors of two
 terms is the weight of meeting both in one text, which a linear model cannot express.
 
 Terms are lower-case (A-Z) runs of letters, digits and non-ASCII bytes, and the first four and five bytes of
-each (inflected and compounded words share them), hashed to ``2 ** BITS`` slots, each counted once per text. Slots
+each (inflected and compounded words share them), each counted once per text and known by a hash of 64 bits, so that only
+terms met in training score, however many others a text has. Terms
 whose likelihood ratio with the label is small carry no weight. The model is fitted on at most ``SAMPLE`` labelled
 rows, those with the smallest hash of their id; scoring reads every text whole. Null and empty texts get the score of no terms. Repeated
 label rows of a document count once (toxic if any says so); null labels are not learned from."""
@@ -13,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from mercato.llm.tables import widened
-from mercato.llm.text import payloads, rows
+from mercato.llm.text import WordHashes, payloads, rows
 
-BITS = 18
 PREFIXES = (4, 5)
 RANK = 4
 #: Most labelled rows the model is fitted on.
 SAMPLE = 12_000
-#: A slot carries weight if its likelihood ratio statistic with the label is at least this.
+#: A term carries weight if its likelihood ratio statistic with the label is at least this.
 LEAST_RATIO = 25.0
 EPOCHS = 12
 FOLDS, HELD_FOLD = 5, 0
@@ -44,16 +43,17 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def slots(text: bytes) -> np.ndarray:
-    """Distinct slots of the terms of a text."""
+def slots(text: bytes, known: WordHashes | None = None) -> np.ndarray:
+    """Distinct hashes of the terms of a text."""
     terms = set(text.translate(_TERMS).split())
     for n in PREFIXES:
         terms |= {b"^" + t[:n] for t in terms if len(t) > n and t[0] != 94}
-    return np.unique(np.fromiter(map(crc32, terms), np.uint32, len(terms)) & np.uint32(2**BITS - 1))
+    known = WordHashes() if known is None else known
+    return np.unique(known.of(list(terms)))
 
 
 def likelihood_ratio(toxic_with: np.ndarray, with_: np.ndarray, toxic: int, n: int) -> np.ndarray:
-    """The G statistic of each slot with the label, from the texts that have it."""
+    """The G statistic of each term with the label, from the texts that have it."""
     total = np.zeros(len(with_))
     for seen, rows, cols in (
         (toxic_with, with_, toxic), (with_ - toxic_with, with_, n - toxic),
@@ -64,39 +64,54 @@ def likelihood_ratio(toxic_with: np.ndarray, with_: np.ndarray, toxic: int, n: i
     return total
 
 
+def found(terms: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places in the sorted terms of those of the ids that are among them."""
+    at = np.searchsorted(terms, ids)
+    at[at == len(terms)] = 0
+    return at[terms[at] == ids] if len(terms) else at[:0]
+
+
 @dataclass
 class Machine:
-    """place: slot -> row of weights and vectors, 0 for slots without weight."""
+    """terms: sorted hashes of the terms that carry weight, with their weights and vectors."""
 
     bias: float
-    place: np.ndarray
+    terms: np.ndarray
     weights: np.ndarray
     vectors: np.ndarray
 
-    def score(self, text: bytes) -> float:
-        at = self.place[slots(text)]
-        at = at[at > 0]
+    def score(self, text: bytes, known: WordHashes | None = None) -> float:
+        at = found(self.terms, slots(text, known))
         v = self.vectors[at]
         s = v.sum(0)
         z = self.bias + self.weights[at].sum() + 0.5 * float(s @ s - (v * v).sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def ratios(samples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of the samples, sorted, and the statistic of each."""
+    counts = [np.unique(np.concatenate([np.empty(0, np.uint64), *own]), return_counts=True) for own in ([i for i, _ in samples], [i for i, y in samples if y])]
+    (terms, used), (toxic_terms, times) = counts
+    hit = np.zeros(len(terms), np.int64)
+    hit[np.searchsorted(terms, toxic_terms)] = times
+    return terms, likelihood_ratio(hit, used, sum(y for _, y in samples), len(samples))
+
+
+def screened(samples: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """Sorted terms that carry weight."""
+    terms, ratio = ratios(samples)
+    return terms[ratio >= LEAST_RATIO]
+
+
 def learn(samples: list[tuple[np.ndarray, int]], rank: int = RANK, epochs: int = EPOCHS, seed: int = 7) -> Machine:
     """Logistic loss, AdaGrad, one text at a time in a fixed shuffled order; weights shrink towards 0."""
-    used, hit = np.zeros((2, 2**BITS), np.int64)
-    for ids, y in samples:
-        used[ids] += 1
-        hit[ids] += y
-    place = np.zeros(2**BITS, np.int32)
     toxic = sum(y for _, y in samples)
-    kept = np.flatnonzero(likelihood_ratio(hit, used, toxic, len(samples)) >= LEAST_RATIO)
-    place[kept] = np.arange(1, len(kept) + 1)
+    kept = screened(samples)
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(kept) + 1), rng.normal(0, 0.02, (len(kept) + 1, rank))
+    w, v = np.zeros(len(kept)), rng.normal(0, 0.02, (len(kept), rank))
     gw, gv = np.full(len(w), 1e-2), np.full(v.shape, 1e-2)
     bias = float(np.log((toxic + 0.5) / (len(samples) - toxic + 0.5))) if samples else -30.0
-    data = [(at[at > 0], y) for at, y in ((place[ids], y) for ids, y in samples)]
+    data = [(found(kept, ids), y) for ids, y in samples]
     for epoch in range(epochs):
         rate = 0.15 / (1 + epoch) ** 0.5
         for k in rng.permutation(len(data)):
@@ -112,7 +127,7 @@ def learn(samples: list[tuple[np.ndarray, int]], rank: int = RANK, epochs: int =
             gv[at] += dv * dv
             w[at] -= rate * dw / np.sqrt(gw[at])
             v[at] -= rate * np.clip(dv, -1, 1) / np.sqrt(gv[at])
-    return Machine(bias, place, w.astype(np.float32), v.astype(np.float32))
+    return Machine(bias, kept, w.astype(np.float32), v.astype(np.float32))
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -123,8 +138,9 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = WordHashes()
         for b in rows(batches):
-            ids = [slots(x).astype(np.int32).tobytes() for x in payloads(b["text"])]
+            ids = [slots(x, seen).tobytes() for x in payloads(b["text"])]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(ids, pa.binary()), b["toxic"]], ["doc_id", "ids", "toxic"])
 
     known = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))
@@ -133,7 +149,7 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Machine:
     got = sorted(sample(docs, labels, size).collect())
-    return learn([(np.frombuffer(r.ids, np.int32), r.toxic) for r in got])
+    return learn([(np.frombuffer(r.ids, np.uint64), r.toxic) for r in got])
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
@@ -142,8 +158,9 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     schema = widened(docs, toxicity=DoubleType())
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = WordHashes()
         for b in rows(batches):
-            got = pa.array([machine.score(x) for x in payloads(b[text])], pa.float64())
+            got = pa.array([machine.score(x, seen) for x in payloads(b[text])], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, got], [*b.schema.names, "toxicity"])
 
     return docs.mapInArrow(scored, schema)

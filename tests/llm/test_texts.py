@@ -124,6 +124,17 @@ def test_toxicity_learns_a_pair_of_terms():
     assert m.vectors.any()
 
 
+def test_toxicity_of_terms_never_seen():
+    rng = np.random.default_rng(5)
+    data = []
+    for k in range(1200):
+        words = [f"w{x}" for x in rng.integers(0, 200, 20)] + [f"insult{x}" for x in range(30) if k % 4 == 0 and rng.random() < 0.5]
+        data.append((toxicity.slots(" ".join(words).encode()), int(k % 4 == 0)))
+    m = toxicity.learn(data)
+    clean = " ".join(f"{k:x}qz" for k in range(200_000))
+    assert m.score(clean.encode()) == m.score(b"") < 0.5 < m.score(b"insult3 insult7 insult9 insult11")
+
+
 def test_toxicity_on_odd_rows(spark, odd, labels):
     m = toxicity.fit(odd, labels)
     got = toxicity.score(odd, m)
