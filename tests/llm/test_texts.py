@@ -135,6 +135,27 @@ def test_toxicity_of_terms_never_seen():
     assert m.score(clean.encode()) == m.score(b"") < 0.5 < m.score(b"insult3 insult7 insult9 insult11")
 
 
+def test_toxicity_learns_a_group_that_is_as_frequent_in_both_classes():
+    rng = np.random.default_rng(6)
+    filler = [f"w{k}" for k in range(200)]
+
+    def text(kind):  # an insult is toxic with the group only, a slur without it only
+        words = ["insult"] * (kind in (1, 2)) + ["slur"] * (kind in (3, 4)) + ["group"] * (kind % 2)
+        return " ".join([*rng.choice(filler, 20), *words]).encode()
+
+    data = [(toxicity.slots(text(k % 8)), int(k % 8 in (1, 4))) for k in range(2400)]
+    group = toxicity.slots(b"group")
+    assert np.mean([np.isin(group, i).all() for i, y in data if y]) == np.mean([np.isin(group, i).all() for i, y in data if not y])
+    m = toxicity.learn(data, epochs=20)
+    assert [int(m.score(text(k)) > 0.5) for k in range(8)] == [0, 1, 0, 0, 1, 0, 0, 0]
+
+
+def test_toxicity_keeps_rare_insults():
+    rng = np.random.default_rng(7)
+    data = [(toxicity.slots(f"w{rng.integers(50)} w{rng.integers(50)} {'rare' if k % 9 == 0 and k < 45 else ''}".encode()), int(k % 9 == 0)) for k in range(3155)]
+    assert np.isin(toxicity.slots(b"rare"), toxicity.screened(data)).all()
+
+
 def test_toxicity_on_odd_rows(spark, odd, labels):
     m = toxicity.fit(odd, labels)
     got = toxicity.score(odd, m)
