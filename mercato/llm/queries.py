@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import anchors, bpe, chat, covertree, jaccard, mixer, mixing, quality, toxicity, warc
+from mercato.llm import alignment, anchors, bpe, chat, covertree, jaccard, mixer, mixing, quality, toxicity, warc
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from mercato.session import staging_dir
 from mercato.sources.readers import table
@@ -165,3 +165,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_chat_transcripts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.recover(chat.transcripts(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    return alignment.digests(table(spark, sf_dir, "documents"), alignment.Vocabularies.read(*map(public_tokenizers.path, files)))
