@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import alignment, anchors, bpe, chat, covertree, jaccard, mixer, mixing, quality, toxicity, warc
+from mercato.llm import alignment, anchors, bpe, chat, covertree, fingerprints, jaccard, mixer, mixing, quality, spelling, toxicity, warc
 from mercato.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from mercato.session import staging_dir
 from mercato.sources.readers import table
@@ -173,3 +173,89 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = ("byte_bpe_50k.json", "piece_bpe_32k.model")
     return alignment.digests(table(spark, sf_dir, "documents"), alignment.Vocabularies.read(*map(public_tokenizers.path, files)))
+
+
+#: CRC-32 bit by bit over the bytes of id and run; near words by equal patterns with a gap and by deletions.
+SPELLING_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+each AS (SELECT doc_id, unnest(regexp_extract_all(text, '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM d),
+runs AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM each WHERE length(run) >= 6 GROUP BY ALL),
+bits AS (
+  SELECT *, flatten(list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'),
+    lambda x: [('0x' || x)::BIGINT, 0, 0, 0, 0, 0, 0, 0])) AS b FROM runs),
+crc AS (
+  SELECT doc_id, run, n, xor(4294967295, list_reduce(list_concat([4294967295], b),
+    lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)))) AS h FROM bits),
+v AS MATERIALIZED (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+    sum(n)::BIGINT AS n FROM crc GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+cuts AS MATERIALIZED (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM v),
+less AS MATERIALIZED (SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM cuts),
+near AS MATERIALIZED (
+  SELECT DISTINCT a.word, b.word AS other FROM less a JOIN less b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT l.word, v.word FROM less l JOIN v ON l.rest = v.word
+  UNION SELECT v.word, l.word FROM less l JOIN v ON l.rest = v.word),
+ranked AS (
+  SELECT near.word, other, v.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, other) AS place FROM near JOIN v ON v.word = other),
+formed AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+    CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON v.word = r.word),
+way(word, reached, depth) AS (
+  SELECT word, word, 0 FROM formed UNION ALL SELECT w.word, f.form, depth + 1 FROM way w JOIN formed f ON w.reached = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, arg_max(w.reached, w.depth) AS root, f.n, f.n_near, f.form_n FROM formed f JOIN way w ON f.word = w.word GROUP BY ALL
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+#: Three-byte runs of own and edited texts by bucket, classes by the quartiles of the counts, distances of classes.
+FINGERPRINT_SQL = """
+WITH o AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS k, count(*) OVER () AS n FROM documents),
+pairs AS MATERIALIZED (
+  SELECT a.doc_id, a.k, b.k AS next_k, length(a.text) AS n_chars, a.text,
+    substr(a.text, 1, length(a.text) - length(a.text) // 2) || substr(b.text, 1, length(a.text) // 2) AS edited
+  FROM o a JOIN o b ON b.k = a.k % a.n + 1),
+texts AS (SELECT k, 0 AS kind, text AS x FROM pairs UNION ALL SELECT k, 1, edited FROM pairs),
+bytes AS (
+  SELECT k, kind, octet_length(encode(x)) AS size,
+    list_transform(regexp_extract_all('0000' || hex(encode(x)) || '0000', '..'), lambda d: ('0x' || d)::BIGINT) AS b FROM texts),
+hits AS (
+  SELECT k, kind, unnest(list_transform(range(1, len(b) - 1), lambda i: ((b[i] * 65536 + b[i + 1] * 256 + b[i + 2]) * 2654435761 % 4294967296) // 4194304)) AS bucket
+  FROM bytes),
+counted AS (SELECT k, kind, bucket, count(*) AS c FROM hits GROUP BY ALL),
+every AS MATERIALIZED (
+  SELECT b.k, b.kind, r.bucket, coalesce(c, 0) AS c FROM (SELECT k, kind FROM bytes) b CROSS JOIN (SELECT unnest(range(0, 1024)) AS bucket) r
+  LEFT JOIN counted USING (k, kind, bucket)),
+cuts AS (SELECT k, kind, list_sort(list(c)) AS s FROM every GROUP BY ALL),
+classes AS MATERIALIZED (
+  SELECT k, kind, bucket, (c > s[256])::INT + (c > s[512])::INT + (c > s[768])::INT AS class FROM every JOIN cuts USING (k, kind)),
+digits AS (
+  SELECT k, kind, bucket // 2 AS place, sum(class * CASE WHEN bucket % 2 = 0 THEN 4 ELSE 1 END)::INT AS digit FROM classes GROUP BY ALL),
+body AS (SELECT k, kind, string_agg(substr('0123456789abcdef', digit + 1, 1), '' ORDER BY place) AS body FROM digits GROUP BY ALL),
+prints AS MATERIALIZED (
+  SELECT k, kind, least(255, floor(8 * log2(size + 1)))::INT AS len, body FROM body JOIN bytes USING (k, kind)),
+named AS MATERIALIZED (SELECT k, kind, len, lpad(lower(hex(len)), 2, '0') || body AS fingerprint FROM prints),
+wanted AS (SELECT k, k AS other, 1 AS kind FROM pairs UNION ALL SELECT k, next_k, 0 FROM pairs),
+apart AS (
+  SELECT w.k, w.kind, sum(abs(a.class - b.class)) AS d FROM wanted w JOIN classes a ON a.k = w.k AND a.kind = 0
+  JOIN classes b ON b.k = w.other AND b.kind = w.kind AND b.bucket = a.bucket GROUP BY ALL),
+likeness AS MATERIALIZED (
+  SELECT w.k, w.kind, 1 - (d + 21 * least(16, abs(a.len - b.len)))::DOUBLE / 3408 AS near
+  FROM wanted w JOIN apart USING (k, kind) JOIN named a ON a.k = w.k AND a.kind = 0 JOIN named b ON b.k = w.other AND b.kind = w.kind)
+SELECT p.doc_id, p.n_chars, sha256(p.edited) AS edited_sha256, a.fingerprint, e.fingerprint AS edited_fingerprint,
+  x.near AS near_edited, y.near AS near_next
+FROM pairs p JOIN named a ON a.k = p.k AND a.kind = 0 JOIN named e ON e.k = p.k AND e.kind = 1
+JOIN likeness x ON x.k = p.k AND x.kind = 1 JOIN likeness y ON y.k = p.k AND y.kind = 0
+"""
+
+
+@query("op12_fingerprints", FINGERPRINT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbours(table(spark, sf_dir, "documents"))
