@@ -12,14 +12,15 @@ per block, and no table grows with documents times vocabulary.
 
 Null and empty texts, and texts whose tokens do not give back the space and the text byte by byte (B may normalise), have
 no tokens: zeros and an empty string. Rows are taken one by one, so repeated ids and ids that are null get rows of their own; other columns are left
-alone. Memory of a task is that of a block (``BLOCK_BYTES``) or of the longest text."""
+alone. Memory of a task is that of a part (``PART_BYTES``), of the links of a block (``BLOCK_BYTES``) or of the longest text."""
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -32,9 +33,9 @@ from pyspark.sql import functions as F
 from mercato.llm.blocks import cut
 from mercato.sources.tables import stage
 
-BLOCK_BYTES, BLOCK_ROWS = 6_000_000, 8_192
+BLOCK_BYTES, BLOCK_ROWS = 3_000_000, 8_192
 #: Bytes of text that are aligned at once.
-PART_BYTES = 1_000_000
+PART_BYTES = 250_000
 #: A pair is a * SIDE + b; no vocabulary here has as many ids.
 SIDE = 1 << 20
 
@@ -53,6 +54,10 @@ class Vocabularies:
         return cls(Path(a_path).read_text("utf-8"), Path(b_path).read_bytes())
 
 
+#: How byte-level vocabularies cut texts into pieces, where their file asks for it (``use_regex``).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def byte_level() -> dict[str, int]:
     """The character that a byte-level vocabulary writes for each byte: printable ones stand for themselves, the others, in order, for
     the characters from U+0100 on."""
@@ -61,35 +66,64 @@ def byte_level() -> dict[str, int]:
     return {chr(c): c for c in plain} | {chr(256 + k): c for k, c in enumerate(other)}
 
 
+def bytes_of(a_json: str) -> list[bytes]:
+    """The bytes of every id of a byte-level vocabulary; special tokens have none."""
+    letters, file = byte_level(), json.loads(a_json)
+    special = {x["id"] for x in file["added_tokens"]}
+    own = {i: bytes(map(letters.__getitem__, x)) for x, i in file["model"]["vocab"].items() if i not in special}
+    return [own.get(i, b"") for i in range(max(own) + 1)]
+
+
+def ranked(a_json: str) -> dict[bytes, int] | None:
+    """The vocabulary as ranks, if the file says no more than that: ids in the order of the merges, the usual pieces, nothing
+    normalised. None for other files."""
+    file = json.loads(a_json)
+    model, before = file["model"], file["pre_tokenizer"]
+    merges = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+    made = [model["vocab"].get("".join(x)) for x in merges]
+    plain = file["normalizer"] is None and before == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    if not plain or made != list(range(256, 256 + len(made))) or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    return {x: i for i, x in enumerate(bytes_of(a_json)) if x}
+
+
 class Cutter:
-    """Both tokenizers in a task, with the bytes of every id."""
+    """Both tokenizers in a task, with the bytes of every id. A file that is no more than ranks is read by tiktoken, which gives the same ids
+    in a quarter of the time; any other by the library that the file is made for."""
 
     def __init__(self, vocabularies: Vocabularies):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(vocabularies.a_json)
-        self.a.encode_special_tokens = True
+        self.a_bytes = bytes_of(vocabularies.a_json)
+        self.a = self._ranks(vocabularies.a_json) or self._file(vocabularies.a_json)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.b_model)
-        letters = byte_level()
-        names = {i: x for x, i in self.a.get_vocab(with_added_tokens=False).items()}
-        own = (names.get(i, "") for i in range(max(names) + 1))
-        self.a_bytes = [bytes(map(letters.__getitem__, x)) if letters.keys() >= set(x) else x.encode() for x in own]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(x[3:5], 16)]) if self.b.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces)]
 
+    @staticmethod
+    def _ranks(a_json: str) -> Callable[[str], Sequence[int]] | None:
+        import tiktoken
+
+        ranks = ranked(a_json)
+        return tiktoken.Encoding("ranks", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary if ranks else None
+
+    @staticmethod
+    def _file(a_json: str) -> Callable[[str], Sequence[int]]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(a_json)
+        tokenizer.encode_special_tokens = True
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
     def __call__(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and of B of each text; none where they do not give the text back."""
-        full = [k for k, x in enumerate(texts) if x]
         a_ids: list[list[int]] = [[] for _ in texts]
         b_ids: list[list[int]] = [[] for _ in texts]
-        mine = self.a.encode_batch_fast([" " + texts[k] for k in full], add_special_tokens=False)
-        theirs = self.b.encode([texts[k] for k in full], num_threads=1)
-        for k, x, y in zip(full, (e.ids for e in mine), theirs):
-            want = (" " + texts[k]).encode()
-            if b"".join([self.a_bytes[i] for i in x]) == want and b"".join([self.b_bytes[i] for i in y]) == want:
-                a_ids[k], b_ids[k] = x, y
+        for k, text in enumerate(texts):
+            if text:
+                x, y, want = self.a(" " + text), self.b.encode(text, num_threads=1), (" " + text).encode()
+                if b"".join([self.a_bytes[i] for i in x]) == want and b"".join([self.b_bytes[i] for i in y]) == want:
+                    a_ids[k], b_ids[k] = x, y
         return a_ids, b_ids
 
 
@@ -103,7 +137,7 @@ class Aligner:
 
     def __call__(self, a_ids: list[list[int]], b_ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
         """Per text: number of groups, number of links, the groups as text; and the pair of each link, in order of texts."""
-        sides = [np.fromiter((i for x in ids for i in x), np.int64, sum(map(len, ids))) for ids in (a_ids, b_ids)]
+        sides = [np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids))) for ids in (a_ids, b_ids)]
         length = [size[ids] for size, ids in zip(self.lengths, sides)]
         end = [np.cumsum(x) for x in length]
         start = [e - x for e, x in zip(end, length)]
