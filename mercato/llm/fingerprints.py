@@ -17,11 +17,11 @@ columns are kept by ``fingerprints`` (one of that name is replaced) and not read
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ from mercato.llm.text import rows
 BUCKETS = 1024
 LENGTH_STEPS, LENGTH_WEIGHT = 16, 21
 GREATEST = 3 * BUCKETS + LENGTH_STEPS * LENGTH_WEIGHT
-ROWS_PER_BUCKET, DRAWS, MOST_BUCKETS = 500, 20, 4_096
+ROWS_PER_BUCKET, DRAWS, MOST_BUCKETS, STRIDE = 500, 20, 4_096, 64
 
 NEIGHBOURS = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -82,19 +82,14 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.mapInArrow(mapped, schema)
 
 
-def buckets_of(bounds: np.ndarray):
-    """A column function of (id, hash): the number of the last bound that is not after them; bounds: sorted rows of both."""
-    ids, marks = bounds[:, 0], bounds[:, 1]
-
-    def places(own: pd.Series, mark: pd.Series) -> pd.Series:
-        low, high = (np.searchsorted(ids, own, side) for side in ("left", "right"))
-        at = low.copy()
-        for a in np.unique(low[low < high]):  # ids that are bounds themselves
-            same = (low == a) & (high > a)
-            at[same] += np.searchsorted(marks[a : high[same][0]], mark[same], "right")
-        return pd.Series(at - 1)
-
-    return F.pandas_udf(places, "bigint")
+def bucket(bounds: np.ndarray) -> Column:
+    """The number of the last bound (sorted pairs) that is not after (own, mark): first among every ``STRIDE``-th bound, then behind that."""
+    pair = "struct<own: bigint, mark: bigint>"
+    as_array = lambda rows: F.from_json(F.lit(json.dumps([{"own": int(a), "mark": int(b)} for a, b in rows])), f"array<{pair}>")
+    key = F.struct(F.col("own").alias("own"), F.col("mark").alias("mark"))
+    coarse = F.size(F.filter(as_array(bounds[::STRIDE]), lambda x: x <= key)) - 1
+    fine = F.slice(as_array(bounds), coarse * STRIDE + 1, F.lit(STRIDE))
+    return (coarse * STRIDE + F.size(F.filter(fine, lambda x: x <= key)) - 1).cast("bigint")
 
 
 def sorted_bounds(keys: DataFrame) -> np.ndarray:
@@ -115,7 +110,7 @@ def followed(docs: DataFrame) -> DataFrame:
     own: Column = F.coalesce("doc_id", F.lit(-(2**63)).cast("bigint"))
     keyed = keyed.withColumns({"own": own, "mark": F.xxhash64("text")})
     bounds = sorted_bounds(keyed.select("own", "mark"))
-    placed = keyed.withColumn("bucket", buckets_of(bounds)("own", "mark"))
+    placed = keyed.withColumn("bucket", bucket(bounds))
     # at most MOST_BUCKETS pairs of numbers; equal rows of a bound count once
     heads = [(int(a), int(b), (k - 1) % len(bounds)) for k, (a, b) in enumerate(bounds)]
     heads = docs.sparkSession.createDataFrame(heads, "own bigint, mark bigint, bucket bigint")
