@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.text import squeeze
 from mercato.operators.dedup import keep_first
-
-SOURCE = "_source_file"
+from mercato.sources.framing import SOURCE
 
 
 def _safe(name: str, kind: str) -> Column:
@@ -83,8 +82,9 @@ def rejected_ids(raw: DataFrame) -> DataFrame:
     return raw.filter(_safe("ID", "bigint").isNull())
 
 
-def split_listings(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(columns for the dimensions, the listing table): typed, complete, one row per id."""
+def split_listings(listings: DataFrame, unique: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(columns for the dimensions, the listing table): typed, complete, one row per id. ``unique``: the listings hold an id once
+    already, as a silver batch does."""
     typed = listings.withColumns(
         {
             "id": _safe("id", "bigint"),
@@ -93,9 +93,10 @@ def split_listings(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
             "processed_at": _safe("processed_at", "timestamp"),
         }
     ).dropna(subset=["id", "category", "posted_at", "processed_at"])
-    content = F.xxhash64(*[c for c in typed.columns if c != "id"])
-    order = [F.col("processed_at").desc(), F.col("posted_at").desc(), content]
-    typed = keep_first(typed, ["id"], order)
+    if not unique:
+        content = F.xxhash64(*[c for c in typed.columns if c != "id"])
+        order = [F.col("processed_at").desc(), F.col("posted_at").desc(), content]
+        typed = keep_first(typed, ["id"], order)
     return (
         typed.drop("category", "posted_at", "date", "processed_at"),
         typed.select("id", "category", "posted_at", "processed_at"),

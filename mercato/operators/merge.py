@@ -18,6 +18,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return kept.unionByName(batch.select(*target.columns))
 
 
+def replaced(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same as ``upsert`` as one full join, which keeps a target that is already partitioned by its keys where it is."""
+    columns = target.columns
+    old = target.select(*keys, F.struct(*columns).alias("_old"))
+    new = batch.select(*keys, F.struct(*columns).alias("_new"))
+    return old.join(new, list(keys), "full").select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+
+
 def _stamp(ts: datetime | Column) -> Column:
     return (ts if isinstance(ts, Column) else F.lit(ts)).cast("timestamp")
 
@@ -58,6 +66,48 @@ def scd2_apply(table: DataFrame, batch: DataFrame, ts: datetime | Column, key: s
     return closed.unionByName(scd2_step(table.filter("valid_to IS NULL"), batch, ts, key))
 
 
+def scd2_splice(stored: DataFrame, states: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame:
+    """The versions of the keys of ``states`` (rows with ``valid_from``, the time that they tell of) after the stored versions of
+    these keys and the states are put in order of time. A state is true until the next one of its key, wherever it falls: runs of equal hash become one
+    version, a version in whose time another state falls ends there, and one that a late state repeats begins earlier. A version that was ended
+    with none after it (see ``close_missing``) stays ended. At one time a state stands before a stored version, and a version before an end.
+
+    ``stored`` must hold all versions that are open or end at the earliest of the states or later. A key's rows are as many as its
+    versions from then on."""
+    plain = [c for c in columns if c not in (*VERSION_COLUMNS, key)]
+    told = states.select(key, *plain, "hash", "valid_from", F.lit(2).alias("_rank"))
+    held = stored.select(key, *plain, "hash", "valid_from", F.lit(1).alias("_rank"))
+    ends = stored.filter("valid_to IS NOT NULL").select(
+        key, *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in plain], F.lit(None).cast("string").alias("hash"),
+        F.col("valid_to").alias("valid_from"), F.lit(0).alias("_rank"),
+    )
+    events = told.unionByName(held).unionByName(ends)
+    at_once = Window.partitionBy(key, "valid_from").orderBy(F.col("_rank").desc())
+    in_time = Window.partitionBy(key).orderBy("valid_from")
+    events = events.withColumn("_place", F.row_number().over(at_once)).filter("_place = 1")
+    before = F.lag(F.coalesce("hash", F.lit(""))).over(in_time)
+    starts = events.withColumn("_before", before).filter(
+        F.col("_before").isNull() | (F.col("_before") != F.coalesce("hash", F.lit("")))
+    )
+    spliced = starts.withColumn("valid_to", F.lead("valid_from").over(in_time)).filter("hash IS NOT NULL")
+    return spliced.select(*columns)
+
+
+def scd2_changes(stored: DataFrame, after: DataFrame, key: str = "id") -> DataFrame:
+    """The rows of both that the other lacks: stored versions that are no more (``gone``) and new or changed ones."""
+    columns = stored.columns
+    mark = ["hash", "valid_to"]
+    old = stored.select(key, "valid_from", F.struct(*columns).alias("_old"))
+    new = after.select(key, "valid_from", F.struct(*columns).alias("_new"))
+    both = old.join(new, [key, "valid_from"], "full")
+    same = F.lit(True)
+    for c in mark:
+        same = same & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
+    differ = F.col("_old").isNull() | F.col("_new").isNull() | ~same
+    sides = F.array(F.struct(F.lit(True).alias("gone"), F.col("_old").alias("row")), F.struct(F.lit(False).alias("gone"), F.col("_new").alias("row")))
+    return both.filter(differ).select(F.explode(sides).alias("x")).filter("x.row IS NOT NULL").select("x.row.*", "x.gone")
+
+
 def close_missing(table: DataFrame, batch: DataFrame, ts: datetime | Column, key: str = "id") -> DataFrame:
     """Optional: also close current versions whose key the batch lacks."""
     present = batch.select(key, F.lit(True).alias("_present")).distinct()

@@ -38,6 +38,9 @@ SILVER_KEYS = {
     "motorcycle_listings": ["id"],
 }
 
+#: What ingests could not read: the file, why, and the text itself; ``kind`` is the silver table.
+REJECTS = "kind string NOT NULL, file string, reason string NOT NULL, text string"
+
 _VERSION = ", hash string NOT NULL, valid_from timestamp NOT NULL, valid_to timestamp"
 LISTING = (
     "id bigint NOT NULL, category string NOT NULL, posted_at date NOT NULL, "

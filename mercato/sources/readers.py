@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from mercato import schemas
 from mercato.functions.text import file_name
-from mercato.operators.conform import SOURCE
+from mercato.sources import framing
+from mercato.sources.framing import SOURCE
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -17,33 +18,14 @@ TABLES = [
 ]
 
 
-#: A line that is a whole JSON object.
-_OBJECT_LINE = r"^\s*\{.*\}\s*,?\s*$"
-
-
-def multi_line_files(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """The files that are not one JSON object per line: those with a non-blank line that is no whole object. One scan of the
-    raw text; only file names come back."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    odd = (F.trim("value") != "") & (~F.col("value").rlike(_OBJECT_LINE) | F.col("value").rlike(r",\s*$"))
-    return sorted(r.file for r in lines.filter(odd).select("file").distinct().collect())
-
-
 def raw_json(spark: SparkSession, path: str | list[str], schema: str, lines: bool | None) -> DataFrame:
-    """JSON files of one object per line, which can be split, or of one array (or object) over several lines, each of which is
-    one task. ``lines`` None: each file by its own form."""
-
-    def read(paths: str | list[str], by_line: bool) -> DataFrame:
-        df = spark.read.schema(schema).option("multiLine", not by_line).json(paths)
-        return df.withColumn(SOURCE, F.col("_metadata.file_path"))
-
-    if lines is not None:
-        return read(path, lines)
-    whole = multi_line_files(spark, path)
-    by_line = read(path, True)
-    if not whole:
-        return by_line
-    return by_line.filter(~F.col(SOURCE).isin(whole)).unionByName(read(whole, False))
+    """Rows of JSON files. ``lines`` None: files of any form, each record by itself (see framing); True: one object per line, by
+    Spark's reader; False: one value per file, which is one task."""
+    if lines is None:
+        rows = framing.parsed(framing.records(framing.frames(framing.lines(spark, path))), schema)
+        return framing.good(rows, schema)
+    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
+    return df.withColumn(SOURCE, F.col("_metadata.file_path"))
 
 
 def raw_listings_all(spark: SparkSession, folder: str, schema: str, lines: bool | None = None) -> DataFrame:

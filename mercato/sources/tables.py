@@ -1,50 +1,138 @@
-"""Catalog tables: creating them, staging, and replacing their contents."""
+"""Catalog tables: creating them, staging, and replacing their contents.
+
+Tables of rows that change by key (``id``) are cut into hash buckets: ``bucket``, the partition column, is the bucket that Spark's own
+bucketing gives the id, and each partition is clustered by id into that one bucket. So an upsert reads and rewrites the buckets of its keys
+only, and a read of the table joins on id without an exchange. Closed versions of a history lie in the partition of the time that closed
+them, batches of a silver table in a partition each.
+
+Nothing is overwritten in place. New files are written beside the old ones; then partitions are pointed at them. Where several tables change
+together, the list of pointers is written down first and a run that dies while it sets them is finished by the next one
+(``recover``): before that point nothing of it is seen, after it all. One job at a time writes a table; row-level formats
+have their own transactions."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mercato import schemas
-from mercato.operators import merge
+from mercato.operators import merge, quality
 from mercato.session import staging_dir
 
-CLOSED_RUN = "closed_run"
-RUN_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+CLOSED_RUN, TOLD_RUN, BATCH, BUCKET = "closed_run", "told_run", "batch", "bucket"
+LAYOUT = (CLOSED_RUN, TOLD_RUN, BATCH, BUCKET)
+RUN_FORMAT = "yyyy-MM-dd'T'HHmmss.SSSSSS"  # no character that a path would escape
 ROW_LEVEL_PROVIDERS = {"delta", "iceberg", "hudi"}
+#: Buckets of a keyed table unless asked for others: about 200 MB each at the size it will have.
+BUCKETS = 16
+#: Table property that names the list of pointers of a run that is about to set them.
+PLAN = "mercato.plan"
+
+
+# -- creating
+
 
+def _keyed(spark: SparkSession, table: str, ddl: str, provider: str, buckets: int, comment: str = "") -> None:
+    layout = "" if provider in ROW_LEVEL_PROVIDERS else f"PARTITIONED BY ({BUCKET}) CLUSTERED BY (id) INTO {buckets} BUCKETS"
+    column = f", {BUCKET} int" if layout else ""
+    comment = comment.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}{column}) USING {provider} {layout} COMMENT '{comment}'")
 
-def create_silver(spark: SparkSession, schema: str = "silver", provider: str = "parquet") -> None:
-    """The silver tables, in a format with row-level operations where the session has one."""
+
+def create_silver(spark: SparkSession, schema: str = "silver", provider: str = "parquet", buckets: int = BUCKETS) -> None:
+    """The silver tables: dictionaries; listings as they are now, and as they came, one partition per batch; what ingests rejected."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     for name, ddl in schemas.SILVER.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({ddl}) USING {provider}")
+        if schemas.SILVER_KEYS[name] == ["id"]:
+            _keyed(spark, f"{schema}.{name}", ddl, provider, buckets)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name}_batches ({ddl}, {BATCH} string) USING {provider} PARTITIONED BY ({BATCH})")
+        else:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({ddl}) USING {provider}")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {schema}.rejects ({schemas.REJECTS}, {BATCH} string) USING {provider} PARTITIONED BY ({BATCH})"
+    )
+
 
+def create_dimension(
+    spark: SparkSession, dimension: str, ddl: str, rules: Iterable[str] = (), provider: str = "parquet", buckets: int = BUCKETS
+) -> None:
+    """A history: its open versions, its closed versions by the run that closed them, a log of what each run told (id and hash, by run),
+    and a view over the versions."""
+    comment = "; ".join(f"CHECK ({rule})" for rule in rules)
+    _keyed(spark, f"{dimension}_open", ddl, provider, buckets, comment)
+    text = comment.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {dimension}_closed ({ddl}, {CLOSED_RUN} string) "
+        f"USING {provider} PARTITIONED BY ({CLOSED_RUN}) COMMENT '{text}'"
+    )
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {dimension}_log (id bigint, hash string, {TOLD_RUN} string) USING {provider} PARTITIONED BY ({TOLD_RUN})")
+    cols = ", ".join(schemas.columns(ddl))
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {dimension} AS SELECT {cols} FROM {dimension}_open UNION ALL SELECT {cols} FROM {dimension}_closed"
+    )
 
-def create_gold(spark: SparkSession, schema: str = "gold", provider: str = "parquet") -> None:
-    """The listing table and, per dimension, its open versions, its closed versions by the run that
-    closed them, and a view over both. A run rewrites open versions only; history is appended to."""
+
+def create_gold(spark: SparkSession, schema: str = "gold", provider: str = "parquet", buckets: int = BUCKETS) -> None:
+    """The listing table and the dimensions, with their CHECK rules as comments."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.listing ({schemas.LISTING}) USING {provider}")
+    _keyed(spark, f"{schema}.listing", schemas.LISTING, provider, buckets)
     for name, ddl in schemas.DIMENSIONS.items():
-        rules = "; ".join(f"CHECK ({rule})" for rule in schemas.CHECKS[name].values())
-        comment = rules.replace("'", "\\'")
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {schema}.{name}_open ({ddl}) USING {provider} COMMENT '{comment}'"
-        )
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {schema}.{name}_closed ({ddl}, {CLOSED_RUN} string) "
-            f"USING {provider} PARTITIONED BY ({CLOSED_RUN}) COMMENT '{comment}'"
-        )
-        cols = ", ".join(schemas.columns(ddl))
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {schema}.{name} AS SELECT {cols} FROM {schema}.{name}_open "
-            f"UNION ALL SELECT {cols} FROM {schema}.{name}_closed"
-        )
+        create_dimension(spark, f"{schema}.{name}", ddl, schemas.CHECKS[name].values(), provider, buckets)
+
+
+# -- reading
+
+
+def rows(spark: SparkSession, table: str) -> DataFrame:
+    """The table without the columns that only say where a row is kept."""
+    return spark.table(table).drop(*LAYOUT)
+
+
+def described(spark: SparkSession, table: str) -> dict[str, str]:
+    """Location, provider and number of buckets, as the catalog has them."""
+    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name IN ('Location', 'Provider', 'Num Buckets')")
+    return {r.col_name: r.data_type for r in lines.collect()}
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    return described(spark, table).get("Provider", "").lower()
+
+
+def partitions(spark: SparkSession, table: str) -> list[str]:
+    """Values of a table's one partition column, in order, from the catalog."""
+    return sorted(r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect())
+
+
+def run_name(run: datetime | Column) -> Column:
+    stamp = run if isinstance(run, Column) else F.lit(run)
+    return F.date_format(stamp.cast("timestamp"), RUN_FORMAT)
+
+
+def name_of(spark: SparkSession, run: datetime) -> str:
+    return spark.range(1).select(run_name(run)).first()[0]
+
+
+def batch_times(spark: SparkSession, table: str) -> list[datetime]:
+    """Times of the batches of a silver table, in order, from the list of its partitions."""
+    names = partitions(spark, f"{table}_batches")
+    if not names:
+        return []
+    return [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(F.to_timestamp("n", RUN_FORMAT)).collect()]
+
+
+def batch_rows(spark: SparkSession, table: str, run: datetime | None = None) -> DataFrame:
+    """One batch of a silver table, the newest unless named: a filter on the partition column, so nothing else is read."""
+    names = partitions(spark, f"{table}_batches")
+    name = name_of(spark, run) if run else (names or [""])[-1]
+    return spark.table(f"{table}_batches").filter(F.col(BATCH) == name).drop(BATCH)
+
+
+# -- staging
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -53,30 +141,115 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
-    return rows.select("data_type").first()[0]
+def unstage(*frames: DataFrame) -> None:
+    """Delete staged frames (as ``stage`` returned them) that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            df._staged_at = None
 
 
-def _provider(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'")
-    found = rows.select("data_type").first()
-    return found[0].lower() if found else ""
+# -- pointing tables at new files
+
+
+@dataclass(frozen=True)
+class Move:
+    """A table's partition (all of it: empty) gets its files from a path; without a path the partition goes."""
+
+    table: str
+    partition: str
+    path: str | None
 
 
-def replace_contents(df: DataFrame, table: str) -> None:
-    """Write the new contents beside the old and point the table at them. Readers see one or the other;
-    the old files stay for whoever still reads them."""
+def set_pointers(spark: SparkSession, moves: Sequence[Move]) -> None:
+    """May be repeated: what is set already is set again."""
+    for m in moves:
+        if not m.partition:
+            spark.sql(f"ALTER TABLE {m.table} SET LOCATION '{m.path}'")
+        elif m.path is None:
+            spark.sql(f"ALTER TABLE {m.table} DROP IF EXISTS PARTITION ({m.partition})")
+        else:
+            spark.sql(f"ALTER TABLE {m.table} ADD IF NOT EXISTS PARTITION ({m.partition}) LOCATION '{m.path}'")
+            spark.sql(f"ALTER TABLE {m.table} PARTITION ({m.partition}) SET LOCATION '{m.path}'")
+    for name in sorted({m.table for m in moves}):
+        spark.catalog.refreshTable(name)
+
+
+def commit(spark: SparkSession, moves: Sequence[Move], journal: str) -> None:
+    """Set the pointers of several tables as one: the list is stored and named in a property of the journal's table before the first is set."""
+    path = f"{_root(spark, journal)}/_plan={uuid.uuid4().hex}"
+    if not moves:
+        return
+    spark.createDataFrame([asdict(m) for m in moves], "table string, partition string, path string").coalesce(1).write.json(path)
+    spark.sql(f"ALTER TABLE {journal} SET TBLPROPERTIES ('{PLAN}' = '{path}')")
+    set_pointers(spark, moves)
+    spark.sql(f"ALTER TABLE {journal} UNSET TBLPROPERTIES IF EXISTS ('{PLAN}')")
+
+
+def recover(spark: SparkSession, journal: str) -> bool:
+    """Finish a run that died while it set pointers."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {journal}").filter(F.col("key") == PLAN).first()
+    if found is None:
+        return False
+    listed = spark.read.schema("table string, partition string, path string").json(found.value).collect()
+    set_pointers(spark, [Move(r.table, r.partition or "", r.path) for r in listed])
+    spark.sql(f"ALTER TABLE {journal} UNSET TBLPROPERTIES IF EXISTS ('{PLAN}')")
+    return True
+
+
+def _root(spark: SparkSession, table: str) -> str:
+    return described(spark, table)["Location"].split("/_v=")[0]
+
+
+def replace_contents(df: DataFrame, table: str, buckets: Sequence[int] | None = None, now: bool = True) -> list[Move]:
+    """Write the new contents (of the named buckets, each of which has rows) beside the old and point the table at them. Readers see one or
+    the other; the old files stay for whoever still reads them. ``now`` False: the pointers are returned, not set."""
     spark = df.sparkSession
-    columns = spark.table(table).columns
-    root = _location(spark, table).split("/_v=")[0]
-    path = f"{root}/_v={uuid.uuid4().hex}"
-    df.select(*columns).write.parquet(path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(table)
+    path = f"{_root(spark, table)}/_v={uuid.uuid4().hex}"
+    df = df.select(*spark.table(table).columns)
+    if buckets is None:
+        df.write.parquet(path)
+        moves = [Move(table, "", path)]
+    else:
+        n = int(described(spark, table)["Num Buckets"])
+        # a table over the new folder for as long as it is written, because only tables are written in buckets
+        beside = f"{table.rpartition('.')[0] or 'default'}.new_{uuid.uuid4().hex}"
+        df.write.partitionBy(BUCKET).bucketBy(n, "id").sortBy("id").option("path", path).format("parquet").saveAsTable(beside)
+        spark.sql(f"DROP TABLE {beside}")
+        moves = [Move(table, f"{BUCKET} = {b}", f"{path}/{BUCKET}={b}") for b in buckets]
+    if now:
+        set_pointers(spark, moves)
+    return moves
+
+
+def _overwrite_partitions(df: DataFrame, table: str, names: Sequence[str], now: bool = True) -> list[Move]:
+    """Replace the named partitions of a table with one partition column by the rows of the frame; one without rows goes."""
+    spark = df.sparkSession
+    column = spark.table(table).columns[-1]
+    df = df.select(*spark.table(table).columns)
+    if _provider(spark, table) in ROW_LEVEL_PROVIDERS:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        return []
+    path = f"{_root(spark, table)}/_v={uuid.uuid4().hex}"
+    df.write.partitionBy(column).parquet(path)
+    held = {r[0] for r in spark.read.schema(df.schema).parquet(path).select(column).distinct().collect()}
+    moves = [Move(table, f"{column} = '{n}'", f"{path}/{column}={n}" if n in held else None) for n in names]
+    if now:
+        set_pointers(spark, moves)
+    return moves
+
+
+def append_batch(df: DataFrame, table: str, name: str) -> None:
+    """Store a batch in the partition of its name; the same name again replaces it."""
+    _overwrite_partitions(df.withColumn(BATCH, F.lit(name)), table, [name])
 
 
 def require_unique(batch: DataFrame, keys: Sequence[str]) -> None:
@@ -86,10 +259,20 @@ def require_unique(batch: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"the batch holds keys more than once, for example {[tuple(r)[:-1] for r in twice]}")
 
 
-def upsert_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Upsert a batch: MERGE where the table's format has row-level operations, a rewrite elsewhere. A key that the batch
-    holds twice is an error."""
+def bucket_of(n: int) -> Column:
+    """The bucket that Spark's bucketing gives an id."""
+    return F.pmod(F.hash("id"), F.lit(n))
+
+
+def touched_buckets(batch: DataFrame, n: int) -> list[int]:
+    return sorted(r[0] for r in batch.select(bucket_of(n)).distinct().collect())
+
+
+def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], now: bool = True) -> list[Move]:
+    """Upsert a batch: MERGE where the table's format has row-level operations; a rewrite of the buckets that hold its keys where the table
+    has buckets; of the whole table (a dictionary) elsewhere. A key that the batch holds twice is an error."""
     spark = batch.sparkSession
+    layout = described(spark, table)
     require_unique(batch, keys)
     target = spark.table(table)
     if _provider(spark, table) in ROW_LEVEL_PROVIDERS:
@@ -99,47 +282,92 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
             batch=batch,
         )
-        return
-    replace_contents(merge.upsert(target, batch, keys), table)
+        return []
+    if "Num Buckets" not in layout:
+        return replace_contents(merge.upsert(target, batch, keys), table, None, now)
+    n = int(layout["Num Buckets"])
+    buckets = touched_buckets(batch, n)
+    if not buckets:
+        return []
+    return replace_contents(bucket_upsert(target, batch, buckets, n), table, buckets, now)
 
 
-def _overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace only the partitions the frame holds rows of; an empty frame leaves the table alone."""
-    rows = df.select(*df.sparkSession.table(table).columns)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+def bucket_upsert(target: DataFrame, batch: DataFrame, buckets: Sequence[int], n: int) -> DataFrame:
+    """The named buckets of a bucketed table after the batch. The table's side of the join is read in its buckets, without an exchange."""
+    held = target.filter(F.col(BUCKET).isin(list(buckets)))
+    return merge.replaced(held, batch.withColumn(BUCKET, bucket_of(n)), ["id"])
 
 
-def _run_name(run: datetime) -> Column:
-    return F.date_format(F.lit(run).cast("timestamp"), RUN_FORMAT)
+# -- history
 
 
-def recover_scd2(spark: SparkSession, dimension: str) -> None:
-    """Undo what a run left that died before its new versions were stored: closed versions of a run later than every open
-    version. A version is closed only where a new one opens, so the newest ``valid_from`` is the last whole run."""
-    newest = spark.table(f"{dimension}_open").agg(F.max("valid_from")).scalar()
-    closed = spark.table(f"{dimension}_closed").select(CLOSED_RUN).distinct()
-    late = closed.filter(newest.isNull() | (F.to_timestamp(CLOSED_RUN, RUN_FORMAT) > newest)).collect()
-    for (name,) in late:
-        spark.sql(f"ALTER TABLE {dimension}_closed DROP IF EXISTS PARTITION ({CLOSED_RUN} = '{name}') PURGE")
-    if late:
-        spark.catalog.refreshTable(f"{dimension}_closed")
+def _observed(batch: DataFrame, dimension: str) -> tuple[DataFrame, Observation | None]:
+    """The batch with the rules of its dimension counted on the way to wherever it is written."""
+    name = dimension.split(".")[-1]
+    if name not in schemas.DIMENSIONS:
+        return batch, None
+    required = [c for c in schemas.required(schemas.DIMENSIONS[name]) if c in batch.columns]
+    rules = {k: x for k, x in schemas.CHECKS[name].items() if k != "valid_interval"}
+    return quality.observed(batch, required, rules, name)
+
+
+def _told(spark: SparkSession, dimension: str, since: str, ids: DataFrame) -> DataFrame:
+    """(id, hash, valid_from) of what runs from a time on told of some ids, from the log."""
+    log = spark.table(f"{dimension}_log").filter(F.col(TOLD_RUN) >= since).join(ids, "id", "left_semi")
+    return log.select("id", "hash", F.to_timestamp(TOLD_RUN, RUN_FORMAT).alias("valid_from"))
+
 
+def apply_scd2(batch: DataFrame, dimension: str, run: datetime) -> dict[str, int]:
+    """One run of a dimension: the states of some keys at a time. Runs may come in any order and at the same time; what was told
+    and what comes are put in order of time, per key (see merge.scd2_splice), so the history is that of all runs in their
+    order. That takes a log of what each run told, because a state that only repeats the one before it leaves no version of its own, yet
+    counts when a run between the two comes late. A state that contradicts one of its key at the very same time is an error.
 
-def apply_scd2(batch: DataFrame, dimension: str, run: datetime) -> None:
-    """One run of a dimension. Versions closed by the run go to its own partition of the closed table,
-    then the new versions replace them in the open table. A run that died between the two is undone when the next one
-    starts, whatever its time and batch. A run must be later than the versions that are open, unless it changes nothing."""
+    Only the buckets of open versions and the partitions of closed ones that change are written; a run that is later than all before it
+    adds one partition of each and reads none. Broken rules (NOT NULL, CHECK), counted while the batch is staged, are an error before anything
+    is stored. Returns these counts."""
     spark = batch.sparkSession
     name = dimension.split(".")[-1]
-    recover_scd2(spark, dimension)
-    current = spark.table(f"{dimension}_open")
-    batch = stage(batch, name)
-    require_unique(batch, ["id"])
-    new = stage(merge.scd2_new(current, batch, run), f"{name}-new")
-    if new.isEmpty():
-        return
-    if current.filter(F.col("valid_from") >= F.lit(run).cast("timestamp")).limit(1).count():
-        raise ValueError(f"{dimension} has versions from {run} on; a run must be later")
-    closed = merge.scd2_closed(current, batch, run).withColumn(CLOSED_RUN, _run_name(run))
-    _overwrite_partitions(closed, f"{dimension}_closed")
-    upsert_table(new, f"{dimension}_open", ["id"])
+    opened, closed, log = f"{dimension}_open", f"{dimension}_closed", f"{dimension}_log"
+    recover(spark, opened)
+    batch, counts = _observed(batch, dimension)
+    states = stage(batch, name)
+    seen = quality.require_rules(counts, dimension)
+    require_unique(states, ["id"])
+
+    layout, columns, here = described(spark, opened), rows(spark, opened).columns, name_of(spark, run)
+    at, ids = F.lit(run).cast("timestamp"), states.select("id")
+    told = stage(_told(spark, dimension, here, ids), f"{name}-told")
+    held = told.filter(F.col("valid_from") == at).select("id", F.col("hash").alias("_held"))
+    contradicted = states.join(held, "id").filter("hash <> _held").select("id").first()
+    if contradicted:
+        raise ValueError(f"{dimension} has another state of id {contradicted.id} at {run}; a run that changes it must be later")
+
+    current = spark.table(opened)
+    if "Num Buckets" in layout:
+        current = current.filter(F.col(BUCKET).isin(touched_buckets(states, int(layout["Num Buckets"]))))
+    late = spark.table(closed).filter(F.col(CLOSED_RUN) >= here)
+    stored = stage(
+        current.select(*columns).join(ids, "id", "left_semi").unionByName(late.select(*columns).join(ids, "id", "left_semi")), f"{name}-stored"
+    )
+    new_states = states.withColumn("valid_from", at)
+    content = stored.drop("valid_from", "valid_to").dropDuplicates(["id", "hash"])  # a version's hash stands for its content
+    confirmed = told.filter(F.col("valid_from") > at).join(content, ["id", "hash"]).select(*new_states.columns)
+    after = merge.scd2_splice(stored, new_states.unionByName(confirmed), columns)
+    changed = stage(merge.scd2_changes(stored, after), f"{name}-changes")
+
+    mine = new_states.select("id", "hash", F.lit(here).alias(TOLD_RUN))
+    others = spark.table(log).filter(F.col(TOLD_RUN) == here).join(ids, "id", "left_anti")
+    moves = _overwrite_partitions(others.select(*mine.columns).unionByName(mine), log, [here], False)
+    gone, new = changed.filter("gone").drop("gone"), changed.filter("not gone").drop("gone")
+    if not changed.isEmpty():
+        ends = changed.filter("valid_to IS NOT NULL").select(run_name(F.col("valid_to")).alias("n")).distinct()
+        names = sorted(r.n for r in ends.collect())
+        if names:
+            kept = spark.table(closed).filter(F.col(CLOSED_RUN).isin(names)).join(gone.select("id", "valid_from"), ["id", "valid_from"], "left_anti")
+            added = new.filter("valid_to IS NOT NULL").withColumn(CLOSED_RUN, run_name(F.col("valid_to")))
+            moves += _overwrite_partitions(kept.unionByName(added), closed, names, False)
+        moves += upsert_table(new.filter("valid_to IS NULL"), opened, ["id"], False)
+    commit(spark, moves, opened)
+    unstage(states, told, stored, changed)
+    return seen

@@ -5,12 +5,10 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mercato import schemas
-from mercato.plans.jobs import CATEGORIES
-from mercato.sources import tables
-from mercato.sources.readers import raw_json
+from mercato.plans.jobs import CATEGORIES, store_batch
 
 
 def ingest_new_files(
@@ -18,29 +16,25 @@ def ingest_new_files(
     folder: str,
     category: str,
     checkpoint: str,
-    lines: bool | None = None,
     schema: str = "silver",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Conform and upsert the files that arrived since the last run, each once (the checkpoint keeps
-    account), with the same operators as the batch job. A replayed batch upserts the same rows."""
-    kind = CATEGORIES[category]
-    # the stream carries names only; each file is then read by its own form, as the batch job reads it
-    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    """Conform and store the files that arrived since the last run, each once (the checkpoint keeps
+    account), with the same operators as the batch job. The stream carries the lines of the files; records are framed per batch, and a file
+    arrives whole in one. A replayed batch stores the same rows."""
+    if category not in CATEGORIES:
+        raise ValueError(f"category must be one of {sorted(CATEGORIES)}, not {category!r}")
+    source = spark.readStream.format("text")
     if files_per_batch:
-        names = names.option("maxFilesPerTrigger", files_per_batch)
-    arrived = names.load(f"{folder.rstrip('/')}/*.json").select("path")
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    arrived = source.load(f"{folder.rstrip('/')}/*.json").select("value", *meta)
 
-    def upsert(batch: DataFrame, _: int) -> None:
-        paths = [r.path for r in batch.collect()]
-        if not paths:
-            return
-        run = datetime.now(timezone.utc)
-        rows = kind.conform(raw_json(spark, paths, kind.raw, lines), run)
-        tables.upsert_table(rows, f"{schema}.{kind.silver}", schemas.SILVER_KEYS[kind.silver])
+    def store(batch: DataFrame, _: int) -> None:
+        store_batch(batch.sparkSession, batch, category, datetime.now(timezone.utc), schema)
 
     return (
-        arrived.writeStream.foreachBatch(upsert)
+        arrived.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -109,8 +109,8 @@ def test_motorcycle_jobs_and_missed_batches(warehouse, tmp_path, rows):
     land(folder, "02-01-2026-daily-motorcycle.json", [ad(2, "b", **{**extra, "Odometer": "1600"})])
     jobs.ingest(spark, str(folder), "motorcycle", DAY2)
     jobs.update_gold(spark, "motorcycle", DAY2, since=datetime(2025, 1, 1))
-    got = rows(spark.table("gold.odometer").select("id", "units", "odometer", "valid_from", "valid_to"), "id")
-    assert got == [(1, "km", 1500, DAY1, None), (2, "km", 1600, DAY2, None)]
+    got = rows(spark.table("gold.odometer").select("id", "units", "odometer", "valid_from", "valid_to"), "id", "valid_from")
+    assert got == [(1, "km", 1500, DAY1, None), (2, "km", 1500, DAY1, DAY2), (2, "km", 1600, DAY2, None)]  # both missed days of id 2
     assert rows(spark.table("gold.vehicle_spec").select("id", "brand", "model", "year"), "id") == [
         (1, "Honda", "CB", 2001), (2, "Honda", "CB", 2001),
     ]

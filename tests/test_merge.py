@@ -127,7 +127,7 @@ def test_quality(spark):
     assert quality.duplicate_keys(df, ["id"]).collect() == [(1, 2)]
     assert tuple(quality.null_counts(df, ["id", "v"]).first()) == (0, 1)
     assert tuple(quality.check_violations(df, {"v_is_x": "v = 'x'"}).first()) == (1,)  # NULL passes
-    assert quality.profile(df, ["id", "v"]).collect() == [("id", 3, 0, "1", "2"), ("v", 2, 1, "x", "y")]
+    assert quality.profile(df, ["id", "v"]).collect() == [("id", 3, 0, "1", "2", 1.3333, 0.5774), ("v", 2, 1, "x", "y", None, None)]
 
 
 def test_keep_first_and_ties(spark, rows):
