@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from mercato.llm.links import components
 from mercato.llm.tables import lookup
 from mercato.llm.text import WordHashes, mixed, payloads, rows, window_hashes
-from mercato.sources.tables import stage
+from mercato.sources.tables import stage, unstage
 
 WIDTH = 3
 #: Similarity in hundredths.
@@ -126,12 +126,19 @@ def may_be_similar(n_a: str, odd_a: str, n_b: str, odd_b: str, least: int = LEAS
     return sizes & ((100 + least) * d <= (100 - least) * (F.col(n_a) + F.col(n_b)))
 
 
+def beside(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
+    """The pairs with columns of both their nodes, named with the side."""
+    for x in "ab":
+        pairs = pairs.join(nodes.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]), x)
+    return pairs
+
+
 def filtered(pairs: DataFrame, nodes: DataFrame, least: int = LEAST) -> DataFrame:
-    """Pairs (a, b) that may be similar and overlap in the prefixes of the second and third order."""
-    sides = [nodes.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "odd", "p2", "p3")]) for x in "ab"]
-    both = pairs.join(sides[0], "a").join(sides[1], "b")
-    fits = may_be_similar("n_a", "odd_a", "n_b", "odd_b", least)
-    return both.filter(fits & F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b").distinct()
+    """Pairs (a, b) that may be similar and overlap in the prefixes of the second and third order. Sizes and parities come first: they are
+    short, and few pairs are left that the prefixes must be sent for."""
+    few = beside(pairs, nodes, ["n", "odd"]).filter(may_be_similar("n_a", "odd_a", "n_b", "odd_b", least)).select("a", "b").distinct()
+    both = beside(few, nodes, ["p2", "p3"])
+    return both.filter(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFrame:
@@ -168,9 +175,11 @@ def join(docs: DataFrame, ranks: np.ndarray | None = None, width: int = WIDTH, l
     """doc_id, n_shingles, component_id: one row per row. Sets of ``width`` words; links from a similarity of ``least`` hundredths."""
     ranks = frequency_ranks(docs, width=width) if ranks is None else ranks
     every = stage(sets(docs, ranks, width, least), "shingle-sets")
+    rows_ = stage(every.select("doc_id", "n", "set_key"), "set-keys")
     node = F.struct("doc_id", "n", "p1", "p2", "p3", "odd")
     reps = every.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min(node).alias("x"))
     nodes = stage(reps.select("set_key", "x.*"), "shingle-nodes")
+    unstage(every)
 
     listed = nodes.select(F.col("doc_id").alias("d"), F.explode("p1").alias("t"))
     hubs = listed.groupBy("t").agg(F.min("d").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("t", "hub")
@@ -198,6 +207,7 @@ def join(docs: DataFrame, ranks: np.ndarray | None = None, width: int = WIDTH, l
     final = components(links.unionByName(more)) if not more.isEmpty() else found
     part = nodes.select("set_key", "doc_id").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     part = part.select("set_key", F.coalesce("component", "doc_id").alias("component_id"))
-    return every.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(part, "set_key", "left").select(
+    unstage(live, known, some)
+    return rows_.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(part, "set_key", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.sources.tables import stage
+from mercato.sources.tables import stage, unstage
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -26,7 +26,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = stage(hung.select("e.u", "e.v").filter("u <> v").distinct(), "links")
+        old, edges = edges, stage(hung.select("e.u", "e.v").filter("u <> v").distinct(), "links")
+        unstage(old)
         after = _mark(edges)
         if after == before:
             break
