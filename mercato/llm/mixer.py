@@ -1,20 +1,27 @@
 """Scoring texts by online logistic context mixing.
 
-A text is a sequence of words and one end; a word is its bytes and a blank, the end is a line feed. Each bit of a byte, highest first,
-is predicted by several counters, one per order (so many bytes of the word before it, and the bits of the byte so far), in hashed
-tables. The counters' log odds are mixed by a weight vector chosen by a gate (highest order that has counts, and place of the bit),
-learned online by logistic gradient steps; a table from the mixed odds to what really followed refines the result. The bits
-of all words and the end add up to the bits of the text, given here as a logarithm to base 10.
+A text is a sequence of words and one end; a word is its bytes and a blank, the end is a line feed. Two kinds of bits are predicted, each
+by counters in several contexts whose log odds are mixed by weights that a gate chooses, learned online by logistic gradient steps.
+
+* Is the next word one that the text has had? Contexts: how often that was so in this text until here (a counter that adapts along the text),
+  the place in the text with the last three answers, and the word before. A word that the text has had is then drawn from its words so far.
+* The bits of a new word, highest first. Contexts: the last one to four bytes with the bits of the byte so far, in hashed tables of a fixed size; and
+  the whole word so far, counted exactly, so that what is gathered grows with the vocabulary. A table from the mixed odds to what really
+  followed refines the result. The probability of words that the text has had already is shared out among the others.
+
+The bits add up to the bits of the text, given as a logarithm to base 10 and as bits per byte.
 
 Words are counted over all training texts, those whose crc32 of the id modulo 5 is not 1; a null id is neither held out nor
-learned from. Contexts lie inside a word, so each distinct word is scored once: blocks of texts (see blocks.py) send their distinct words
-to buckets, buckets count, learn and score, and answer the blocks. In learning, an occurrence is predicted by counts without itself.
+learned from. What a word costs as a new one does not depend on the text, so each distinct word is costed once: blocks of texts (see blocks.py) send their distinct words
+to buckets (by their first ``PREFIX`` bytes, so that a bucket has all words that share longer beginnings), buckets count, learn and cost, and answer the
+blocks, which go through their texts word by word. In learning, an occurrence is predicted by counts without itself.
 Null and empty texts are one end. Repeated rows are counted and scored each. With nothing to learn from all counts are 0."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -31,13 +38,20 @@ from mercato.sources.tables import stage
 
 FOLDS, HELD_FOLD = 5, 1
 BLOCK_BYTES = 8_000_000
-#: Bytes of context and table bits of each counter.
-ORDERS = ((1, 16), (2, 18), (3, 20), (4, 20), (5, 21), (7, 21))
+#: Bytes of context and table bits of each hashed counter; the counters of the whole word so far come after these.
+ORDERS = ((1, 16), (2, 18), (3, 20), (4, 21))
+#: Words with the same first bytes are in one bucket; longer beginnings are counted exactly.
+PREFIX = 4
+INPUTS = len(ORDERS) + 2
 PLACES = [0, *np.cumsum([2**b for _, b in ORDERS]).tolist()]
 TABLE = PLACES[-1]
 RANGE = 2**17
 #: Gates: highest order with counts, size of these counts in four steps, place of the bit.
-GATES, BINS = 32 * (len(ORDERS) + 1), 33
+GATES, BINS = 32 * INPUTS, 33
+#: Contexts of "had already": logarithm of the place with three answers, hash of the word before; gates: logarithm of the place.
+PLACE_STEPS, BEFORE = 24, 1 << 12
+HAD_CELLS, HAD_INPUTS = PLACE_STEPS * 8 + BEFORE, 4
+HAD_STEP = 20_000
 FEW = 0.2
 STEP_WORDS = 256
 RATE = 0.05
@@ -55,13 +69,53 @@ class Bits:
     slots: np.ndarray
     bit: np.ndarray
     word: np.ndarray
-
-
-def bits_of(words: list[bytes]) -> Bits:
-    coded = [w if w == END else w + b" " for w in words]
-    data = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64)
-    length = np.array([len(w) for w in coded], np.int64)
-    word = np.repeat(np.arange(len(coded)), length)
+    #: How often the word so far was seen, and went on with the bit.
+    seen: np.ndarray
+    went: np.ndarray
+
+
+def coded(word: bytes) -> bytes:
+    return word if word == END else word + b" "
+
+
+def beginnings(words: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each bit of words in sorted order (as ``bits_of`` lays them out): the sum of times of the words that begin with the bits
+    before it, and with these and the bit. Words that begin alike stand together, so a beginning is a run of them. Bits of the first
+    ``PREFIX`` bytes, which words of other buckets share, have none."""
+    data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    length = np.array([len(w) for w in words], np.int64)
+    first = np.cumsum(length) - length
+    seen, went = (np.repeat(times.astype(np.float32), 8 * length) for _ in range(2))  # true of a word that begins like no other
+    here, starts = np.arange(len(words)), np.zeros(len(words), bool)
+    starts[:1] = True
+    d = 0
+    while len(here):
+        byte = data[first[here] + d]
+        sums, group = [], np.empty(0, np.int64)
+        for b in range(9):
+            opens = starts.copy()
+            opens[1:] |= (byte[1:] >> (8 - b)) != (byte[:-1] >> (8 - b))
+            group = np.cumsum(opens) - 1
+            sums.append(np.add.reduceat(times[here], np.flatnonzero(opens))[group])
+        at = 8 * (first[here] + d)
+        for b in range(8):
+            seen[at + b], went[at + b] = sums[b], sums[b + 1]
+        d += 1
+        more = (np.bincount(group)[group] > 1) & (length[here] > d)
+        here, group = here[more], group[more]
+        starts = np.ones(len(here), bool)
+        starts[1:] = group[1:] != group[:-1]
+    early = np.repeat(np.arange(len(data)) - np.repeat(first, length) < PREFIX, 8)
+    seen[early] = went[early] = 0
+    return seen, went
+
+
+def bits_of(words: list[bytes], seen: np.ndarray | None = None, went: np.ndarray | None = None) -> Bits:
+    """``seen`` and ``went``: of their beginnings; none if not given."""
+    coded_words = [coded(w) for w in words]
+    data = np.frombuffer(b"".join(coded_words), np.uint8).astype(np.uint64)
+    length = np.array([len(w) for w in coded_words], np.int64)
+    word = np.repeat(np.arange(len(coded_words)), length)
     place = np.arange(len(data)) - np.repeat(np.cumsum(length) - length, length)
     contexts, so_far, k = [], np.zeros(len(data), np.uint64), 0
     for order, _ in ORDERS:
@@ -75,22 +129,26 @@ def bits_of(words: list[bytes]) -> Bits:
     for j, (order, size) in enumerate(ORDERS):
         key = mixed(contexts[j] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(order))[:, None] + partial * np.uint64(0xD6E8FEB86659FD93)
         slots[j] = (PLACES[j] + (mixed(key) >> np.uint64(64 - size)).astype(np.int64)).ravel()
-    return Bits(slots, bit.ravel(), np.repeat(word, 8))
+    none = np.zeros(8 * len(data), np.float32)
+    return Bits(slots, bit.ravel(), np.repeat(word, 8), none if seen is None else seen, none if went is None else went)
 
 
 @dataclass
 class Model:
     counts: np.ndarray  # 2 x TABLE: zeros, ones
-    weights: np.ndarray  # gates x (orders + 1)
+    weights: np.ndarray  # gates x inputs
     refined: np.ndarray  # gates x bins: probability of a one
 
     def inputs(self, b: Bits, without: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Log odds of the counters (and 0.3), and the gate of each bit; ``without``: leave out one occurrence of the bit itself."""
-        zero, one = self.counts[0][b.slots], self.counts[1][b.slots]
+        zero, one = np.empty((2, len(ORDERS) + 1, len(b.bit)), np.float32)
+        zero[:-1], one[:-1] = self.counts[0][b.slots], self.counts[1][b.slots]
+        one[-1] = np.where(b.bit == 1, b.went, b.seen - b.went)
+        zero[-1] = b.seen - one[-1]
         if without:
             one, zero = np.maximum(one - b.bit, 0), np.maximum(zero - (1 - b.bit), 0)
         odds = np.log((one + FEW) / (zero + FEW))
-        top = ((zero + one > 0) * np.arange(1, len(ORDERS) + 1)[:, None]).max(0)
+        top = ((zero + one > 0) * np.arange(1, len(ORDERS) + 2)[:, None]).max(0)
         at = np.maximum(top - 1, 0), np.arange(len(b.bit))
         size = np.digitize(zero[at] + one[at], (3, 20, 300))
         gate = (top * 4 + size) * 8 + np.tile(np.arange(8), len(b.bit) // 8)
@@ -109,8 +167,8 @@ class Model:
             steps[:, k] += slope * slope
             self.weights[:, k] += RATE * slope / np.sqrt(steps[:, k])
 
-    def log10(self, words: list[bytes]) -> np.ndarray:
-        b = bits_of(words)
+    def log10(self, words: list[bytes], seen: np.ndarray | None = None, went: np.ndarray | None = None) -> np.ndarray:
+        b = bits_of(words, seen, went)
         odds, gate = self.inputs(b)
         z = self.mix(odds, gate)
         p = 1 / (1 + np.exp(-z))
@@ -122,13 +180,128 @@ def bin_of(z: np.ndarray) -> np.ndarray:
     return np.rint((z + 12) * ((BINS - 1) / 24)).astype(np.int64)
 
 
-def block_words(batch: pa.RecordBatch, bits: int) -> tuple[list[list[bytes]], list[bytes], np.ndarray]:
-    """Words of each text; the block's distinct words in the order of their buckets; the bucket of each of these."""
+@dataclass
+class Words:
+    """The words of a block: its distinct ones in the order of their buckets, and all occurrences, text behind text."""
+
+    distinct: list[bytes]
+    bucket: np.ndarray
+    at: np.ndarray  # place among the distinct ones
+    size: np.ndarray  # words of each text
+
+
+def block_words(batch: pa.RecordBatch, bits: int) -> Words:
     texts = [x.lower().split() for x in payloads(batch["text"])]
-    words = list(dict.fromkeys(w for x in texts for w in x))
-    bucket = np.fromiter(map(crc32, words), np.int64, len(words)) & ((1 << bits) - 1)
-    order = np.argsort(bucket, kind="stable")
-    return texts, [words[k] for k in order.tolist()], bucket[order]
+    distinct = list(dict.fromkeys(chain.from_iterable(texts)))
+    bucket = np.fromiter((crc32(coded(w)[:PREFIX]) for w in distinct), np.int64, len(distinct)) & ((1 << bits) - 1)
+    order = np.argsort(bucket, kind="stable").tolist()
+    distinct = [distinct[k] for k in order]
+    place = {w: k for k, w in enumerate(distinct)}
+    size = np.array([len(x) for x in texts], np.int64)
+    at = np.fromiter(map(place.__getitem__, chain.from_iterable(texts)), np.int64, int(size.sum()))
+    return Words(distinct, bucket[order], at, size)
+
+
+@dataclass
+class Repeats:
+    """Of each word of some texts, text behind text: its place, how often the text had it before, how many words it had had before, and the
+    cells of the contexts of "had already"."""
+
+    text: np.ndarray
+    place: np.ndarray
+    times: np.ndarray
+    before: np.ndarray
+    cells: np.ndarray  # 2 x words
+
+    @property
+    def had(self) -> np.ndarray:
+        return self.times > 0
+
+
+def repeats(words: Words) -> Repeats:
+    n, size = len(words.at), words.size
+    first = np.cumsum(size) - size
+    text = np.repeat(np.arange(len(size)), size)
+    place = np.arange(n) - first[text]
+    key = text * max(1, len(words.distinct)) + words.at
+    order = np.argsort(key, kind="stable")
+    opens = np.ones(n, bool)
+    opens[1:] = key[order][1:] != key[order][:-1]
+    run = np.flatnonzero(opens)
+    times = np.empty(n, np.int64)
+    times[order] = np.arange(n) - run[np.cumsum(opens) - 1] if n else 0
+    had = (times > 0).astype(np.int64)
+    sums = np.concatenate([[0], np.cumsum(had)])
+    before = sums[:-1] - sums[first[text]] if n else had
+    last = np.zeros(n, np.int64)
+    for k in (1, 2, 3):
+        last[k:] |= np.where(place[k:] >= k, had[:-k], 0) << (k - 1)
+    hashes = np.fromiter(map(crc32, words.distinct), np.int64, len(words.distinct)) & (BEFORE - 1)
+    previous = np.zeros(n, np.int64)
+    previous[1:] = np.where(place[1:] > 0, hashes[words.at[:-1]], 0) if n else 0
+    step = np.minimum(np.floor(np.log2(place + 1)).astype(np.int64), PLACE_STEPS - 1)
+    return Repeats(text, place, times, before, np.stack([step * 8 + last, PLACE_STEPS * 8 + previous]))
+
+
+@dataclass
+class Had:
+    """The model of "had already": counts of no and yes per cell, weights per gate."""
+
+    counts: np.ndarray  # 2 x HAD_CELLS
+    weights: np.ndarray  # PLACE_STEPS x HAD_INPUTS
+
+    def inputs(self, r: Repeats, part: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        yes, place = r.before[part], r.place[part]
+        cells = r.cells[:, part]
+        odds = [np.log((yes + 0.5) / (place - yes + 0.5)), *np.log((self.counts[1][cells] + 0.5) / (self.counts[0][cells] + 0.5)), np.full(len(place), 0.3)]
+        return np.stack(odds), cells[0] // 8
+
+    def yes(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(np.einsum("kn,nk->n", odds, self.weights[gate]), -12, 12)))
+
+    def learn(self, r: Repeats, learned: np.ndarray, steps: np.ndarray, used: np.ndarray) -> None:
+        """Online over the words of the texts marked as learned: predict, step the weights (AdaGrad), then count."""
+        keep = learned[r.text]
+        r = Repeats(r.text[keep], r.place[keep], r.times[keep], r.before[keep], r.cells[:, keep])
+        for k in range(0, len(r.place), HAD_STEP):
+            part = slice(k, k + HAD_STEP)
+            odds, gate = self.inputs(r, part)
+            had, real = r.had[part], r.place[part] > 0  # the first word of a text cannot have been there
+            error = (had - self.yes(odds, gate)) * real
+            total = np.bincount(gate, real, PLACE_STEPS)
+            for j in range(HAD_INPUTS):
+                slope = np.bincount(gate, error * odds[j], PLACE_STEPS) / np.maximum(total, 1)
+                steps[:, j] += slope * slope
+                self.weights[:, j] += RATE * slope / np.sqrt(steps[:, j])
+            used += total
+            for cells in r.cells[:, part]:
+                for x in (0, 1):
+                    self.counts[x] += np.bincount(cells[real & (had == x)], minlength=HAD_CELLS)
+
+    def log10(self, r: Repeats, new: np.ndarray, end: float, size: np.ndarray) -> np.ndarray:
+        """Of each text; ``new``: log10 of each word as a new one, ``end``: of the end. ``size``: words of each text."""
+        yes = np.where(r.place > 0, self.yes(*self.inputs(r)), 0.0)
+        had = r.had
+        # what new words of the text have taken so far is no longer theirs to take
+        taken = np.concatenate([[0.0], np.cumsum(np.where(had, 0.0, 10.0**new))])
+        first = np.cumsum(size) - size
+        left = np.maximum(1 - (taken[:-1] - taken[first[r.text]]), 0.02) if len(new) else new
+        drawn = np.log10(np.where(had, yes * r.times / np.maximum(r.place, 1), 1.0))
+        spelled = np.where(had, 0.0, np.log10(1 - yes) + np.where(had, 0.0, new) - np.log10(left))
+        total = np.bincount(r.text, drawn + spelled, len(size))
+        # the end is a new word too; its place is behind the last one
+        after = Repeats(np.arange(len(size)), size, np.zeros(len(size), np.int64), np.bincount(r.text, had, len(size)), self._end_cells(r, size))
+        yes = np.where(size > 0, self.yes(*self.inputs(after)), 0.0)
+        return total + np.log10(1 - yes) + end - np.log10(np.maximum(1 - (taken[first + size] - taken[first]), 0.02))
+
+    @staticmethod
+    def _end_cells(r: Repeats, size: np.ndarray) -> np.ndarray:
+        step = np.minimum(np.floor(np.log2(size + 1)).astype(np.int64), PLACE_STEPS - 1)
+        had, last = np.concatenate([r.had, [False]]).astype(np.int64), np.zeros(len(size), np.int64)
+        behind = np.cumsum(size)
+        for k in (1, 2, 3):
+            last |= np.where(size >= k, had[np.maximum(behind - k, 0)], 0) << (k - 1)
+        return np.stack([step * 8 + last, np.full(len(size), PLACE_STEPS * 8)])
 
 
 def spans(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -146,26 +319,37 @@ def unpack_words(data: bytes) -> list[bytes]:
 
 
 def pooled(table: pa.Table) -> pa.Table:
-    """A bucket's distinct words and their training counts."""
+    """A bucket's distinct words, sorted as they are coded, and their training counts."""
     total: dict[bytes, int] = {}
     for words, times in zip(table["words"].to_pylist(), table["times"].to_pylist()):
         for w, n in zip(unpack_words(words), unpack_any(times).tolist()):
             total[w] = total.get(w, 0) + n
-    counts = np.fromiter(total.values(), np.uint64, len(total))
-    row = [[table["bucket"][0].as_py()], [pack_words(list(total))], [pack_any(counts)], [int(counts.sum())], [int((counts > 0).sum())]]
+    order = sorted(total, key=coded)
+    counts = np.fromiter(map(total.__getitem__, order), np.uint64, len(total))
+    row = [[table["bucket"][0].as_py()], [pack_words(order)], [pack_any(counts)], [int(counts.sum())], [int((counts > 0).sum())]]
     kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
     return pa.table([pa.array(x, t) for x, t in zip(row, kinds)], ["bucket", "words", "times", "tokens", "known"])
 
 
-def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """Training words and their counts, ``STEP_WORDS`` at a time."""
+Part = tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]
+
+
+def parts(words: list[bytes], times: np.ndarray, size: int) -> Iterator[Part]:
+    """A bucket's sorted words, so many at a time, with their counts and those of their beginnings."""
+    seen, went = beginnings([coded(w) for w in words], times)
+    ends = np.concatenate([[0], 8 * np.cumsum([len(w) + 1 for w in words])]).astype(np.int64)
+    for k in range(0, len(words), size):
+        a, z = ends[k], ends[min(k + size, len(words))]
+        yield words[k : k + size], times[k : k + size], seen[a:z], went[a:z]
+
+
+def _training(batches: Iterator[pa.RecordBatch], size: int = STEP_WORDS) -> Iterator[Part]:
+    """Training words, so many at a time."""
     for batch in batches:
         for words, times in zip(batch["words"].to_pylist(), batch["times"].to_pylist()):
             times = unpack_any(times).astype(np.float64)
-            seen = [(w, n) for w, n in zip(unpack_words(words), times.tolist()) if n > 0]
-            for k in range(0, len(seen), STEP_WORDS):
-                part = seen[k : k + STEP_WORDS]
-                yield [w for w, _ in part], np.array([n for _, n in part])
+            seen = times > 0
+            yield from parts([w for w, x in zip(unpack_words(words), seen.tolist()) if x], times[seen], size)
 
 
 def counted(vocabulary: DataFrame, ends: int) -> np.ndarray:
@@ -173,25 +357,13 @@ def counted(vocabulary: DataFrame, ends: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, TABLE))
-        words, times = [], []
-
-        def add() -> None:
+        for words, times, _, _ in _training(batches, 20_000):
             b = bits_of(words)
-            w = np.concatenate(times)[b.word]
+            w = times[b.word]
             for slots in b.slots:
                 for bit in (0, 1):
                     on = b.bit == bit
                     np.add(total[bit], np.bincount(slots[on], w[on], TABLE), out=total[bit]) if on.sum() > TABLE // 8 else np.add.at(total[bit], slots[on], w[on])
-            words.clear()
-            times.clear()
-
-        for part, n in _training(batches):
-            words += part
-            times.append(n)
-            if len(words) >= 20_000:
-                add()
-        if words:
-            add()
         for k in range(0, TABLE, RANGE):
             if total[:, k : k + RANGE].any():
                 body = zstandard.ZstdCompressor(level=1).compress(total[:, k : k + RANGE].astype(np.float32).tobytes())
@@ -203,8 +375,8 @@ def counted(vocabulary: DataFrame, ends: int) -> np.ndarray:
         return pa.table({"start": pa.array([table["start"][0].as_py()], pa.int64()), "body": pa.array([body], pa.binary())})
 
     counts = np.zeros((2, TABLE), np.float32)
-    parts = vocabulary.mapInArrow(count, "start bigint, body binary").groupBy("start").applyInArrow(add_up, "start bigint, body binary")
-    for row in parts.collect():  # at most TABLE / RANGE rows
+    summed = vocabulary.mapInArrow(count, "start bigint, body binary").groupBy("start").applyInArrow(add_up, "start bigint, body binary")
+    for row in summed.collect():  # at most TABLE / RANGE rows
         body = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.body), np.float32).reshape(2, -1)
         counts[:, row.start : row.start + body.shape[1]] = body
     if ends:
@@ -219,7 +391,7 @@ def fitted(vocabulary: DataFrame, ends: int) -> tuple[Model, Broadcast]:
     """The model, and its tables as they were sent to the executors, once. Tables first, then one online pass of the mixer in each partition over its training words; weights are averaged and the refining counts
     added over the partitions."""
     spark = vocabulary.sparkSession
-    shape = (GATES, len(ORDERS) + 1)
+    shape = (GATES, INPUTS)
     start = Model(counted(vocabulary, ends), np.full(shape, 0.3), np.full((GATES, BINS), 0.5))
     sent = spark.sparkContext.broadcast(start.counts)  # of a fixed size, by ORDERS
 
@@ -227,8 +399,8 @@ def fitted(vocabulary: DataFrame, ends: int) -> tuple[Model, Broadcast]:
         own = Model(sent.value, np.full(shape, 0.3), np.empty(0))
         seen = np.zeros((2, GATES * BINS))
         used, steps = np.zeros(GATES), np.full(shape, 1e-4)
-        for words, times in _training(batches):
-            b = bits_of(words)
+        for words, times, began, went in _training(batches):
+            b = bits_of(words, began, went)
             own.learn(b, times, steps)
             odds, gate = own.inputs(b, True)
             at, w = gate * BINS + bin_of(own.mix(odds, gate)), times[b.word]
@@ -239,9 +411,9 @@ def fitted(vocabulary: DataFrame, ends: int) -> tuple[Model, Broadcast]:
         rows += [("r", k, float(seen[1][k]), float(seen[0][k])) for k in np.flatnonzero(seen[0]).tolist()]
         yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["kind", "cell", "x", "n"]), preserve_index=False)
 
-    parts = vocabulary.mapInArrow(learn, "kind string, cell bigint, x double, n double")
+    learned = vocabulary.mapInArrow(learn, "kind string, cell bigint, x double, n double")
     model = start
-    for r in parts.groupBy("kind", "cell").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect():
+    for r in learned.groupBy("kind", "cell").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect():
         if r.kind == "w" and r.n > 0:
             model.weights.ravel()[r.cell] = r.x / r.n
         elif r.kind == "r":
@@ -250,43 +422,75 @@ def fitted(vocabulary: DataFrame, ends: int) -> tuple[Model, Broadcast]:
     return model, sent
 
 
-def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    number = F.coalesce(fold(F.col("doc_id")), F.lit(-1))
-    docs = docs.select("doc_id", "text", (number == HELD_FOLD).alias("held_out"), (~number.isin(HELD_FOLD, -1)).alias("learned"))
-    stored = blocks(docs, name="mixer-blocks", most_bytes=block_bytes)
-    bits = bucket_count(stored).bit_length() - 1
+ASKED = "bucket bigint, block bigint, words binary, times binary, cell bigint, no double, yes double"
+SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
+
+
+def asked(stored: DataFrame, bits: int) -> DataFrame:
+    """What blocks ask buckets about (their distinct words with their training counts), and per task what it learned about "had already" (cell: of the counts,
+    or behind them of the weights, as sums over the words that a gate had), stored."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        had = Had(np.zeros((2, HAD_CELLS)), np.full((PLACE_STEPS, HAD_INPUTS), 0.3))
+        steps, used = np.full(had.weights.shape, 1e-4), np.zeros(PLACE_STEPS)
+        names = ["bucket", "block", "words", "times", "cell", "no", "yes"]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.float64())
+
+        def rows(*columns: list) -> pa.RecordBatch:
+            n = max(len(c) for c in columns)
+            return pa.RecordBatch.from_arrays([pa.array(c or [None] * n, k) for c, k in zip(columns, kinds)], names)
+
         for batch in batches:
             for block, content in zip(batch["block"].to_pylist(), batch["content"].to_pylist()):
                 own = unpack(content)
-                texts, words, bucket = block_words(own, bits)
-                times = dict.fromkeys(words, 0)
-                for text, learned in zip(texts, own["learned"].to_pylist()):
-                    if learned:
-                        for w in text:
-                            times[w] += 1
-                times = np.fromiter(times.values(), np.uint64, len(words))
-                rows = [{"bucket": k, "block": block, "words": pack_words(words[a:z]), "times": pack_any(times[a:z])} for k, a, z in spans(bucket)]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows)
-
-    asked = stage(stored.mapInArrow(ask, "bucket bigint, block bigint, words binary, times binary"), "mixer-words")
-    vocabulary = stage(asked.groupBy("bucket").applyInArrow(pooled, "bucket bigint, words binary, times binary, tokens bigint, known bigint"), "mixer-vocabulary")
+                words, learned = block_words(own, bits), np.array(own["learned"].to_pylist(), bool)
+                times = np.bincount(words.at[np.repeat(learned, words.size)], minlength=len(words.distinct)).astype(np.uint64)
+                had.learn(repeats(words), learned, steps, used)
+                cuts = list(spans(words.bucket))
+                if cuts:
+                    yield rows([k for k, _, _ in cuts], [block] * len(cuts), [pack_words(words.distinct[a:z]) for _, a, z in cuts], [pack_any(times[a:z]) for _, a, z in cuts], [], [], [])
+        some = np.flatnonzero(had.counts.any(0)).tolist()
+        cells = some + [HAD_CELLS + k for k in range(had.weights.size)]
+        gate = np.repeat(used, HAD_INPUTS)
+        yield rows([], [], [], [], cells, [*had.counts[0][some].tolist(), *gate.tolist()], [*had.counts[1][some].tolist(), *(had.weights.ravel() * gate).tolist()])
+
+    return stage(stored.mapInArrow(ask, ASKED), "mixer-words")
+
+
+def had_model(told: DataFrame) -> Had:
+    """Counts added, weights averaged over the tasks; as many rows as cells."""
+    model = Had(np.zeros((2, HAD_CELLS)), np.full((PLACE_STEPS, HAD_INPUTS), 0.3))
+    for r in told.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).collect():
+        if r.cell < HAD_CELLS:
+            model.counts[:, r.cell] = r.no, r.yes
+        elif r.no > 0:
+            model.weights.ravel()[r.cell - HAD_CELLS] = r.yes / r.no
+    return model
+
+
+def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row."""
+    number = F.coalesce(fold(F.col("doc_id")), F.lit(-1))
+    docs = docs.select("doc_id", "text", (number == HELD_FOLD).alias("held_out"), (~number.isin(HELD_FOLD, -1)).alias("learned"))
+    stored = blocks(docs, name="mixer-blocks", most_bytes=block_bytes)
+    bits = bucket_count(stored).bit_length() - 1
+    told = asked(stored, bits)
+    own_words = told.filter("bucket IS NOT NULL").select("bucket", "block", "words", "times")
+    vocabulary = stage(own_words.groupBy("bucket").applyInArrow(pooled, "bucket bigint, words binary, times binary, tokens bigint, known bigint"), "mixer-vocabulary")
     totals = vocabulary.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("known"), F.lit(0)).alias("known")).first()
     ends = docs.filter("learned").count()
     tokens, distinct = totals.tokens + ends, totals.known + (ends > 0)
     model, sent = fitted(vocabulary, ends)
+    had = had_model(told)
     weights, refined = model.weights, model.refined
     end = float(model.log10([END])[0])
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         words, times = unpack_words(right["words"][0].as_py()), unpack_any(right["times"][0].as_py())
         model = Model(sent.value, weights, refined)
-        parts = [model.log10(words[k : k + 4_096]) for k in range(0, len(words), 4_096)]
+        value = [model.log10(w, seen, went) for w, _, seen, went in parts(words, times.astype(np.float64), 4_096)]
         place = {w: k for k, w in enumerate(words)}
-        value = np.concatenate(parts) if parts else np.empty(0)
+        value = np.concatenate(value) if value else np.empty(0)
         out = []
         for block, own in zip(left["block"].to_pylist(), left["words"].to_pylist()):
             at = np.array([place[w] for w in unpack_words(own)], np.int64)
@@ -295,23 +499,21 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         own = unpack(left["content"][0].as_py())
-        texts, words, _ = block_words(own, bits)
+        words = block_words(own, bits)
         heard = sorted(zip(right["bucket"].to_pylist(), right["times"].to_pylist(), right["value"].to_pylist()))
         times = np.concatenate([unpack_any(x[1]) for x in heard]) if heard else np.empty(0, np.uint64)
         value = np.concatenate([np.frombuffer(x[2], "<f4") for x in heard]).astype(np.float64) if heard else np.empty(0)
         base = np.log10((times.astype(np.float64) + 0.5) / (tokens + 0.5 * (distinct + 1)))
-        place = {w: k for k, w in enumerate(words)}
         last = np.log10((ends + 0.5) / (tokens + 0.5 * (distinct + 1)))
-        rows = np.zeros((len(texts), 4))
-        for k, text in enumerate(texts):
-            at = np.fromiter(map(place.__getitem__, text), np.int64, len(text))
-            rows[k] = len(text) + 1, (times[at] > 0).sum() + (ends > 0), base[at].sum() + last, value[at].sum() + end
+        size, r = words.size, repeats(words)
+        known = np.bincount(r.text, times[words.at] > 0, len(size)) + (ends > 0)
+        total = had.log10(r, value[words.at], end, size)
+        n_bytes = np.array([len(x) for x in payloads(own["text"])])
         whole = lambda x: pa.array(x.astype(np.int64))
-        columns = [own["doc_id"], own["held_out"], whole(rows[:, 0]), whole(rows[:, 1]), whole(np.full(len(texts), tokens)), pa.array(rows[:, 2].copy()), pa.array(rows[:, 3].copy())]
-        return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        columns = [own["doc_id"], own["held_out"], whole(size + 1), whole(known), whole(np.full(len(size), tokens)),
+                   pa.array(np.bincount(r.text, base[words.at], len(size)) + last), pa.array(total), pa.array(-total / np.log10(2) / np.maximum(n_bytes, 1))]
+        return pa.table(columns, [x.split()[0] for x in SCORED.split(", ")])
 
-    answers = asked.select("bucket", "block", "words").groupBy("bucket").cogroup(vocabulary.select("bucket", "words", "times").groupBy("bucket"))
+    answers = own_words.select("bucket", "block", "words").groupBy("bucket").cogroup(vocabulary.select("bucket", "words", "times").groupBy("bucket"))
     answers = answers.applyInArrow(answer, "block bigint, bucket bigint, times binary, value binary")
-    return stored.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        finish, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    )
+    return stored.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORED)
