@@ -6,7 +6,7 @@ terms is the weight of meeting both in one text, which a linear model cannot exp
 Terms are lower-case (A-Z) runs of letters, digits and non-ASCII bytes, and the first four and five bytes of
 each (inflected and compounded words share them), each counted once per text and known by a hash of 64 bits, so that only
 terms met in training score, however many others a text has. Terms
-whose likelihood ratio with the label is small, in all texts and in those of each strong term, carry no weight. The model is fitted on at most ``SAMPLE`` labelled
+whose likelihood ratio with the label is small, in all texts and in those of each of the ``STRONGEST`` terms, carry no weight. The model is fitted on at most ``SAMPLE`` labelled
 rows, those with the smallest hash of their id; scoring reads every text whole. Null and empty texts get the score of no terms. Repeated
 label rows of a document count once (toxic if any says so); null labels are not learned from."""
 
@@ -23,6 +23,7 @@ from pyspark.sql.types import DoubleType
 
 from mercato.llm.tables import widened
 from mercato.llm.text import WordHashes, payloads, rows
+from mercato.sources.tables import stage, unstage
 
 PREFIXES = (4, 5)
 RANK = 4
@@ -30,8 +31,10 @@ RANK = 4
 SAMPLE = 12_000
 #: A term carries weight if its likelihood ratio statistic with the label is at least this.
 LEAST_RATIO = 12.0
-#: The same among the texts of a term that carries weight by itself; there are far more pairs than terms.
+#: The same among the texts of one of the strongest terms; there are far more pairs than terms.
 LEAST_PAIR_RATIO = 25.0
+#: Terms by whose side partners are looked for: so many of the strongest.
+STRONGEST = 256
 EPOCHS = 12
 FOLDS, HELD_FOLD = 5, 0
 
@@ -99,14 +102,20 @@ def ratios(samples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarra
     return terms, likelihood_ratio(hit, used, sum(y for _, y in samples), len(samples))
 
 
+def strongest(terms: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """Sorted: so many of the terms with the greatest ratio (to six decimals; of equals those that come first)."""
+    return np.sort(terms[np.lexsort((terms, -np.round(ratio, 6)))[:STRONGEST]])
+
+
 def screened(samples: list[tuple[np.ndarray, int]]) -> np.ndarray:
     """Sorted terms that carry weight: those that say something of the label by themselves, and those that do among the texts of
-    one of these (a mention that is as frequent in clean as in toxic texts, but makes an insult an attack, or harmless)."""
+    one of the strongest of these (a mention that is as frequent in clean as in toxic texts, but makes an insult an attack, or harmless)."""
     terms, ratio = ratios(samples)
     alone = terms[ratio >= LEAST_RATIO]
+    top = strongest(alone, ratio[ratio >= LEAST_RATIO])
     texts: dict[int, list[int]] = {}
     for k, (ids, _) in enumerate(samples):
-        for t in alone[found(alone, ids)].tolist():
+        for t in top[found(top, ids)].tolist():
             texts.setdefault(t, []).append(k)
     kept = [alone]
     for own in texts.values():
@@ -116,15 +125,14 @@ def screened(samples: list[tuple[np.ndarray, int]]) -> np.ndarray:
     return np.unique(np.concatenate(kept))
 
 
-def learn(samples: list[tuple[np.ndarray, int]], rank: int = RANK, epochs: int = EPOCHS, seed: int = 7) -> Machine:
-    """Logistic loss, AdaGrad, one text at a time in a fixed shuffled order; weights shrink towards 0."""
-    toxic = sum(y for _, y in samples)
-    kept = screened(samples)
+def trained(kept: np.ndarray, data: list[tuple[np.ndarray, int]], rank: int = RANK, epochs: int = EPOCHS, seed: int = 7) -> Machine:
+    """Logistic loss, AdaGrad, one text (places of its terms among those that carry weight, label) at a time in a fixed shuffled order; weights
+    shrink towards 0."""
+    toxic = sum(y for _, y in data)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(kept)), rng.normal(0, 0.02, (len(kept), rank))
     gw, gv = np.full(len(w), 1e-2), np.full(v.shape, 1e-2)
-    bias = float(np.log((toxic + 0.5) / (len(samples) - toxic + 0.5))) if samples else -30.0
-    data = [(found(kept, ids), y) for ids, y in samples]
+    bias = float(np.log((toxic + 0.5) / (len(data) - toxic + 0.5))) if data else -30.0
     for epoch in range(epochs):
         rate = 0.15 / (1 + epoch) ** 0.5
         for k in rng.permutation(len(data)):
@@ -143,8 +151,15 @@ def learn(samples: list[tuple[np.ndarray, int]], rank: int = RANK, epochs: int =
     return Machine(bias, kept, w.astype(np.float32), v.astype(np.float32))
 
 
+def learn(samples: list[tuple[np.ndarray, int]], rank: int = RANK, epochs: int = EPOCHS, seed: int = 7) -> Machine:
+    """The machine of texts held in memory, each as its terms and label."""
+    kept = screened(samples)
+    return trained(kept, [(found(kept, ids), y) for ids, y in samples], rank, epochs, seed)
+
+
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """(ids binary, toxic) of the sampled labelled rows outside the held-out fold."""
+    """(doc_id, ids array<bigint>, toxic) of the sampled labelled rows outside the held-out fold, one per id: of rows that repeat an id the one
+    whose terms come first."""
     known = labels.filter(F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != HELD_FOLD))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # at most `size` pairs of numbers, so broadcasting them is safe
@@ -153,16 +168,67 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHashes()
         for b in rows(batches):
-            ids = [slots(x, seen).tobytes() for x in payloads(b["text"])]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(ids, pa.binary()), b["toxic"]], ["doc_id", "ids", "toxic"])
+            ids = pa.array([slots(x, seen).view(np.int64) for x in payloads(b["text"])], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], ids, b["toxic"]], ["doc_id", "ids", "toxic"])
 
     known = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))
-    return known.mapInArrow(hashed, "doc_id bigint, ids binary, toxic int").dropDuplicates(["doc_id"])
+    known = known.mapInArrow(hashed, "doc_id bigint, ids array<bigint>, toxic int")
+    return known.groupBy("doc_id", "toxic").agg(F.min("ids").alias("ids"))
+
+
+def ratio_column(hit: str, used: str, toxic: str, n: str) -> Column:
+    """``likelihood_ratio`` of one term as a column: hit of the toxic of used texts have it, of toxic of n."""
+    cells = [(f"{hit}", f"{used}", f"{toxic}"), (f"{used} - {hit}", f"{used}", f"{n} - {toxic}"),
+             (f"{toxic} - {hit}", f"{n} - {used}", f"{toxic}"), (f"{n} - {used} - ({toxic} - {hit})", f"{n} - {used}", f"{n} - {toxic}")]
+    parts = [f"CASE WHEN ({seen}) > 0 THEN 2 * ({seen}) * ln(({seen}) / (CAST({rows} AS DOUBLE) * ({cols}) / ({n}))) ELSE 0 END" for seen, rows, cols in cells]
+    return F.expr(" + ".join(parts))
+
+
+def screened_terms(sampled: DataFrame) -> np.ndarray:
+    """The terms that carry weight, sorted, as ``screened`` has them, counted in Spark: those strong by themselves, and those strong among the
+    texts of one of the strongest. A term of one text reaches no ``LEAST_PAIR_RATIO`` in a sample of ``SAMPLE`` texts, so partners are looked for among
+    terms of two texts or more that are not strong already; only counts of these come to the driver."""
+    total = sampled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("all_toxic"))
+    each = sampled.select("toxic", F.explode("ids").alias("term"))
+    counts = each.groupBy("term").agg(F.count(F.lit(1)).alias("used"), F.sum("toxic").alias("hit")).crossJoin(F.broadcast(total))
+    ratio = ratio_column("hit", "used", "all_toxic", "n")
+    got = counts.select("term", ratio.alias("ratio")).filter((F.col("ratio") >= LEAST_RATIO) | (F.col("used") > 1)).toArrow()  # of a bounded sample
+    terms, ratios_ = got["term"].to_numpy().astype(np.int64).view(np.uint64), got["ratio"].to_numpy().astype(np.float64)
+    is_strong = ratios_ >= LEAST_RATIO
+    alone, others = np.sort(terms[is_strong]), np.sort(terms[~is_strong])
+    top = strongest(terms[is_strong], ratios_[is_strong])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [x.values.to_numpy().view(np.uint64) if len(x.values) else np.empty(0, np.uint64) for x in b["ids"]]
+            sides = [pa.array([known[found(known, x)].view(np.int64) for x in ids], pa.list_(pa.int64())) for known in (top, others)]
+            yield pa.RecordBatch.from_arrays([b["toxic"], *sides], ["toxic", "strong", "others"])
+
+    # partners are counted beside the texts they stand in: what is shuffled is one row per task and pair
+    among = sampled.select("toxic", "ids").mapInArrow(split, "toxic int, strong array<bigint>, others array<bigint>")
+    among = among.select("toxic", "others", F.explode("strong").alias("strong"))
+    own = among.groupBy("strong").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("all_toxic")).filter("0 < all_toxic and all_toxic < n")
+    among = among.join(F.broadcast(own), "strong").select("strong", "n", "all_toxic", "toxic", F.explode("others").alias("term"))  # a row per strong term
+    pairs = among.groupBy("strong", "n", "all_toxic", "term").agg(F.count(F.lit(1)).alias("used"), F.sum("toxic").alias("hit"))
+    paired = pairs.filter(ratio_column("hit", "used", "all_toxic", "n") >= LEAST_PAIR_RATIO).select("term").distinct().toArrow()["term"]
+    return np.union1d(alone, paired.to_numpy().astype(np.int64).view(np.uint64))
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Machine:
-    got = sorted(sample(docs, labels, size).collect())
-    return learn([(np.frombuffer(r.ids, np.uint64), r.toxic) for r in got])
+    """Terms are counted and screened in Spark; the driver gets the terms that carry weight and, of at most ``size`` texts, the places of
+    their terms among these."""
+    sampled = stage(sample(docs, labels, size), "labelled-terms")
+    kept = screened_terms(sampled)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = [found(kept, x.values.to_numpy().view(np.uint64)).astype("<i4").tobytes() if len(x.values) else b"" for x in b["ids"]]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(at, pa.binary()), b["toxic"]], ["doc_id", "at", "toxic"])
+
+    got = sampled.select("doc_id", "ids", "toxic").mapInArrow(placed, "doc_id bigint, at binary, toxic int").collect()
+    machine = trained(kept, [(np.frombuffer(r.at, "<i4"), r.toxic) for r in sorted(got)])
+    unstage(sampled)
+    return machine
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:

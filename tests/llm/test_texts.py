@@ -187,10 +187,64 @@ def test_mixer_base_and_blocks(spark, odd):
 def test_mixer_predicts_what_it_saw():
     words = [b"the", b"then", b"zebra"]
     b = mixer.bits_of(words * 50)
-    m = mixer.Model(np.zeros((2, mixer.TABLE), np.float32), np.full((mixer.GATES, len(mixer.ORDERS) + 1), 0.3), np.full((mixer.GATES, mixer.BINS), 0.5))
+    m = mixer.Model(np.zeros((2, mixer.TABLE), np.float32), np.full((mixer.GATES, mixer.INPUTS), 0.3), np.full((mixer.GATES, mixer.BINS), 0.5))
     for slots in b.slots:
         np.add.at(m.counts[0], slots[b.bit == 0], 1)
         np.add.at(m.counts[1], slots[b.bit == 1], 1)
     m.refined = np.tile(1 / (1 + np.exp(-(np.arange(mixer.BINS) * 24 / (mixer.BINS - 1) - 12))), (mixer.GATES, 1))
     seen, unseen = m.log10([b"zebra", b"quark"])
     assert seen > -2 > unseen
+
+
+def test_toxicity_screens_in_spark_as_in_memory(spark):
+    """Strong terms and their partners, from counts of Spark, equal those of a plain pass; a repeated id counts once, whichever row comes first."""
+    rng = np.random.default_rng(8)
+
+    def text(kind):
+        words = ["insult"] * (kind in (1, 2)) + ["slur"] * (kind in (3, 4)) + ["group"] * (kind % 2)
+        return " ".join([*rng.choice([f"w{k}" for k in range(60)], 12), *words])
+
+    rows = [(k, text(k % 8), int(k % 8 in (1, 4))) for k in range(900)]
+    docs = spark.createDataFrame([(k, x) for k, x, _ in rows] + [(5, "w1 w2"), (7, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    sampled = toxicity.sample(docs, labels).collect()
+    assert sorted(sampled) == sorted(toxicity.sample(docs.repartition(7), labels).collect()) and len({r.doc_id for r in sampled}) == len(sampled)
+    data = [(np.array(r.ids, np.int64).view(np.uint64), r.toxic) for r in sorted(sampled)]
+    got = toxicity.screened_terms(toxicity.sample(docs, labels))
+    assert got.tolist() == toxicity.screened(data).tolist() and len(got) > 3
+    machine, plain = toxicity.fit(docs, labels), toxicity.learn(data)
+    assert np.array_equal(machine.weights, plain.weights) and np.array_equal(machine.vectors, plain.vectors)
+
+
+def test_toxicity_score_is_a_plain_factorization_machine(spark):
+    """Every weight and every pair of terms added up one by one."""
+    rng = np.random.default_rng(9)
+    words = [f"word{k}" for k in range(30)]
+    terms = np.unique(np.concatenate([toxicity.slots(w.encode()) for w in words]))
+    m = toxicity.Machine(-1.0, terms, rng.normal(0, 1, len(terms)).astype(np.float32), rng.normal(0, 1, (len(terms), 4)).astype(np.float32))
+    texts = [None, "", "nothing known", *(" ".join(rng.choice(words, k)) for k in (1, 2, 5, 12))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.toxicity for r in toxicity.score(docs, m).collect()}
+    place = {t: k for k, t in enumerate(terms.tolist())}
+    for k, text in enumerate(texts):
+        at = [place[t] for t in toxicity.slots((text or "").encode()).tolist() if t in place]
+        z = -1.0 + sum(float(m.weights[i]) for i in at)
+        z += sum(float(np.dot(m.vectors[i].astype(float), m.vectors[j])) for i in at for j in at if i < j)
+        assert got[k] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), rel=1e-4)
+
+
+def test_long_unbroken_words(spark):
+    """Pieces of thousands of letters, in which many pairs have one rank, overlap, or are rare."""
+    import public_tokenizers
+
+    t = tokenizer()
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    rng = np.random.default_rng(5)
+    texts = ["x" * n for n in (63, 64, 65, 66, 200, 1001)] + ["=" * 777, " " * 500, "ab" * 300, "aab" * 300, "é" * 400, "汉字" * 300]
+    texts += ["".join(rng.choice(list("etaoinsh"), n)) for n in (70, 300, 2500)] + ["".join(map(chr, rng.integers(0x4E00, 0x4F00, 600)))]
+    texts += ["".join(rng.choice(["the", "ing", "ation", "q"], 400))]
+    got = {r.doc_id: r for r in bpe.encoded(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), t).collect()}
+    for k, text in enumerate(texts):
+        ids = plain.encode_ordinary(text)
+        assert got[k].ids == struct.pack(f"<{len(ids)}I", *ids), text[:20]
+        assert got[k].decoded == text.encode()
