@@ -16,7 +16,7 @@ from mercato.llm import anchors, bpe, jaccard, mixing, toxicity  # noqa: E402
 from mercato.llm.queries import tokenizer  # noqa: E402
 from mercato.llm.tables import lookup  # noqa: E402
 from mercato.sources.readers import table  # noqa: E402
-from mercato.sources.tables import stage  # noqa: E402
+from mercato.sources.tables import stage, unstage  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Rows of whole texts that go to a Python worker at once; Spark's default of 10,000 is meant for short rows.
@@ -31,7 +31,8 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half, learned from the labels of documents that are here."""
+    """Documents that score below one half, learned from the labels of documents that are here; also a document that was learned from is
+    judged by its score."""
     small_batches(spark)
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, machine).filter("toxicity < 0.5").select(*COLUMNS)
@@ -80,7 +81,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (name, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
+        before, docs = docs, step(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stage(docs, name.replace(" ", "-"))
+            unstage(before)
     return docs
