@@ -134,6 +134,18 @@ def wide_listing(spark, sf_dir):
     return jobs.wide_listing(v.phones(spark, sf_dir), v.brands(spark, sf_dir), v.models(spark, sf_dir))
 
 
+@query(
+    "wide_rows",
+    v.with_(v.TEXTS_SQL, v.BRANDS_SQL, v.MODELS_SQL, v.BRAND_HITS_SQL.replace("<= 3", "<= 2"), v.MODEL_HITS_SQL)
+    + f"""SELECT l.id, 'Product' AS category, l.title, l.description, l.url, l.currency, l.price, l.date, {v.storage_sql('t.text')} AS storage_gb,
+            b.brand, b.model
+          FROM listing l JOIN texts t ON t.id = l.id LEFT JOIN brand_model b ON b.id = l.id""",
+)
+def wide_rows(spark, sf_dir):
+    rows = jobs.wide_rows(v.phones(spark, sf_dir), v.brands(spark, sf_dir), v.models(spark, sf_dir))
+    return rows.select("id", "category", "info.*", "cost.*", "date", "storage_gb", "brand", "model")
+
+
 @query(
     "outer_attach",
     v.with_(v.TEXTS_SQL, v.BRANDS_SQL, v.BRAND_HITS_SQL)

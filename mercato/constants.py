@@ -24,6 +24,7 @@ POSTAL_CODE = r"(?i)\b(([A-Z][0-9][A-Z])\s?([0-9][A-Z][0-9])?)\b"
 
 # Limits and defaults of the cleaning rules.
 MAX_BRANDS_PER_AD = 3
+WIDE_MAX_BRANDS = 2  # of the wide row
 MODEL_HITS_TO_REJECT = 10
 DEFAULT_CURRENCY = "CAD"
 CURRENCY_LENGTH = 3

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.text import squeeze
-from mercato.operators.dedup import keep_first
+from mercato.operators.dedup import keep_first_wide
 from mercato.sources.framing import SOURCE
 
 
@@ -48,7 +48,7 @@ def _latest_per_id(raw: DataFrame, conformed: DataFrame, columns: list[str]) ->
             F.col(SOURCE).desc_nulls_last(),
         ]
     order.append(F.col("_content"))
-    return keep_first(conformed.filter("id IS NOT NULL"), ["id"], order).select(*columns)
+    return keep_first_wide(conformed.filter("id IS NOT NULL"), ["id"], order).select(*columns)
 
 
 def conform_phone(raw: DataFrame, processed_at: datetime | Column) -> DataFrame:
@@ -95,8 +95,8 @@ def split_listings(listings: DataFrame, unique: bool = False) -> tuple[DataFrame
     ).dropna(subset=["id", "category", "posted_at", "processed_at"])
     if not unique:
         content = F.xxhash64(*[c for c in typed.columns if c != "id"])
-        order = [F.col("processed_at").desc(), F.col("posted_at").desc(), content]
-        typed = keep_first(typed, ["id"], order)
+        order = [F.col("processed_at").desc(), F.col("posted_at").desc(), F.col("_content")]
+        typed = keep_first_wide(typed.withColumn("_content", content), ["id"], order).drop("_content")
     return (
         typed.drop("category", "posted_at", "date", "processed_at"),
         typed.select("id", "category", "posted_at", "processed_at"),

@@ -4,8 +4,9 @@ Two plans with the same rows, chosen by the size of the dictionary:
 
 * few patterns: each becomes a literal expression of the row, compiled once, no shuffle;
 * many patterns: patterns made of plain words (``\\bs20\\s*plus\\b``) are looked up by an equi join of
-  the word runs of a text with the words of the pattern, each hit then checked by the pattern itself.
-  All others, of any characters and any number, are literals of one pass over the texts.
+  the word runs of a text with the words of the pattern, each hit then checked by the pattern itself. Other regexes are
+  looked up by a trigram that each of their matches must have (see factors), and tried on the texts that have it. Only regexes without such
+  a string are literals of one pass over all texts.
 
 A text is rejected by the number of dictionary entries found in it, so several patterns of a brand, or one twice, count each.
 
@@ -19,9 +20,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from mercato.constants import MAX_BRANDS_PER_AD, MODEL_HITS_TO_REJECT
 from mercato.functions.text import listing_text, row_hash
+from mercato.operators.factors import chosen_grams, text_grams
 
 BLOCK = 64  # up to so many patterns are matched in the row, without a lookup
 
@@ -142,6 +145,27 @@ def _indexed_pass(
     return found.select("id", *carry, *on, *fields, "tok", F.lit(0).alias("off"))
 
 
+def factor_candidates(texts: DataFrame, lookup: DataFrame, on: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Texts with the entries of a lookup whose trigram they have: all that can match, once per trigram."""
+    grams = texts.select("id", *carry, *on, "text", F.explode(text_grams(F.col("text"))).alias("gram"))
+    return grams.join(lookup, [*on, "gram"])
+
+
+def _factor_pass(
+    texts: DataFrame, lookup: DataFrame, fields: Sequence[str], on: Sequence[str], carry: Sequence[str]
+) -> DataFrame:
+    """Regexes tried where one of their trigrams is. An entry comes once per trigram of its that a text has."""
+    tried = factor_candidates(texts, lookup, on, carry)
+    # unnested from an array, so that the regex runs once
+    hits = tried.withColumn("pos", F.explode(F.array(F.regexp_instr("text", F.col("pattern"))))).filter("pos > 0")
+    before = F.substring("text", F.lit(1), F.col("pos") - 1)
+    return hits.select(
+        "id", *carry, *on, *fields,
+        (F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit("")))).alias("tok"),
+        F.length(F.substring_index(before, " ", -1)).alias("off"),
+    )
+
+
 def dictionary_hits(
     texts: DataFrame,
     dictionary: DataFrame,
@@ -153,7 +177,7 @@ def dictionary_hits(
     """(id, *carry, *on, *fields, tok, off) for every dictionary entry found in a text ``(id, *on, text)``;
     an entry counts only for texts that agree on the ``on`` columns. (tok, off) orders the hits of a
     text by the position of the match: words before it, letters into its word. An entry found as
-    several word runs comes once per run. ``keep_all`` keeps texts without hits as a row of NULL
+    several word runs or by several trigrams comes once per run. ``keep_all`` keeps texts without hits as a row of NULL
     fields (texts with hits may have such a row too). ``carry`` names columns of the texts to pass on."""
     dictionary = dictionary.select(*on, *fields, "pattern")
     indexed = dictionary.withColumn("words", pattern_words(F.col("pattern")))
@@ -174,7 +198,14 @@ def dictionary_hits(
         return found
     # a dictionary is written by people and read by the driver; documents never are
     regexes = indexed.filter("words IS NULL").drop("words").collect()
-    return found.unionByName(_literal_pass(texts, regexes, fields, on, False, carry))
+    grams = chosen_grams([r["pattern"] for r in regexes])
+    known = [(*(r[c] for c in dictionary.columns), g) for r, own in zip(regexes, grams) for g in own or ()]
+    if known:
+        schema = StructType([*dictionary.schema.fields, StructField("gram", StringType())])
+        lookup = texts.sparkSession.createDataFrame(known, schema)
+        found = found.unionByName(_factor_pass(texts, lookup, fields, on, carry))
+    rest = [r for r, own in zip(regexes, grams) if own is None]
+    return found.unionByName(_literal_pass(texts, rest, fields, on, False, carry)) if rest else found
 
 
 def _entries(dictionary: DataFrame, fields: Sequence[str]) -> DataFrame:

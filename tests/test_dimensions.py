@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -138,3 +139,24 @@ def test_dedup_limits_rows_before_the_exchange(spark):
     plan = conform.conform_phone(raw(spark, {}), RUN)._jdf.queryExecution().executedPlan().toString()
     partial, exchange = plan.rindex("WindowGroupLimit"), plan.index("Exchange hashpartitioning")
     assert exchange < partial  # printed top down: the partial limit runs below the exchange
+
+
+def _sorted_columns(df):
+    """Names of the columns that sorts and windows of a plan carry."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    inputs = re.findall(r"\(\d+\) (?:Sort|Window|WindowGroupLimit)[^\n]*\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    assert inputs and "SortMergeJoin" not in plan
+    return {name.split("#")[0] for x in inputs for name in x.split(", ")}
+
+
+def test_no_text_is_sorted_to_drop_duplicates(spark):
+    raw = spark.createDataFrame([("1", "t", "d", "2026-01-01"), ("1", "u", "e", "2026-01-02"), ("x", "", "", "")], "ID string, Title string, Description string, `Date` string")
+    for c in schemas.columns(schemas.RAW_PHONE):
+        if c not in raw.columns:
+            raw = raw.withColumn(c, F.lit(None).cast("double" if c in ("Price", "Latitude", "Longitude") else "string"))
+    listings = conform.conform_phone(raw, datetime(2026, 1, 3))
+    assert [r.info.title for r in listings.collect()] == ["u"]
+    columns, listing = conform.split_listings(listings.unionByName(listings))
+    assert columns.count() == listing.count() == 1
+    for df in (listings, columns, listing):
+        assert not {"info", "title", "description", "Title", "Description"} & _sorted_columns(df)
