@@ -151,13 +151,31 @@ def factor_candidates(texts: DataFrame, lookup: DataFrame, on: Sequence[str], ca
     return grams.join(lookup, [*on, "gram"])
 
 
-def _factor_pass(
-    texts: DataFrame, lookup: DataFrame, fields: Sequence[str], on: Sequence[str], carry: Sequence[str]
+def _regex_pass(
+    texts: DataFrame, regexes: list[Row], dictionary: DataFrame, fields: Sequence[str], on: Sequence[str], carry: Sequence[str]
 ) -> DataFrame:
-    """Regexes tried where one of their trigrams is. An entry comes once per trigram of its that a text has."""
-    tried = factor_candidates(texts, lookup, on, carry)
+    """Regexes in one pass over the texts: those with a trigram tried where it is, by a join, the others on every text, in the row. An entry comes
+    once per trigram of its that a text has."""
+    grams = chosen_grams([r["pattern"] for r in regexes])
+    rest = [r for r, own in zip(regexes, grams) if own is None]
+    known = [(*(r[c] for c in dictionary.columns), g) for r, own in zip(regexes, grams) for g in own or ()]
+    if not known:
+        return _literal_pass(texts, rest, fields, on, False, carry)
+    lookup = texts.sparkSession.createDataFrame(known, StructType([*dictionary.schema.fields, StructField("gram", StringType())]))
+    if rest:
+        hits = literal_hits(F.col("text"), rest, fields, on)
+        own = F.transform(hits, lambda h: F.struct(F.lit(None).cast("string").alias("gram"), h.alias("hit")))
+        tries = F.transform(text_grams(F.col("text")), lambda g: F.struct(g.alias("gram"), F.get(F.slice(hits, 1, 0), F.lit(0)).alias("hit")))
+        rows = texts.select("id", *carry, *on, "text", F.inline(F.concat(own, tries)))
+        lookup = lookup.select(*on, "gram", "pattern", F.struct(*fields).alias("_entry"))
+        tried = rows.join(lookup, [*on, "gram"], "left").filter("hit IS NOT NULL OR pattern IS NOT NULL")
+        found = [F.coalesce(F.col(f"hit.{f}"), F.col(f"_entry.{f}")).alias(f) for f in fields]
+        tried = tried.select("id", *carry, *on, "text", "pattern", *found, F.col("hit.pos").alias("_pos"))
+        pos = F.when(F.col("_pos").isNotNull(), F.col("_pos")).otherwise(F.regexp_instr("text", F.col("pattern")))
+    else:
+        tried, pos = factor_candidates(texts, lookup, on, carry), F.regexp_instr("text", F.col("pattern"))
     # unnested from an array, so that the regex runs once
-    hits = tried.withColumn("pos", F.explode(F.array(F.regexp_instr("text", F.col("pattern"))))).filter("pos > 0")
+    hits = tried.withColumn("pos", F.explode(F.array(pos))).filter("pos > 0")
     before = F.substring("text", F.lit(1), F.col("pos") - 1)
     return hits.select(
         "id", *carry, *on, *fields,
@@ -198,14 +216,7 @@ def dictionary_hits(
         return found
     # a dictionary is written by people and read by the driver; documents never are
     regexes = indexed.filter("words IS NULL").drop("words").collect()
-    grams = chosen_grams([r["pattern"] for r in regexes])
-    known = [(*(r[c] for c in dictionary.columns), g) for r, own in zip(regexes, grams) for g in own or ()]
-    if known:
-        schema = StructType([*dictionary.schema.fields, StructField("gram", StringType())])
-        lookup = texts.sparkSession.createDataFrame(known, schema)
-        found = found.unionByName(_factor_pass(texts, lookup, fields, on, carry))
-    rest = [r for r, own in zip(regexes, grams) if own is None]
-    return found.unionByName(_literal_pass(texts, rest, fields, on, False, carry)) if rest else found
+    return found.unionByName(_regex_pass(texts, regexes, dictionary, fields, on, carry))
 
 
 def _entries(dictionary: DataFrame, fields: Sequence[str]) -> DataFrame:
