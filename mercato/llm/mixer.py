@@ -125,10 +125,11 @@ def bits_of(words: list[bytes], seen: np.ndarray | None = None, went: np.ndarray
         contexts.append(so_far.copy())
     partial = np.stack([(np.uint64(1) << np.uint64(b)) | (data >> np.uint64(8 - b)) for b in range(8)], 1)
     bit = np.stack([(data >> np.uint64(7 - b)) & np.uint64(1) for b in range(8)], 1).astype(np.int8)
-    slots = np.empty((len(ORDERS), 8 * len(data)), np.int64)
+    slots, spread = np.empty((len(ORDERS), 8 * len(data)), np.int64), partial * np.uint64(0xD6E8FEB86659FD93)
     for j, (order, size) in enumerate(ORDERS):
-        key = mixed(contexts[j] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(order))[:, None] + partial * np.uint64(0xD6E8FEB86659FD93)
-        slots[j] = (PLACES[j] + (mixed(key) >> np.uint64(64 - size)).astype(np.int64)).ravel()
+        key = mixed(contexts[j] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(order))[:, None] + spread
+        slots[j] = (((key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - size)).ravel()
+        slots[j] += PLACES[j]
     none = np.zeros(8 * len(data), np.float32)
     return Bits(slots, bit.ravel(), np.repeat(word, 8), none if seen is None else seen, none if went is None else went)
 
@@ -157,8 +158,8 @@ class Model:
     def mix(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
         return np.clip(np.einsum("kn,nk->n", odds, self.weights[gate]), -12, 12)
 
-    def learn(self, b: Bits, times: np.ndarray, steps: np.ndarray) -> None:
-        """One step for some words; ``steps``: squares of the gradients so far (AdaGrad)."""
+    def learn(self, b: Bits, times: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One step for some words; ``steps``: squares of the gradients so far (AdaGrad). Returns its inputs."""
         odds, gate = self.inputs(b, True)
         error = (b.bit - 1 / (1 + np.exp(-self.mix(odds, gate)))) * times[b.word]
         total = np.maximum(np.bincount(gate, times[b.word], GATES), 1e-9)
@@ -166,6 +167,7 @@ class Model:
             slope = np.bincount(gate, error * odds[k], GATES) / total
             steps[:, k] += slope * slope
             self.weights[:, k] += RATE * slope / np.sqrt(steps[:, k])
+        return odds, gate
 
     def log10(self, words: list[bytes], seen: np.ndarray | None = None, went: np.ndarray | None = None) -> np.ndarray:
         b = bits_of(words, seen, went)
@@ -223,10 +225,12 @@ def repeats(words: Words) -> Repeats:
     first = np.cumsum(size) - size
     text = np.repeat(np.arange(len(size)), size)
     place = np.arange(n) - first[text]
-    key = text * max(1, len(words.distinct)) + words.at
-    order = np.argsort(key, kind="stable")
+    # text and word, and behind them the place: sorting numbers is faster than sorting places by them
+    low = max(1, n.bit_length())
+    key = np.sort(((text * max(1, len(words.distinct)) + words.at) << low) | np.arange(n))
+    order, key = key & ((1 << low) - 1), key >> low
     opens = np.ones(n, bool)
-    opens[1:] = key[order][1:] != key[order][:-1]
+    opens[1:] = key[1:] != key[:-1]
     run = np.flatnonzero(opens)
     times = np.empty(n, np.int64)
     times[order] = np.arange(n) - run[np.cumsum(opens) - 1] if n else 0
@@ -278,17 +282,18 @@ class Had:
                 for x in (0, 1):
                     self.counts[x] += np.bincount(cells[real & (had == x)], minlength=HAD_CELLS)
 
-    def log10(self, r: Repeats, new: np.ndarray, end: float, size: np.ndarray) -> np.ndarray:
-        """Of each text; ``new``: log10 of each word as a new one, ``end``: of the end. ``size``: words of each text."""
+    def log10(self, r: Repeats, words: Words, value: np.ndarray, end: float) -> np.ndarray:
+        """Of each text; ``value``: log10 of each distinct word as a new one, ``end``: of the end."""
+        size, new = words.size, value[words.at]
         yes = np.where(r.place > 0, self.yes(*self.inputs(r)), 0.0)
         had = r.had
         # what new words of the text have taken so far is no longer theirs to take
-        taken = np.concatenate([[0.0], np.cumsum(np.where(had, 0.0, 10.0**new))])
+        taken = np.concatenate([[0.0], np.cumsum(np.where(had, 0.0, (10.0**value)[words.at]))])
         first = np.cumsum(size) - size
         left = np.maximum(1 - (taken[:-1] - taken[first[r.text]]), 0.02) if len(new) else new
-        drawn = np.log10(np.where(had, yes * r.times / np.maximum(r.place, 1), 1.0))
-        spelled = np.where(had, 0.0, np.log10(1 - yes) + np.where(had, 0.0, new) - np.log10(left))
-        total = np.bincount(r.text, drawn + spelled, len(size))
+        # a word that was there: yes, and drawn from the words so far; a new one: no, and spelled from what is left
+        cost = np.log10(np.where(had, yes * r.times / np.maximum(r.place, 1), (1 - yes) / left)) + np.where(had, 0.0, new)
+        total = np.bincount(r.text, cost, len(size))
         # the end is a new word too; its place is behind the last one
         after = Repeats(np.arange(len(size)), size, np.zeros(len(size), np.int64), np.bincount(r.text, had, len(size)), self._end_cells(r, size))
         yes = np.where(size > 0, self.yes(*self.inputs(after)), 0.0)
@@ -401,8 +406,7 @@ def fitted(vocabulary: DataFrame, ends: int) -> tuple[Model, Broadcast]:
         used, steps = np.zeros(GATES), np.full(shape, 1e-4)
         for words, times, began, went in _training(batches):
             b = bits_of(words, began, went)
-            own.learn(b, times, steps)
-            odds, gate = own.inputs(b, True)
+            odds, gate = own.learn(b, times, steps)
             at, w = gate * BINS + bin_of(own.mix(odds, gate)), times[b.word]
             seen[0] += np.bincount(at, w, GATES * BINS)
             seen[1] += np.bincount(at, w * b.bit, GATES * BINS)
@@ -507,7 +511,7 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         last = np.log10((ends + 0.5) / (tokens + 0.5 * (distinct + 1)))
         size, r = words.size, repeats(words)
         known = np.bincount(r.text, times[words.at] > 0, len(size)) + (ends > 0)
-        total = had.log10(r, value[words.at], end, size)
+        total = had.log10(r, words, value, end)
         n_bytes = np.array([len(x) for x in payloads(own["text"])])
         whole = lambda x: pa.array(x.astype(np.int64))
         columns = [own["doc_id"], own["held_out"], whole(size + 1), whole(known), whole(np.full(len(size), tokens)),

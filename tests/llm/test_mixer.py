@@ -62,7 +62,8 @@ def plain_word(m, words, times, word):
                 for k in range(1, order + 1):
                     context |= (data[place - k] + 1 if place >= k else 0) << (9 * (k - 1))
                 key = mixed(np.array([context], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(order)) + np.uint64(partial * 0xD6E8FEB86659FD93 % 2**64)
-                slot = mixer.PLACES[j] + int(mixed(key)[0] >> np.uint64(64 - size))
+                key = int(key[0])
+                slot = mixer.PLACES[j] + ((key ^ (key >> 29)) * 0xBF58476D1CE4E5B9 % 2**64 >> (64 - size))
                 zeros.append(float(m.counts[0][slot]))
                 ones.append(float(m.counts[1][slot]))
             so_far = "".join(f"{c:08b}" for c in data[:place]) + f"{byte:08b}"[:b]
@@ -124,7 +125,7 @@ def test_texts_word_by_word(spark):
     r = mixer.repeats(words)
     had = mixer.Had(rng.integers(0, 9, (2, mixer.HAD_CELLS)).astype(float), rng.uniform(0.1, 0.5, (mixer.PLACE_STEPS, mixer.HAD_INPUTS)))
     value = {w: -1.5 - rng.random() for w in words.distinct}
-    got = had.log10(r, np.array([value[w] for w in words.distinct])[words.at], -2.0, words.size)
+    got = had.log10(r, words, np.array([value[w] for w in words.distinct]), -2.0)
     for k, text in enumerate(texts):
         assert got[k] == pytest.approx(plain_text(had, (text or "").encode().split(), value, -2.0), rel=1e-9)
 
