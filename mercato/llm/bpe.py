@@ -2,9 +2,10 @@
 
 Texts are cut by the tokenizer's pattern; a task encodes each distinct piece that it meets once. A piece starts
 as the array of its bytes (their ids); a fold joins, step by step, the adjacent pair with the least rank, the leftmost of
-equals, until no pair has a rank. The rank map is a literal: from the ids of two neighbours to the rank, which is the id,
+equals (all of them where they are many, as in long runs without a blank), until no pair has a rank. The rank map is a literal: from the ids of two neighbours to the rank, which is the id,
 of what they make, kept as one array by row displacement (Spark's own maps are searched entry by entry). Decoding
-looks ids up in a literal array of byte strings, written as Latin-1 characters, and joins them.
+looks ids up in a literal array of byte strings (Latin-1 characters stand for bytes there) and joins them to the binary of a piece; the pieces
+of a text are then put together.
 
 No shuffle: texts go through a task in blocks of some ``BLOCK_BYTES`` (or one longer text). A block is a row of the pieces that are
 new to the task and the places of all its pieces; after the fold the same task puts the ids of its texts together. Null texts count as empty, with no tokens; repeated rows are encoded each; other columns are left alone."""
@@ -15,6 +16,7 @@ import base64
 import json
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import islice
 from pathlib import Path
 
@@ -30,6 +32,8 @@ BLOCK_BYTES, BLOCK_TEXTS = 2_000_000, 2_048
 #: A task forgets the pieces that it has met when it knows more than these.
 MOST_PIECES = 1_000_000
 SPAN = 4_096
+#: Parts up to which a step may look at all of them; pairs of one rank that are joined in one step beyond.
+SHORT, MANY = 256, 64
 #: Above every rank; an entry of another row, or none, gives at least this.
 NONE, EMPTY = 2**17, 2**60
 
@@ -64,6 +68,20 @@ def displaced(rows: dict[int, dict[int, int]]) -> tuple[list[int], list[int]]:
     return shift, table[: int(np.flatnonzero(taken).max(initial=0)) + 1].tolist()
 
 
+def let(value: Column, body) -> Column:
+    """An expression of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+@dataclass(frozen=True)
+class Literals:
+    """The rank map as one array and the place of each row in it; tokens of which all pairs cannot be joined at once."""
+
+    table: Column
+    shift: Column
+    early: Column
+
+
 class Tokenizer:
     """The literals and the fold for one table of ranks."""
 
@@ -86,16 +104,26 @@ class Tokenizer:
         self._shift = F.from_json(F.lit(json.dumps(shift)), "array<bigint>")
         self._table = F.from_json(F.lit(json.dumps(table)), "array<bigint>")
         self._names = F.from_json(F.lit(json.dumps(names)), "array<string>")
+        #: Tokens that make a pair of lower rank than their own: all pairs of their rank cannot be joined at once.
+        early = {x for a, row in pairs.items() for b, rank in row.items() for x in (a, b) if rank < x}
+        self._early = F.from_json(F.lit(json.dumps(sorted(early))), "array<bigint>")
 
-    def rank(self, a: Column, b: Column) -> Column:
-        """Rank, which is the id, of the token that two neighbours make; NONE or more if they make none."""
-        return F.get(self._table, F.get(self._shift, a) + b).bitwiseXOR(F.shiftleft(a, 17))
+    @staticmethod
+    def rank(t: Literals, a: Column, b: Column) -> Column:
+        """Rank, which is the id, of the token that two neighbours make; NONE or more if they make none, NULL if there is no second."""
+        return F.get(t.table, F.get(t.shift, a) + b).bitwiseXOR(F.shiftleft(a, 17))
 
-    def encode(self, ids: Column) -> Column:
-        """array<bigint> of a piece given as the ids (bigint) of its bytes."""
+    def encode(self, pieces: Column) -> Column:
+        """array<array<bigint>> of pieces, each given as the ids (bigint) of its bytes. The literals are bound once, so that a plan holds
+        each of them once."""
 
-        def let(value: Column, body) -> Column:
-            return F.get(F.transform(F.array(value), body), F.lit(0))
+        def each(t: Literals) -> Column:
+            return F.transform(pieces, lambda ids: F.when(F.size(ids) <= SHORT, self.encode_short(t, ids)).otherwise(self.encode_long(t, ids)))
+
+        return let(self._table, lambda table: let(self._shift, lambda shift: let(self._early, lambda early: each(Literals(table, shift, early)))))
+
+    def encode_short(self, t: Literals, ids: Column) -> Column:
+        """A fold over the parts of a piece, whose ranks are looked up anew in each step: least work per step for a few parts."""
 
         def joined(parts: Column, place: Column, made: Column) -> Column:
             """``made`` at ``place`` (from 1) for the two parts from there."""
@@ -104,7 +132,7 @@ class Tokenizer:
 
         def step(s: Column, _: Column) -> Column:
             p = s["parts"]
-            ranks = F.transform(p, lambda a, k: self.rank(a, F.get(p, k + 1)))
+            ranks = F.transform(p, lambda a, k: self.rank(t, a, F.get(p, k + 1)))
             end = F.struct(p.alias("parts"), F.lit(True).alias("done"))
 
             def join(r: Column, least: Column) -> Column:
@@ -116,8 +144,52 @@ class Tokenizer:
         start = F.struct(ids.alias("parts"), (F.size(ids) < 2).alias("done"))
         return F.aggregate(ids, start, step, lambda s: s["parts"])
 
+    def encode_long(self, t: Literals, ids: Column) -> Column:
+        """The state of the fold is the parts and the rank of each with its next;
+        a step cuts both arrays at the pair of least rank and looks two new ranks up, so it moves memory but computes nothing
+        for the other parts. Where the least rank is that of ``MANY`` pairs or more, a step joins all of them, from the left."""
+
+        def state(parts: Column, ranks: Column) -> Column:
+            return F.struct(parts.alias("parts"), ranks.alias("ranks"))
+
+        def all_ranks(parts: Column) -> Column:
+            return F.transform(parts, lambda a, k: F.coalesce(self.rank(t, a, F.get(parts, k + 1)), F.lit(EMPTY)))
+
+        def one(p: Column, q: Column, made: Column) -> Column:
+            def cut(at: Column) -> Column:  # at: place of the pair, from 1
+                before = F.when(at > 1, F.array(F.coalesce(self.rank(t, F.get(p, at - 2), made), F.lit(EMPTY)))).otherwise(F.array().cast("array<bigint>"))
+                parts = F.concat(F.slice(p, F.lit(1), at - 1), F.array(made), F.slice(p, at + 2, F.size(p)))
+                after = F.array(F.coalesce(self.rank(t, made, F.get(p, at + 1)), F.lit(EMPTY)))
+                return state(parts, F.concat(F.slice(q, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(q, at + 2, F.size(p))))
+
+            return let(F.array_position(q, made).cast("int"), cut)
+
+        def every(p: Column, q: Column, made: Column) -> Column:
+            # of pairs that overlap ("11") the left one; a part is replaced, dropped behind a replaced one, or kept
+            marks = F.array_join(F.transform(q, lambda r: F.when(r == made, "1").otherwise("0")), "")
+            chosen = F.split(F.regexp_replace(marks, "11", "10"), "")
+
+            def put(m: Column) -> Column:
+                new = F.transform(p, lambda x, k: F.when(F.get(m, k) == "1", made).when((k > 0) & (F.get(m, k - 1) == "1"), F.lit(None)).otherwise(x))
+                return let(F.filter(new, lambda x: x.isNotNull()), lambda parts: state(parts, all_ranks(parts)))
+
+            return let(chosen, put)
+
+        def step(s: Column, _: Column) -> Column:
+            p, q = s["parts"], s["ranks"]
+
+            def join(made: Column) -> Column:
+                many = (F.size(q) > MANY) & (F.size(q) - F.size(F.array_remove(q, made)) >= MANY) & ~F.array_contains(t.early, made)
+                end = state(p, F.array().cast("array<bigint>"))
+                return F.when(made < NONE, F.when(many, every(p, q, made)).otherwise(one(p, q, made))).otherwise(end)
+
+            return F.when(F.size(q) > 0, let(F.array_min(q), join)).otherwise(s)
+
+        return F.aggregate(ids, state(ids, all_ranks(ids)), step, lambda s: s["parts"])
+
     def decode(self, ids: Column) -> Column:
-        return F.array_join(F.transform(ids, lambda i: F.get(self._names, i)), "")
+        """The bytes of the ids, as binary."""
+        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self._names, i)), ""), "ISO-8859-1")
 
 
 def _merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -162,36 +234,31 @@ def encoded(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*map(pa.array, row, kinds), new], ["doc_ids", "ends", "places", "before", "pieces"])
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, length, back = np.empty(0, "<u4"), np.empty(0, np.int64), []
+        values, length = np.empty(0, "<i4"), np.empty(0, np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
                 if batch["before"][k].as_py() == 0:
-                    values, length, back = values[:0], length[:0], []
-                if batch["before"][k].as_py() != len(back):
+                    values, length = values[:0], length[:0]
+                if batch["before"][k].as_py() != len(length):
                     raise RuntimeError("blocks of a task came out of order")
                 tokens = batch["tokens"][k].values
-                values = np.concatenate([values, tokens.flatten().to_numpy().astype("<u4")])
+                values = np.concatenate([values, tokens.flatten().to_numpy().astype("<i4")])
                 length = np.concatenate([length, np.diff(tokens.offsets.to_numpy())])
-                back += [x.encode("latin-1") for x in batch["back"][k].as_py()]
                 first = np.cumsum(length) - length
-                starts = [0, *batch["ends"][k].as_py()]
                 places = np.frombuffer(batch["places"][k].as_py(), np.int32)
-                coded, decoded = [], []
-                for a, z in zip(starts[:-1], starts[1:]):
-                    own = places[a:z]
-                    n = length[own]
-                    total = np.cumsum(n)
-                    at = np.repeat(first[own] - (total - n), n) + np.arange(total[-1] if len(total) else 0)
-                    coded.append(values[at].tobytes())
-                    decoded.append(b"".join([back[i] for i in own.tolist()]))
-                ids = pa.array(batch["doc_ids"][k].as_py(), pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(coded, pa.binary()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+                n = length[places]
+                total = np.concatenate([[0], np.cumsum(n)])
+                at = np.repeat(first[places] - total[:-1], n) + np.arange(total[-1])
+                ends = np.array([0, *batch["ends"][k].as_py()], np.int64)
+                got, cuts = values[at], total[ends]
+                listed = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(got, pa.int32()))
+                packed = pa.array([got[a:z].tobytes() for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(batch["doc_ids"][k].as_py(), pa.int64()), packed, listed], ["doc_id", "ids", "listed"])
 
     columns = "doc_ids array<bigint>, ends array<bigint>, places binary, before bigint, pieces array<array<bigint>>"
-    blocks = docs.select("doc_id", "text").mapInArrow(pieces, columns)
-    coded = blocks.withColumn("tokens", F.transform("pieces", tokenizer.encode))
-    coded = coded.withColumn("back", F.transform("tokens", tokenizer.decode)).drop("pieces")
-    return coded.mapInArrow(put_together, "doc_id bigint, ids binary, decoded binary")
+    coded = docs.select("doc_id", "text").mapInArrow(pieces, columns).withColumn("tokens", tokenizer.encode(F.col("pieces"))).drop("pieces")
+    told = coded.mapInArrow(put_together, "doc_id bigint, ids binary, listed array<int>")
+    return told.select("doc_id", "ids", tokenizer.decode(F.col("listed")).alias("decoded"))
 
 
 def digests(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
