@@ -20,7 +20,7 @@ from mercato.sources.tables import stage, unstage  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Rows of whole texts that go to a Python worker at once; Spark's default of 10,000 is meant for short rows.
-BATCH_ROWS = 1_000
+BATCH_ROWS = 500
 #: Near copies of the pipeline: words of a shingle, and least similarity in hundredths.
 NEAR_WIDTH, NEAR_LEAST = 5, 80
 

@@ -5,6 +5,7 @@ return; ``bytes.split()`` cuts UTF-8 at exactly these. A null text has no words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -22,7 +23,7 @@ def payloads(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered; forgotten when it holds too many words."""
 
-    LIMIT = 200_000
+    LIMIT = 50_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -53,8 +54,17 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-def rows(batches: Iterator[pa.RecordBatch], size: int = 1_000) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Give memory that a task no longer needs back to the machine: Spark keeps Python workers for later tasks, beside others'."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim:
+        trim(0)
+
+
+def rows(batches: Iterator[pa.RecordBatch], size: int = 500) -> Iterator[pa.RecordBatch]:
     """The batches cut to at most ``size`` rows, so that what is made of a cut stays small."""
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
+    release()
