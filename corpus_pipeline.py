@@ -21,6 +21,8 @@ from mercato.sources.tables import stage, unstage  # noqa: E402
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Rows of whole texts that go to a Python worker at once; Spark's default of 10,000 is meant for short rows.
 BATCH_ROWS = 500
+#: Text of a block of the substring stage: half of what the operator takes by itself, because workers still hold what earlier stages left.
+REPEAT_BLOCK_BYTES = 3_000_000
 #: Near copies of the pipeline: words of a shingle, and least similarity in hundredths.
 NEAR_WIDTH, NEAR_LEAST = 5, 80
 
@@ -50,7 +52,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that an earlier one has; a document that is nothing else stays, with an empty text. What loses
     no word keeps its text as it is, white space included; other texts become their kept words, joined by one space."""
     small_batches(spark)
-    cut = anchors.dedup(docs.select(*COLUMNS))
+    cut = anchors.dedup(docs.select(*COLUMNS), REPEAT_BLOCK_BYTES)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 

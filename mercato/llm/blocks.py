@@ -15,7 +15,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from mercato.llm.text import payloads
+from mercato.llm.text import payloads, release
 from mercato.sources.tables import stage
 
 BLOCK_BYTES = 6_000_000
@@ -46,6 +46,7 @@ def blocks(docs: DataFrame, text: str = "text", name: str = "blocks", most_bytes
                 body = zstandard.ZstdCompressor(level=1).compress(sink.getvalue())
                 yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([body], pa.binary())], ["block", "content"])
                 task += 1
+        release()
 
     return stage(docs.mapInArrow(packed, "block bigint, content binary"), name)
 
