@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 GRAM = 3
+#: Strings looked for in a text before a regex is tried on it.
+NEEDED = 3
 _ZERO_WIDTH, _CLASSES = "bBAzZG", "dDsSwWhHvVRX"
 
 
@@ -27,6 +30,10 @@ def _better(a: frozenset[str] | None, b: frozenset[str] | None) -> frozenset[str
     return max(a, b, key=lambda s: (min(map(len, s)), -len(s)))
 
 
+def _best(needs: list[frozenset[str]]) -> frozenset[str] | None:
+    return reduce(_better, needs, None)
+
+
 class _Reader:
     def __init__(self, pattern: str):
         self.p, self.i = pattern, 0
@@ -34,15 +41,19 @@ class _Reader:
     def peek(self) -> str:
         return self.p[self.i] if self.i < len(self.p) else ""
 
-    def alternatives(self) -> frozenset[str] | None:
-        found: list[frozenset[str] | None] = [self.sequence()]
+    def alternatives(self) -> list[frozenset[str]]:
+        """Sets of strings, of each of which one must occur."""
+        found = [self.sequence()]
         while self.peek() == "|":
             self.i += 1
             found.append(self.sequence())
-        return None if None in found else frozenset().union(*found)  # type: ignore[arg-type]
+        if len(found) == 1:
+            return found[0]
+        best = [_best(own) for own in found]
+        return [] if None in best else [frozenset().union(*best)]  # type: ignore[arg-type]
 
-    def sequence(self) -> frozenset[str] | None:
-        best, run = None, ""
+    def sequence(self) -> list[frozenset[str]]:
+        needs, run = [], ""
         while self.peek() not in ("", "|", ")"):
             kind, value = self.atom()
             least, more = self.quantifier()
@@ -52,11 +63,11 @@ class _Reader:
                 run += value
                 if not more:
                     continue
-            best = _better(best, frozenset([run]) if run else None)
+            needs += [frozenset([run])] if run else []
             run = ""
             if kind == "group" and least > 0:
-                best = _better(best, value)
-        return _better(best, frozenset([run]) if run else None)
+                needs += value
+        return needs + ([frozenset([run])] if run else [])
 
     def atom(self) -> tuple[str, object]:
         c = self.p[self.i]
@@ -134,14 +145,25 @@ class _Reader:
         return least, more
 
 
-def required(pattern: str) -> frozenset[str] | None:
-    """Strings one of which every match of the pattern contains; None where that is not known."""
+def all_required(pattern: str) -> list[frozenset[str]]:
+    """Sets of strings, of each of which every match of the pattern contains one; none where that is not known."""
     reader = _Reader(pattern)
     try:
         found = reader.alternatives()
-        return found if reader.i == len(pattern) else None
+        return found if reader.i == len(pattern) else []
     except _Unknown:
-        return None
+        return []
+
+
+def required(pattern: str) -> frozenset[str] | None:
+    """Strings one of which every match of the pattern contains, the longest such; None where that is not known."""
+    return _best(all_required(pattern))
+
+
+def certain(pattern: str) -> list[str]:
+    """``NEEDED`` strings (some may be empty) that every match of the pattern contains, the longest first."""
+    found = sorted({s for own in all_required(pattern) if len(own) == 1 for s in own}, key=lambda s: (-len(s), s))
+    return (found + [""] * NEEDED)[:NEEDED]
 
 
 def chosen_grams(patterns: Sequence[str]) -> list[list[str] | None]:

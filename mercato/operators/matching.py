@@ -24,7 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from mercato.constants import MAX_BRANDS_PER_AD, MODEL_HITS_TO_REJECT
 from mercato.functions.text import listing_text, row_hash
-from mercato.operators.factors import chosen_grams, text_grams
+from mercato.operators.factors import NEEDED, certain, chosen_grams, text_grams
 
 BLOCK = 64  # up to so many patterns are matched in the row, without a lookup
 
@@ -145,10 +145,19 @@ def _indexed_pass(
     return found.select("id", *carry, *on, *fields, "tok", F.lit(0).alias("off"))
 
 
+#: Columns of a lookup with what a text must have besides the trigram for the entry to be tried.
+_NEEDS = [f"_need{k}" for k in range(NEEDED)]
+
+
 def factor_candidates(texts: DataFrame, lookup: DataFrame, on: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
-    """Texts with the entries of a lookup whose trigram they have: all that can match, once per trigram."""
+    """Texts with the entries of a lookup whose trigram, and whose other strings, they have: all that can match, once per trigram. The lookup
+    was made on the driver, so it is what is broadcast, never the texts."""
     grams = texts.select("id", *carry, *on, "text", F.explode(text_grams(F.col("text"))).alias("gram"))
-    return grams.join(lookup, [*on, "gram"])
+    return grams.join(F.broadcast(lookup), [*on, "gram"]).filter(_has_all(lookup)).drop(*_NEEDS)
+
+
+def _has_all(lookup: DataFrame) -> Column:
+    return reduce(lambda a, b: a & b, [F.contains("text", n) for n in _NEEDS if n in lookup.columns], F.lit(True))
 
 
 def _regex_pass(
@@ -158,17 +167,18 @@ def _regex_pass(
     once per trigram of its that a text has."""
     grams = chosen_grams([r["pattern"] for r in regexes])
     rest = [r for r, own in zip(regexes, grams) if own is None]
-    known = [(*(r[c] for c in dictionary.columns), g) for r, own in zip(regexes, grams) for g in own or ()]
+    known = [(*(r[c] for c in dictionary.columns), g, *certain(r["pattern"])) for r, own in zip(regexes, grams) for g in own or ()]
     if not known:
         return _literal_pass(texts, rest, fields, on, False, carry)
-    lookup = texts.sparkSession.createDataFrame(known, StructType([*dictionary.schema.fields, StructField("gram", StringType())]))
+    strings = [StructField(c, StringType()) for c in ("gram", *_NEEDS)]
+    lookup = texts.sparkSession.createDataFrame(known, StructType([*dictionary.schema.fields, *strings]))
     if rest:
         hits = literal_hits(F.col("text"), rest, fields, on)
         own = F.transform(hits, lambda h: F.struct(F.lit(None).cast("string").alias("gram"), h.alias("hit")))
         tries = F.transform(text_grams(F.col("text")), lambda g: F.struct(g.alias("gram"), F.get(F.slice(hits, 1, 0), F.lit(0)).alias("hit")))
         rows = texts.select("id", *carry, *on, "text", F.inline(F.concat(own, tries)))
-        lookup = lookup.select(*on, "gram", "pattern", F.struct(*fields).alias("_entry"))
-        tried = rows.join(lookup, [*on, "gram"], "left").filter("hit IS NOT NULL OR pattern IS NOT NULL")
+        lookup = lookup.select(*on, "gram", "pattern", F.struct(*fields).alias("_entry"), *_NEEDS)
+        tried = rows.join(F.broadcast(lookup), [*on, "gram"], "left").filter(F.col("hit").isNotNull() | (F.col("pattern").isNotNull() & _has_all(lookup)))
         found = [F.coalesce(F.col(f"hit.{f}"), F.col(f"_entry.{f}")).alias(f) for f in fields]
         tried = tried.select("id", *carry, *on, "text", "pattern", *found, F.col("hit.pos").alias("_pos"))
         pos = F.when(F.col("_pos").isNotNull(), F.col("_pos")).otherwise(F.regexp_instr("text", F.col("pattern")))
@@ -238,7 +248,8 @@ def first_matches(texts: DataFrame, dictionary: DataFrame, fields: Sequence[str]
     first = first.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     before = F.length(F.expr("substring_index(text, ' ', p.tok)")) + 1
     pos = F.when(F.col("p.tok") > 0, before).otherwise(0) + F.col("p.off") + 1
-    return first.join(texts, "id").select("id", *fields, pos.alias("match_pos"))
+    # both sides grow with the data, whatever size Spark takes the stored texts for
+    return first.join(texts.hint("merge"), "id").select("id", *fields, pos.alias("match_pos"))
 
 
 def multi_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRANDS_PER_AD) -> DataFrame:

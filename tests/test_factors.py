@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from mercato.operators import factors, fuzzy, matching, quality
+from mercato.sources.tables import stage
 
 
 @pytest.mark.parametrize(
@@ -55,6 +56,18 @@ def test_regexes_are_tried_where_their_trigram_is(spark, rows):
     assert matching.factor_candidates(nothing, lookup, []).count() == 0
 
 
+def test_texts_are_never_broadcast_and_tried_only_where_all_strings_are(spark):
+    pattern = r"\bsma[a-z]*\s+gizmo\b(?:.*)\b12\s*(?:gb|go?)\b"
+    assert factors.certain(pattern) == ["gizmo", "sma", "12"] and factors.certain("(?i)x") == [""] * factors.NEEDED
+    texts = stage(spark.createDataFrame([(1, "small gizmo 12 gb"), (2, "small gizmo 13 gb"), (3, "old gizmo 12 gb")], "id long, text string"), "texts")
+    entries = [("e", pattern, "giz", *factors.certain(pattern))]
+    lookup = spark.createDataFrame(entries, "name string, pattern string, gram string, " + ", ".join(f"{c} string" for c in matching._NEEDS))
+    tried = matching.factor_candidates(texts, lookup, [])
+    assert [r.id for r in tried.collect()] == [1]
+    plan = tried._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
