@@ -25,6 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from mercato.constants import MAX_BRANDS_PER_AD, MODEL_HITS_TO_REJECT
 from mercato.functions.text import listing_text, row_hash
 from mercato.operators.factors import NEEDED, certain, chosen_grams, text_grams
+from mercato.sources.tables import stage
 
 BLOCK = 64  # up to so many patterns are matched in the row, without a lookup
 
@@ -259,8 +260,10 @@ def multi_brand(texts: DataFrame, brands: DataFrame, max_brands: int = MAX_BRAND
         n = F.size(literal_hits(F.col("text"), entries, ["brand"])).cast("bigint")
         many = F.filter(F.array(n), lambda size: size > max_brands)
         return texts.select("id", F.explode(many).alias("n_brands"))
-    hits = dictionary_hits(texts, _entries(brands, ["brand"]), ["brand", "entry", "times"])
-    counted = hits.select("id", "brand", "entry", "times").distinct().groupBy("id").agg(F.sum("times").alias("n_brands"))
+    # an entry is known by a number, stored so that it stays the same: its name and pattern are not shuffled with each hit
+    numbered = stage(_entries(brands, ["brand"]).withColumn("entry", F.monotonically_increasing_id()), "entries")
+    hits = dictionary_hits(texts, numbered, ["entry", "times"])
+    counted = hits.select("id", "entry", "times").distinct().groupBy("id").agg(F.sum("times").alias("n_brands"))
     return counted.filter(F.col("n_brands") > max_brands)
 
 

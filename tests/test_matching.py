@@ -210,3 +210,12 @@ def test_many_regexes_read_the_texts_once_more(spark, rows):
     assert rows(got.groupBy("name").count(), "name")[:2] == [("r0", 1), ("r1", 1)]
     assert got.filter("name = 'w'").count() == 30
     assert plan_of(got).count("Range (0, 30") <= 2
+
+
+def test_many_entries_are_counted_by_their_numbers(spark, rows, monkeypatch):
+    asked, plain = [], m.dictionary_hits
+    monkeypatch.setattr(m, "dictionary_hits", lambda texts, entries, fields: asked.append(fields) or plain(texts, entries, fields))
+    entries = [(f"Filler{k}", rf"\bfiller{k}\b") for k in range(80)] + [("Filler1", r"\bfiller1\b"), ("Other", r"\bfiller1\b")]
+    texts = frame(spark, [(1, "filler1 filler2 filler1"), (2, "filler2 filler3")], "id long, text string")
+    assert rows(m.multi_brand(texts, frame(spark, entries, "brand string, pattern string"), max_brands=3), "id") == [(1, 4)]
+    assert asked == [["entry", "times"]]  # what is shuffled with each hit: no names, no patterns
