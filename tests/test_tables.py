@@ -224,3 +224,27 @@ def test_ingest_counts_and_keeps_what_it_rejects(spark, schema, tmp_path):
         ]
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         jobs.ingest_report(spark, str(folder), "cell", day(1), schema="s")
+
+
+def test_keys_of_which_nothing_is_known_are_not_spliced(spark, schema, monkeypatch):
+    told, plain = [], merge.scd2_splice
+
+    def splice(stored, states, columns):
+        told.append(sorted(r.id for r in states.collect()))
+        return plain(stored, states, columns)
+
+    monkeypatch.setattr(merge, "scd2_splice", splice)
+    tables.create_dimension(spark, "t.few", DDL, buckets=2)
+    for n, batch in enumerate([[(1, "a"), (2, "b")], [(2, "c"), (3, "d")]]):
+        tables.apply_scd2(spark.createDataFrame(batch, "id long, v string").withColumn("hash", row_hash("v")), "t.few", day(n))
+    assert told == [[], [2]]
+    got = sorted((r.id, r.v, r.valid_from, r.valid_to) for r in spark.table("t.few").filter("valid_to IS NULL").collect())
+    assert got == [(1, "a", day(0), None), (2, "c", day(1), None), (3, "d", day(1), None)]
+    assert [(r.id, r.v, r.valid_to) for r in spark.table("t.few").filter("valid_to IS NOT NULL").collect()] == [(2, "b", day(1))]
+
+
+def test_a_splice_moves_its_rows_once(spark):
+    rows = spark.createDataFrame([(1, "a", "h", day(0), None)], "id bigint, v string, hash string, valid_from timestamp, valid_to timestamp")
+    spliced = merge.scd2_splice(rows, rows.drop("valid_to"), rows.columns)
+    assert spliced._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert [(r.id, r.v) for r in spliced.collect()] == [(1, "a")]
