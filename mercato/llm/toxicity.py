@@ -35,6 +35,8 @@ LEAST_RATIO = 12.0
 LEAST_PAIR_RATIO = 25.0
 #: Terms by whose side partners are looked for: so many of the strongest.
 STRONGEST = 256
+#: Terms of texts that are counted against the strong ones at once.
+PARTNER_ROWS = 8_192
 EPOCHS = 12
 FOLDS, HELD_FOLD = 5, 0
 
@@ -57,14 +59,14 @@ def slots(text: bytes, known: WordHashes | None = None) -> np.ndarray:
     return np.unique(known.of(list(terms)))
 
 
-def likelihood_ratio(toxic_with: np.ndarray, with_: np.ndarray, toxic: int, n: int) -> np.ndarray:
-    """The G statistic of each term with the label, from the texts that have it."""
-    total = np.zeros(len(with_))
+def likelihood_ratio(toxic_with: np.ndarray, with_: np.ndarray, toxic: int | np.ndarray, n: int | np.ndarray) -> np.ndarray:
+    """The G statistic of each term with the label, from the texts that have it; ``toxic`` of all ``n`` texts, or of those of each column."""
+    total = np.zeros(with_.shape)
     for seen, rows, cols in (
         (toxic_with, with_, toxic), (with_ - toxic_with, with_, n - toxic),
         (toxic - toxic_with, n - with_, toxic), (n - with_ - (toxic - toxic_with), n - with_, n - toxic),
     ):
-        expected = np.maximum(rows * cols / max(1, n), 1e-12)
+        expected = np.maximum(rows * cols / np.maximum(1, n), 1e-12)
         total += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / expected), 0)
     return total
 
@@ -187,7 +189,9 @@ def ratio_column(hit: str, used: str, toxic: str, n: str) -> Column:
 def screened_terms(sampled: DataFrame) -> np.ndarray:
     """The terms that carry weight, sorted, as ``screened`` has them, counted in Spark: those strong by themselves, and those strong among the
     texts of one of the strongest. A term of one text reaches no ``LEAST_PAIR_RATIO`` in a sample of ``SAMPLE`` texts, so partners are looked for among
-    terms of two texts or more that are not strong already; only counts of these come to the driver."""
+    terms of two texts or more that are not strong already. Each of these is counted against all strong terms at once, in numbers beside each other, so that
+rows grow with the terms of the texts and not with the pairs of them; the driver gets counts of terms and, of the sampled texts, the places
+of strong terms."""
     total = sampled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("all_toxic"))
     each = sampled.select("toxic", F.explode("ids").alias("term"))
     counts = each.groupBy("term").agg(F.count(F.lit(1)).alias("used"), F.sum("toxic").alias("hit")).crossJoin(F.broadcast(total))
@@ -201,16 +205,55 @@ def screened_terms(sampled: DataFrame) -> np.ndarray:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = [x.values.to_numpy().view(np.uint64) if len(x.values) else np.empty(0, np.uint64) for x in b["ids"]]
-            sides = [pa.array([known[found(known, x)].view(np.int64) for x in ids], pa.list_(pa.int64())) for known in (top, others)]
-            yield pa.RecordBatch.from_arrays([b["toxic"], *sides], ["toxic", "strong", "others"])
-
-    # partners are counted beside the texts they stand in: what is shuffled is one row per task and pair
-    among = sampled.select("toxic", "ids").mapInArrow(split, "toxic int, strong array<bigint>, others array<bigint>")
-    among = among.select("toxic", "others", F.explode("strong").alias("strong"))
-    own = among.groupBy("strong").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("all_toxic")).filter("0 < all_toxic and all_toxic < n")
-    among = among.join(F.broadcast(own), "strong").select("strong", "n", "all_toxic", "toxic", F.explode("others").alias("term"))  # a row per strong term
-    pairs = among.groupBy("strong", "n", "all_toxic", "term").agg(F.count(F.lit(1)).alias("used"), F.sum("toxic").alias("hit"))
-    paired = pairs.filter(ratio_column("hit", "used", "all_toxic", "n") >= LEAST_PAIR_RATIO).select("term").distinct().toArrow()["term"]
+            sides = [pa.array([found(top, x).astype("<i2").tobytes() for x in ids], pa.binary())]
+            sides.append(pa.array([others[found(others, x)].view(np.int64) for x in ids], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], *sides], ["doc_id", "toxic", "strong", "others"])
+
+    sides = stage(sampled.select("doc_id", "toxic", "ids").mapInArrow(split, "doc_id bigint, toxic int, strong binary, others array<bigint>"), "term-sides")
+    # of a bounded sample, the texts that have a strong term: their labels and the places of at most STRONGEST terms
+    texts = sides.select("doc_id", "toxic", "strong").filter("length(strong) > 0").orderBy("doc_id").toArrow()
+    doc_ids, labels = texts["doc_id"].to_numpy(), texts["toxic"].to_numpy().astype(np.int64)
+    has = np.zeros((len(doc_ids), len(top)), np.uint8)
+    for k, x in enumerate(texts["strong"].to_pylist()):
+        has[k, np.frombuffer(x, "<i2")] = 1
+    n, all_toxic = has.sum(0, dtype=np.int64), has[labels > 0].sum(0, dtype=np.int64)
+    both = (0 < all_toxic) & (all_toxic < n)
+    has, n, all_toxic = has[:, both], n[both], all_toxic[both]
+    if not has.size:
+        unstage(sides)
+        return alone
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Terms that say something in the texts of a strong one. The texts of a term come one after the other."""
+        last, used, hit = None, np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+
+        def say(terms: np.ndarray, used: np.ndarray, hit: np.ndarray) -> pa.RecordBatch:
+            ratio = likelihood_ratio(hit, used, all_toxic, n)
+            good = ((used > 0) & (ratio >= LEAST_PAIR_RATIO)).any(1)
+            return pa.RecordBatch.from_arrays([pa.array(terms[good], pa.int64())], ["term"])
+
+        for b in batches:
+            for at in range(0, b.num_rows, PARTNER_ROWS):
+                part = b.slice(at, PARTNER_ROWS)
+                terms, own = part["term"].to_numpy(), np.searchsorted(doc_ids, part["doc_id"].to_numpy())
+                starts = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+                met = has[own]
+                counts = [np.add.reduceat(x, starts, 0, np.int64) for x in (met, met * (labels[own] > 0)[:, None])]
+                if terms[0] == last:
+                    counts[0][0] += used
+                    counts[1][0] += hit
+                elif last is not None:
+                    yield say(np.array([last]), used[None], hit[None])
+                yield say(terms[starts[:-1]], counts[0][:-1], counts[1][:-1])
+                last, used, hit = terms[-1], counts[0][-1], counts[1][-1]
+        if last is not None:
+            yield say(np.array([last]), used[None], hit[None])
+
+    # a row per term of a text, never one per pair of terms: the texts of a term meet in one task, at most as many as are sampled
+    met = sides.filter("length(strong) > 0").select("doc_id", F.explode("others").alias("term"))
+    met = met.repartition("term").sortWithinPartitions("term")
+    paired = met.mapInArrow(partners, "term bigint").toArrow()["term"]
+    unstage(sides)
     return np.union1d(alone, paired.to_numpy().astype(np.int64).view(np.uint64))
 
 

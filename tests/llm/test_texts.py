@@ -216,6 +216,30 @@ def test_toxicity_screens_in_spark_as_in_memory(spark):
     assert np.array_equal(machine.weights, plain.weights) and np.array_equal(machine.vectors, plain.vectors)
 
 
+def test_toxicity_partners_are_counted_without_their_pairs(spark, monkeypatch):
+    """No row per strong term of a text, and the same terms however the rows of a term are cut into batches."""
+    rng = np.random.default_rng(3)
+
+    def text(kind):
+        words = ["insult"] * (kind in (1, 2)) + ["slur"] * (kind in (3, 4)) + ["group"] * (kind % 2)
+        return " ".join([*rng.choice([f"w{k}" for k in range(40)], 10), *words])
+
+    rows = [(k, text(k % 8), int(k % 8 in (1, 4))) for k in range(600)]
+    docs = spark.createDataFrame([(k, x) for k, x, _ in rows], "doc_id long, text string")
+    sampled = toxicity.sample(docs, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")).cache()
+    want = toxicity.screened([(np.array(r.ids, np.int64).view(np.uint64), r.toxic) for r in sampled.collect()]).tolist()
+    exploded, explode = [], toxicity.F.explode
+    monkeypatch.setattr(toxicity.F, "explode", lambda c: exploded.append(c) or explode(c))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("7", before):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert toxicity.screened_terms(sampled).tolist() == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert exploded == ["ids", "others"] * 2
+
+
 def test_toxicity_score_is_a_plain_factorization_machine(spark):
     """Every weight and every pair of terms added up one by one."""
     rng = np.random.default_rng(9)
