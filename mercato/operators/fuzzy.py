@@ -52,7 +52,7 @@ def run_pieces(runs: DataFrame, lengths: Sequence[int], on: Sequence[str]) -> Da
     start, end = _piece(F.col("n"), F.col("d"), F.col("i"))
     each = each.withColumn("length", end - start).withColumn("at", F.explode(F.sequence(start - F.col("d"), start + F.col("d"))))
     each = each.filter((F.col("at") >= 0) & (F.col("at") + F.col("length") <= size))
-    return each.select(*on, "run", "n", "i", F.substring("run", F.col("at") + 1, F.col("length")).alias("piece")).distinct()
+    return each.select(*on, "run", "n", "i", F.substring("run", F.col("at") + 1, F.col("length")).alias("piece"))
 
 
 def similar(texts: DataFrame, names: DataFrame, on: Sequence[str] = ()) -> DataFrame:
@@ -63,7 +63,9 @@ def similar(texts: DataFrame, names: DataFrame, on: Sequence[str] = ()) -> DataF
     lengths = [n for n in size.n if n]  # distinct lengths of names
     if not lengths:
         return texts.limit(0).select("id", *on, F.lit("").alias("name"), F.lit(0.0).alias("similarity"))
-    runs = texts.select("id", *on, F.inline(matching.word_runs(F.split("text", " "), size.words + size.d))).select("id", *on, "run").distinct()
+    # split before, not once more for each run; "outer", because Spark would make all runs once more, to leave out texts without any beforehand
+    tokens = texts.select("id", *on, F.split("text", " ").alias("tokens"))
+    runs = tokens.select("id", *on, F.inline_outer(matching.word_runs(F.col("tokens"), size.words + size.d))).filter("run IS NOT NULL").select("id", *on, "run").distinct()
     runs = runs.filter((F.length("run") * LETTERS_PER_EDIT >= lengths[0] * (LETTERS_PER_EDIT - 1)) & (F.length("run") * (LETTERS_PER_EDIT - 1) <= lengths[-1] * LETTERS_PER_EDIT))
     runs = stage(runs, "fuzzy-runs")
     pieces = run_pieces(runs.select(*on, "run").distinct(), lengths, on)
@@ -100,7 +102,7 @@ def brand_model(
     is not found either way is ``other`` (similarity NULL). A text with too many brands is rejected: NULL."""
     texts = stage(texts.select("id", "text"), "fuzzy-texts")
     exact = matching.attach_brand(texts, brands, max_brands)
-    many = matching.multi_brand(texts, brands, max_brands).select("id")
+    many = stage(matching.multi_brand(texts, brands, max_brands).select("id"), "fuzzy-many")
     exact = stage(exact.select("id", "text", "brand").distinct(), "fuzzy-exact")
     without = texts.join(exact.select("id"), "id", "left_anti").join(many, "id", "left_anti")
     nearly = best(without, _named(brands, "brand").select("name")).join(_named(brands, "brand"), "name").select("id", "brand", "similarity")
@@ -109,10 +111,10 @@ def brand_model(
     )
     branded = stage(branded, "fuzzy-branded")
     plain = branded.select("id", "text", "brand")
-    hits = stage(matching.dictionary_hits(plain, models, ["model", "length"], on=["brand"]).select("id").distinct(), "fuzzy-hits")
-    by_pattern = matching.detect_model(plain, models, reject_at).withColumn("model_similarity", F.lit(1.0))
+    hits = stage(matching.dictionary_hits(plain, models, ["model", "length"], on=["brand"]), "fuzzy-hits")
+    by_pattern = matching.longest_models(hits, reject_at).withColumn("model_similarity", F.lit(1.0))
     names = _named(models, "model", ["brand"])
-    by_name = best(plain.join(hits, "id", "left_anti"), names.select("brand", "name"), ["brand"]).join(names, ["brand", "name"])
+    by_name = best(plain.join(hits.select("id").distinct(), "id", "left_anti"), names.select("brand", "name"), ["brand"]).join(names, ["brand", "name"])
     by_name = by_name.select("id", "brand", "model", F.col("similarity").alias("model_similarity"))
     found = branded.drop("text").join(by_pattern.unionByName(by_name), ["id", "brand"], "left")
     # a model before none, the more similar before the less, then by name

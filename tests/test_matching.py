@@ -219,3 +219,35 @@ def test_many_entries_are_counted_by_their_numbers(spark, rows, monkeypatch):
     texts = frame(spark, [(1, "filler1 filler2 filler1"), (2, "filler2 filler3")], "id long, text string")
     assert rows(m.multi_brand(texts, frame(spark, entries, "brand string, pattern string"), max_brands=3), "id") == [(1, 4)]
     assert asked == [["entry", "times"]]  # what is shuffled with each hit: no names, no patterns
+
+
+ODD_TEXTS = [
+    (1, "x red widget y"), (2, "redwidget 12"), (3, "red\twidget"), (4, None), (5, ""), (6, "red widgets 1 2"), (7, "bored widget red  widget"),
+    (8, "1 2 12"), (9, "12 red widget 12"), (10, "s20 s2"), (11, "x"), (12, "s 2"),
+]
+
+
+def test_plain_words_in_the_row(spark):
+    """Words looked for before their pattern, beside patterns of other forms: what brute force finds, blanks of any kind, no text and repeats included."""
+    patterns = [r"\bred\s*widget\b", r"\b12\b", r"\b1\s*2\b", r"\bs20?\b", "wid.et", r"\bred\s*widget\b"]
+    entries = [(f"b{k}", p) for k, p in enumerate(patterns)]
+    texts = spark.createDataFrame(ODD_TEXTS, "id int, text string")
+    dictionary = spark.createDataFrame(entries, "brand string, pattern string")
+    want = sorted((i, b, hit.start() + 1) for i, t in ODD_TEXTS for b, p in entries if t is not None and (hit := re.search(p, t)))
+    assert sorted(map(tuple, m.first_matches(texts, dictionary, ["brand"]).collect())) == want
+    on = texts.withColumn("brand", F.concat(F.lit("b"), (F.col("id") % 3).cast("string")))
+    hits = m.dictionary_hits(on, dictionary.withColumn("n", F.lit(1)), ["n"], on=["brand"])
+    assert sorted((r.id, r.brand) for r in hits.collect()) == sorted((i, b) for i, b, _ in want if b == f"b{i % 3}")
+
+
+def test_hits_are_found_once(spark):
+    """No filter before the unnesting, which would find all hits, or make all runs of words, once more."""
+    texts = spark.createDataFrame(ODD_TEXTS, "id int, text string")
+    few = spark.createDataFrame([("a", r"\bred\s*widget\b"), ("b", "wid.et")], "brand string, pattern string")
+    many = spark.createDataFrame([(f"b{k}", rf"\bw{k}\s*x\b") for k in range(80)], "brand string, pattern string")
+    for found in (
+        m.first_matches(texts, few, ["brand"]), m.detect_brand(texts, few), m.dictionary_hits(texts, few, ["brand"]),
+        m.dictionary_hits(texts, many, ["brand"]),
+    ):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in plan.split("\n") if "Filter" in x and "size(" in x and "pattern#" not in x]  # the dictionary is cut into words, too
