@@ -91,13 +91,16 @@ def json_ld(html: Column) -> Column:
 def listing_records(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """(keys, Category, record columns, reject_reason): the typed record of a listing page, or why there
     is none: no script, not JSON, missing key, unknown type, bad value - the first that applies."""
+    block = F.col("_block")
+    # a block that is found has its tag
+    tagged = F.when(block != "", True).otherwise(F.col("_html").rlike(_JSON_LD_TAG))
     parsed = (
-        pages.select(*keys, json_ld(F.col(html)).alias("_block"), F.col(html).rlike(_JSON_LD_TAG).alias("_tagged"))
+        pages.select(*keys, json_ld(F.col(html)).alias("_block"), F.col(html).alias("_html"))
         .select(
             *keys,
-            "_tagged",
-            F.try_parse_json(F.concat(F.lit("["), F.col("_block"), F.lit("]"))).alias("_listed"),
-            F.try_parse_json(F.concat(F.lit('{"d":'), F.col("_block"), F.lit("}"))).alias("_named"),
+            tagged.alias("_tagged"),
+            F.try_parse_json(F.concat(F.lit("["), block, F.lit("]"))).alias("_listed"),
+            F.try_parse_json(F.concat(F.lit('{"d":'), block, F.lit("}"))).alias("_named"),
         )
         # the parser stops after one value: text that follows it breaks at least one of the wrappings
         .select(
@@ -108,35 +111,37 @@ def listing_records(pages: DataFrame, keys: list[str], html: str = "html") -> Da
                 F.try_variant_get("_listed", "$[0]", "variant"),
             ).alias("_doc"),
         )
+        .select("*", F.try_variant_get("_doc", "$['@type']", "string").alias("_kind"))
     )
-    kind = F.try_variant_get("_doc", "$['@type']", "string")
-    is_motorcycle = kind == "Motorcycle"
+    kind, is_motorcycle = F.col("_kind"), F.col("_kind") == "Motorcycle"
+    types = {"number": "double", "text": "string"}
+    # every value is taken out once; only where there is none of its type it is asked why
+    values = [F.try_variant_get("_doc", path, types[how]).alias(f"_{name}") for name, path, how in PRODUCT_FIELDS] + [
+        F.when(is_motorcycle, F.try_variant_get("_doc", path, types[how])).alias(f"_{name}") for name, path, how in MOTORCYCLE_FIELDS
+    ]
+    taken = parsed.select(*keys, "_tagged", "_doc", "_kind", *values)
 
-    def fault(path: str, as_number: bool) -> Column:
+    def fault(name: str, path: str, how: str) -> Column:
         missing = F.when(F.try_variant_get("_doc", path, "variant").isNull(), "missing key")
-        if not as_number:
-            return missing
-        return missing.when(F.try_variant_get("_doc", path, "double").isNull(), "bad value")
+        return F.when(F.col(f"_{name}").isNull(), missing.otherwise("bad value") if how == "number" else missing)
 
-    product_faults = [fault(path, how == "number") for _, path, how in PRODUCT_FIELDS]
-    motorcycle_faults = [F.when(is_motorcycle, fault(path, how == "number")) for _, path, how in MOTORCYCLE_FIELDS]
+    product_faults = [fault(*field) for field in PRODUCT_FIELDS]
+    motorcycle_faults = [F.when(is_motorcycle, fault(*field)) for field in MOTORCYCLE_FIELDS]
+    no_kind = (
+        F.when(F.try_variant_get("_doc", "$['@type']", "variant").isNotNull(), "unknown type")
+        .when(F.try_variant_get("_doc", "$", "map<string,variant>").isNull(), "bad value")
+        .otherwise("missing key")
+    )
     reason = (
         F.when(~F.col("_tagged"), "no script")
         .when(F.col("_doc").isNull(), "not JSON")
-        .when(F.try_variant_get("_doc", "$", "map<string,variant>").isNull(), "bad value")
-        .when(F.try_variant_get("_doc", "$['@type']", "variant").isNull(), "missing key")
-        .when(kind.isNull() | ~kind.isin("Product", "Motorcycle"), "unknown type")
+        .when(kind.isNull(), no_kind)
+        .when(~kind.isin("Product", "Motorcycle"), "unknown type")
         .otherwise(F.coalesce(*product_faults, *motorcycle_faults))
     )
-    judged = parsed.withColumn("reject_reason", reason)
+    judged = taken.withColumn("reject_reason", reason)
     good = F.col("reject_reason").isNull()
-    types = {"number": "double", "text": "string"}
-    columns = [
-        F.when(good, F.try_variant_get("_doc", path, types[how])).alias(name) for name, path, how in PRODUCT_FIELDS
-    ] + [
-        F.when(good & is_motorcycle, F.try_variant_get("_doc", path, types[how])).alias(name)
-        for name, path, how in MOTORCYCLE_FIELDS
-    ]
+    columns = [F.when(good, F.col(f"_{name}")).alias(name) for name, _, _ in [*PRODUCT_FIELDS, *MOTORCYCLE_FIELDS]]
     return judged.select(*keys, F.when(good, kind).alias("Category"), *columns, "reject_reason")
 
 

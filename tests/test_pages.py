@@ -157,3 +157,23 @@ def test_listings_from_pages(spark, rows):
     good, rejects = split_rejects(listings_from_pages(page(spark, search, search), stored))
     assert rows(good.select("ID", "url", "Title")) == [("1", "/1", "Phone")]
     assert rows(rejects) == [("2", "/2", "no script")]
+
+
+def test_values_of_a_record_are_taken_out_once(spark):
+    """Reasons and values of odd records; what kind a record is, and what its price is, is read once and once more where there is none."""
+    whole = '"name":"n","description":"d","offers":{"price":%s,"priceCurrency":"CAD","validFrom":"x","availableAtOrFrom":{"latitude":"1.5",' + (
+        '"longitude":2,"address":{"streetAddress":"s","addressLocality":"l","addressCountry":"c"}}}'
+    )
+    docs = {
+        "good": ('{"@type":"Product",' + whole % "5" + "}", None, 5.0), "text": ('{"@type":"Product",' + whole % '"7.5"' + "}", None, 7.5),
+        "call": ('{"@type":"Product",' + whole % '"call"' + "}", "bad value", None), "list": ("[1]", "bad value", None), "number": ("3", "bad value", None),
+        "kindless": ("{" + whole % "5" + "}", "missing key", None), "object kind": ('{"@type":{},' + whole % "5" + "}", "unknown type", None),
+        "bike": ('{"@type":"Motorcycle",' + whole % "5" + "}", "missing key", None), "car": ('{"@type":"Car"}', "unknown type", None),
+        "two": ('{"@type":"Product"}, {}', "not JSON", None), "empty": ("", "not JSON", None),
+    }
+    rows = [(k, f'<script type="application/ld+json">{doc}</script>') for k, (doc, _, _) in docs.items()] + [("none", "<p>")]
+    found = pages.listing_records(spark.createDataFrame(rows, "url string, html string"), ["url"])
+    want = {k: (reason, price) for k, (_, reason, price) in docs.items()} | {"none": ("no script", None)}
+    assert {r.url: (r.reject_reason, r.Price) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$['@type']") == 2 and plan.count("$.offers.price,") == 2
