@@ -8,6 +8,7 @@ frequent shingles of the corpus last and differ by seeded hashes among equals; w
 Texts with equal sets are one node. A first round tests each node of a prefix list against the list's least node, which joins
 groups of near copies without listing their pairs; a second round tests every pair of a list that is not yet in
 one component and may be similar by its sizes and parities. So no link between components is missed and no pair inside a component of copies is spelled out.
+A pair that stands in many lists is made in few of them: a list leaves it to an earlier one if it sees among the last ``EARLIER`` lists of each node one of both.
 
 Words are lower-case (A-Z) runs of non-blanks; a set holds the distinct shingles of ``width`` words (3 unless asked for), or the
 whole sequence if there are fewer words.
@@ -22,7 +23,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.links import components
@@ -39,6 +40,8 @@ SEEDS = (0x51F2C3, 0xA7719B, 0x3D08E5)
 PARITY_SEED = 0x6E1D27
 #: Ids of texts to verify that are sent to all tasks; more are joined by shuffle.
 BROADCAST_IDS = 500_000
+#: Lists that a node was in before this one, which an entry of a list carries.
+EARLIER = 8
 
 
 def shingles(text: bytes, known: WordHashes, width: int = WIDTH) -> np.ndarray:
@@ -171,6 +174,22 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, least: int =
     return held.mapInArrow(similar, "a bigint, b bigint").distinct()
 
 
+def with_earlier(some: DataFrame) -> DataFrame:
+    """Entries (t, d) of lists with the last ``EARLIER`` lists before t that d is in."""
+    before = F.collect_list("t").over(Window.partitionBy("d").orderBy("t").rowsBetween(-EARLIER, -1))
+    return some.withColumn("before", before).withColumn("before", F.array_remove("before", F.col("t")))  # sets of one id may share t
+
+
+def apart_pairs(some: DataFrame, least: int = LEAST) -> DataFrame:
+    """Pairs (a, b) of one list that have different components and may be similar. A list does not make a pair if both entries carry
+    one earlier list: that one has the pair too, whatever its main component is, because one of the two is not of it. The first list
+    of both leaves it to none."""
+    other = some.filter("c <> main").select(*[F.col(x).alias(f"{x}1") for x in ("t", "d", "c", "n", "odd", "before")])
+    apart = F.expr("c <> c1 and (c = main or d1 < d)") & may_be_similar("n", "odd", "n1", "odd1", least)
+    pairs = other.join(some, (F.col("t1") == F.col("t")) & apart & ~F.arrays_overlap("before", "before1"))
+    return pairs.select(F.least("d", "d1").alias("a"), F.greatest("d", "d1").alias("b"))
+
+
 def join(docs: DataFrame, ranks: np.ndarray | None = None, width: int = WIDTH, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row. Sets of ``width`` words; links from a similarity of ``least`` hundredths."""
     ranks = frequency_ranks(docs, width=width) if ranks is None else ranks
@@ -196,11 +215,8 @@ def join(docs: DataFrame, ranks: np.ndarray | None = None, width: int = WIDTH, l
     open_ = known.join(split, "t").filter("d <> hub")
     main = open_.groupBy("t").agg(F.mode("c", True).alias("main"))
     size = nodes.select(F.col("doc_id").alias("d"), "n", "odd")
-    some = stage(open_.join(main, "t").join(size, "d").select("t", "d", "c", "main", "n", "odd"), "open-lists")
-    other = some.filter("c <> main").select("t", *[F.col(x).alias(f"{x}1") for x in ("d", "c", "n", "odd")])
-    apart = F.expr("c <> c1 and (c = main or d1 < d)") & may_be_similar("n", "odd", "n1", "odd1", least)
-    pairs = other.withColumnRenamed("t", "t1").join(some, (F.col("t1") == F.col("t")) & apart)
-    second = pairs.select(F.least("d", "d1").alias("a"), F.greatest("d", "d1").alias("b")).distinct()
+    some = stage(with_earlier(open_.join(main, "t").join(size, "d").select("t", "d", "c", "main", "n", "odd")), "open-lists")
+    second = apart_pairs(some, least).distinct()
     more = stage(verified(filtered(second, nodes, least), docs, width, least), "links-2")
 
     # rows that repeat an id with other words link that id's sets

@@ -216,3 +216,16 @@ def test_blockwise_scores_are_viterbi():
     best = model.start[path[0]] + e[0, path[0]] + sum(model.move[a, b] + e[k + 1, b] for k, (a, b) in enumerate(zip(path, path[1:])))
     chained = model.through(e[:5], True)[0][:, None] + model.through(e[5:], False)
     assert chained.max() == pytest.approx(best)
+
+
+def test_jaccard_makes_a_pair_of_many_lists_once(spark, monkeypatch):
+    """Four nodes in 60 lists, two of one component; one list is the hub's own. Without a look at earlier lists there would be a row per list and pair."""
+    lists = {1: range(60), 2: range(60), 3: range(0, 60, 2), 4: range(1, 60, 3), 5: [7]}
+    part = {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    rows = [(t, d, part[d], 1 if t % 2 else 3, 100, [0, 0, 0, 0]) for d, own in lists.items() for t in own]
+    some = spark.createDataFrame(rows, "t long, d long, c long, main long, n long, odd array<long>")
+    wanted = {(a, b) for a in lists for b in lists if a < b and part[a] != part[b] and set(lists[a]) & set(lists[b])}
+    got = [tuple(r) for r in jaccard.apart_pairs(jaccard.with_earlier(some)).collect()]
+    assert set(got) == wanted and len(got) <= 2 * len(wanted)
+    monkeypatch.setattr(jaccard, "EARLIER", 1)
+    assert {tuple(r) for r in jaccard.apart_pairs(jaccard.with_earlier(some.union(some))).collect()} == wanted
