@@ -8,7 +8,8 @@ looks ids up in a literal array of byte strings (Latin-1 characters stand for by
 of a text are then put together.
 
 No shuffle: texts go through a task in blocks of some ``BLOCK_BYTES`` (or one longer text). A block is a row of the pieces that are
-new to the task and the places of all its pieces; after the fold the same task puts the ids of its texts together. Null texts count as empty, with no tokens; repeated rows are encoded each; other columns are left alone."""
+new to the task and the places of all its pieces; after the fold the same task puts the ids of its texts together. Where there are many texts, the pieces of
+some ``SAMPLE_TEXTS`` of them are folded first and sent to all tasks, which fold only what is new to them: this saves work and is no part of what is right. Null texts count as empty, with no tokens; repeated rows are encoded each; other columns are left alone."""
 
 from __future__ import annotations
 
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.blocks import cut
+from mercato.sources.tables import stage, unstage
 
 BLOCK_BYTES, BLOCK_TEXTS = 2_000_000, 2_048
 #: A task forgets the pieces that it has met when it knows more than these.
 MOST_PIECES = 1_000_000
+#: Texts whose pieces are folded beforehand (where there are four times as many), and how many of these pieces at most; longer ones are left to the tasks.
+SAMPLE_TEXTS, SAMPLE_PIECES, SAMPLE_BYTES = 10_000, 400_000, 64
 SPAN = 4_096
 #: Parts up to which a step may look at all of them; pairs of one rank that are joined in one step beyond.
 SHORT, MANY = 256, 64
@@ -82,6 +87,13 @@ class Literals:
     early: Column
 
 
+class Cutter:
+    """What tasks need of a tokenizer to cut texts."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.pattern, self.byte_ids, self.whole = tokenizer.pattern, tokenizer.byte_ids, tokenizer.whole
+
+
 class Tokenizer:
     """The literals and the fold for one table of ranks."""
 
@@ -204,41 +216,113 @@ def _merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[x] for x in parts]
 
 
-def encoded(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+def starts_of(words: list[bytes], tokenizer: Cutter) -> pa.ListArray:
+    """What the fold starts with: the ids of the bytes of each piece, or the token that merges do not reach."""
+    values, starts = tokenizer.byte_ids[np.frombuffer(b"".join(words), np.uint8)], np.cumsum([0, *map(len, words)])
+    if tokenizer.whole:
+        whole = tokenizer.whole
+        return pa.array([[whole[w]] if w in whole else values[a:z].tolist() for w, a, z in zip(words, starts, starts[1:])], pa.list_(pa.int64()))
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, pa.int64()))
+
+
+class Known(NamedTuple):
+    """Pieces that are folded already: how many bytes and tokens each has, all bytes and all ids behind one another. Broadcast as a plain
+    tuple: executors have no copy of this class."""
+
+    sizes: np.ndarray
+    lengths: np.ndarray
+    text: bytes
+    values: np.ndarray
+
+
+def places_of(sizes: np.ndarray, text: bytes) -> dict[str, int]:
+    ends = np.cumsum(sizes).tolist()
+    return {text[a:z].decode(): k for k, (a, z) in enumerate(zip([0, *ends], ends))}
+
+
+def known_pieces(docs: DataFrame, tokenizer: Tokenizer, texts: int = SAMPLE_TEXTS) -> Known:
+    """The folded pieces of about so many texts, of each bucket of pieces no more than its share of ``SAMPLE_PIECES``; none where texts are few."""
+    none = Known(np.empty(0, np.int64), np.empty(0, np.int64), b"", np.empty(0, "<i4"))
+    share = docs.count() // texts
+    if share < 4:
+        return none
+    cutter, buckets = Cutter(tokenizer), 16
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pattern, found = regex.compile(cutter.pattern), set()
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                if len(found) < MOST_PIECES:
+                    found.update(pattern.findall(text or ""))
+        words = [w for x in found if len(w := x.encode()) <= SAMPLE_BYTES]
+        for k in range(0, len(words), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array(words[k : k + 20_000], pa.binary())], ["piece"])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = SAMPLE_PIECES // buckets
+        for batch in batches:
+            words = batch["piece"].to_pylist()[:left]
+            left -= len(words)
+            for k in range(0, len(words), 5_000):
+                some = words[k : k + 5_000]
+                inner = starts_of(some, cutter)
+                pieces = pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)
+                sizes = np.array([*map(len, some)], "<i4").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([sizes], pa.binary()), pa.array([b"".join(some)], pa.binary()), pieces], ["sizes", "text", "pieces"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = [b["tokens"][k].values for k in range(b.num_rows)]
+            lengths = [np.diff(x.offsets.to_numpy()).astype("<i4").tobytes() for x in lists]
+            ids = [x.flatten().to_numpy().astype("<i4").tobytes() for x in lists]
+            yield pa.RecordBatch.from_arrays([b["sizes"], b["text"], pa.array(lengths, pa.binary()), pa.array(ids, pa.binary())], ["sizes", "text", "lengths", "ids"])
+
+    some = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+    # no more rows of a piece than tasks; those of most tasks first
+    pieces = some.mapInArrow(met, "piece binary").groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    pieces = pieces.repartition(buckets, "piece").sortWithinPartitions(F.desc("n")).select("piece")
+    # stored, so that the plan that holds the literals has no exchange and is made once
+    starts = stage(pieces.mapInArrow(listed, "sizes binary, text binary, pieces array<array<bigint>>"), "known-pieces")
+    folded = starts.select("sizes", "text", tokenizer.encode(F.col("pieces")).alias("tokens"))
+    rows = folded.mapInArrow(packed, "sizes binary, text binary, lengths binary, ids binary").collect()  # some MB
+    unstage(starts)
+    numbers = lambda name: np.frombuffer(b"".join(r[name] for r in rows), "<i4")
+    return Known(numbers("sizes"), numbers("lengths"), b"".join(bytes(r["text"]) for r in rows), numbers("ids"))
+
+
+def encoded(docs: DataFrame, tokenizer: Tokenizer, sample: int = SAMPLE_TEXTS) -> DataFrame:
     """(doc_id, ids binary of little-endian 32-bit integers, decoded binary), one row per row."""
-    find, byte_ids, whole = tokenizer.pattern, tokenizer.byte_ids, tokenizer.whole
+    cutter = Cutter(tokenizer)
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(known_pieces(docs, tokenizer, sample)))  # of a bounded size
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = regex.compile(find)
-        place: dict[str, int] = {}
+        pattern = regex.compile(cutter.pattern)
+        sizes, _, known_text, _ = sent.value
+        known = places_of(sizes, known_text)
+        place = known.copy()
         for batch in batches:
             for b in cut(batch, "text", BLOCK_BYTES, BLOCK_TEXTS):
                 if len(place) > MOST_PIECES:
-                    place = {}
+                    place = known.copy()
                 before = len(place)
                 found, ends = array("i"), []
                 for text in b["text"].to_pylist():
                     found.extend([place.setdefault(x, len(place)) for x in pattern.findall(text or "")])
                     ends.append(len(found))
                 words = [x.encode() for x in islice(place, before, None)]
-                values = byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-                starts = np.cumsum([0, *map(len, words)])
-                if whole:
-                    words = [[whole[w]] if w in whole else values[a:z].tolist() for w, a, z in zip(words, starts, starts[1:])]
-                    inner = pa.array(words, pa.list_(pa.int64()))
-                else:
-                    inner = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, pa.int64()))
+                inner = starts_of(words, cutter)
                 row = [[b["doc_id"].to_pylist()], [ends], [found.tobytes()], [before]]
                 kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int64())
                 new = pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)
                 yield pa.RecordBatch.from_arrays([*map(pa.array, row, kinds), new], ["doc_ids", "ends", "places", "before", "pieces"])
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, length = np.empty(0, "<i4"), np.empty(0, np.int64)
+        _, lengths, _, ids = sent.value
+        values, length = ids, lengths.astype(np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
-                if batch["before"][k].as_py() == 0:
-                    values, length = values[:0], length[:0]
+                if batch["before"][k].as_py() == len(lengths):
+                    values, length = ids, lengths.astype(np.int64)
                 if batch["before"][k].as_py() != len(length):
                     raise RuntimeError("blocks of a task came out of order")
                 tokens = batch["tokens"][k].values

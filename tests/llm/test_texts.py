@@ -1,11 +1,13 @@
 """Operators on single texts against plain versions, and on odd rows."""
 
+import pickle
 import struct
 from hashlib import sha256
 from math import comb, log10
 from zlib import crc32
 
 import numpy as np
+import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -272,3 +274,19 @@ def test_long_unbroken_words(spark):
         ids = plain.encode_ordinary(text)
         assert got[k].ids == struct.pack(f"<{len(ids)}I", *ids), text[:20]
         assert got[k].decoded == text.encode()
+
+
+def test_pieces_folded_beforehand_change_nothing(spark, odd):
+    t, ranks = tokenizer(), bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    rows = [(k, f"word{k % 9} andthen{k % 5} lollipop{k} d'll  \n ünd 🙂{k % 3} " + "z" * (k * 9)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
+    known = bpe.known_pieces(docs, t, 10)
+    assert b"mercato" not in pickle.dumps(tuple(known))  # executors have no copy of the library
+    places, ends = bpe.places_of(known.sizes, known.text), np.cumsum(known.lengths)
+    assert len(places) == len(known.sizes) == len(known.lengths) > 5 and max(known.sizes) <= bpe.SAMPLE_BYTES
+    for piece, k in places.items():
+        word = piece.encode()
+        assert known.values[ends[k] - known.lengths[k] : ends[k]].tolist() == ([t.whole[word]] if word in t.whole else bpe._merged(word, ranks))
+    assert len(bpe.known_pieces(docs, t, 100).sizes) == 0  # few texts
+    with_it = sorted(map(str, bpe.encoded(docs, t, 10).select("doc_id", "ids", "decoded").collect()))
+    assert with_it == sorted(map(str, bpe.encoded(docs, t, 10**9).select("doc_id", "ids", "decoded").collect()))
