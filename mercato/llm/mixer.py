@@ -14,19 +14,20 @@ The bits add up to the bits of the text, given as a logarithm to base 10 and as
 Words are counted over all training texts, those whose crc32 of the id modulo 5 is not 1; a null id is neither held out nor
 learned from. What a word costs as a new one does not depend on the text, so each distinct word is costed once: blocks of texts (see blocks.py) send their distinct words
 to buckets (by their first ``PREFIX`` bytes, so that a bucket has all words that share longer beginnings), buckets count, learn and cost, and answer the
-blocks, which go through their texts word by word. In learning, an occurrence is predicted by counts without itself.
+blocks, which go through the occurrences of their words, numbered when they asked, word by word. In learning, an occurrence is predicted by counts without itself.
 Null and empty texts are one end. Repeated rows are counted and scored each. With nothing to learn from all counts are 0."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -143,20 +144,28 @@ class Model:
     def inputs(self, b: Bits, without: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Log odds of the counters (and 0.3), and the gate of each bit; ``without``: leave out one occurrence of the bit itself."""
         zero, one = np.empty((2, len(ORDERS) + 1, len(b.bit)), np.float32)
-        zero[:-1], one[:-1] = self.counts[0][b.slots], self.counts[1][b.slots]
+        for k, slots in enumerate(b.slots):
+            self.counts[0].take(slots, out=zero[k], mode="clip")  # slots are in range; anything else than "clip" would copy once more
+            self.counts[1].take(slots, out=one[k], mode="clip")
         one[-1] = np.where(b.bit == 1, b.went, b.seen - b.went)
         zero[-1] = b.seen - one[-1]
         if without:
             one, zero = np.maximum(one - b.bit, 0), np.maximum(zero - (1 - b.bit), 0)
         odds = np.log((one + FEW) / (zero + FEW))
-        top = ((zero + one > 0) * np.arange(1, len(ORDERS) + 2)[:, None]).max(0)
-        at = np.maximum(top - 1, 0), np.arange(len(b.bit))
-        size = np.digitize(zero[at] + one[at], (3, 20, 300))
+        both, top = zero + one, np.zeros(len(b.bit), np.int64)
+        seen = both[0].copy()
+        for k, n in enumerate(both, 1):
+            top[n > 0] = k
+            np.copyto(seen, n, where=n > 0)
+        size = (seen >= 3).astype(np.int64) + (seen >= 20) + (seen >= 300)
         gate = (top * 4 + size) * 8 + np.tile(np.arange(8), len(b.bit) // 8)
         return np.vstack([odds, np.full(len(b.bit), 0.3, odds.dtype)]), gate
 
     def mix(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("kn,nk->n", odds, self.weights[gate]), -12, 12)
+        total = np.zeros(len(gate))
+        for own, weights in zip(odds, np.ascontiguousarray(self.weights.T)):
+            total += own * weights[gate]
+        return np.clip(total, -12, 12)
 
     def learn(self, b: Bits, times: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step for some words; ``steps``: squares of the gradients so far (AdaGrad). Returns its inputs."""
@@ -184,24 +193,53 @@ def bin_of(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """The words of a block: its distinct ones in the order of their buckets, and all occurrences, text behind text."""
+    """The words of a block: its distinct ones in the order of their buckets, and all occurrences, text behind text. What goes along
+    the texts needs the last three only."""
 
     distinct: list[bytes]
     bucket: np.ndarray
+    hashes: np.ndarray  # of the distinct ones, below BEFORE
     at: np.ndarray  # place among the distinct ones
     size: np.ndarray  # words of each text
 
+    def packed(self, block: pa.RecordBatch) -> bytes:
+        """The occurrences, and what is told of each text, without the texts."""
+        n_bytes = np.array([len(x) for x in payloads(block["text"])], np.uint64)
+        rows = pa.RecordBatch.from_arrays([block["doc_id"], block["held_out"]], ["doc_id", "held_out"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_batch(rows)
+        numbers = [pack_any(x.astype(np.uint64)) for x in (n_bytes, self.size, self.hashes, self.at)]
+        return pickle.dumps([zstandard.ZstdCompressor(level=1).compress(sink.getvalue()), *numbers])
+
+    @staticmethod
+    def unpacked(data: bytes) -> tuple[pa.RecordBatch, np.ndarray, Words]:
+        rows, *numbers = pickle.loads(data)
+        n_bytes, size, hashes, at = (unpack_any(x).astype(np.int64) for x in numbers)
+        return unpack(rows), n_bytes, Words([], np.empty(0, np.int64), hashes, at, size)
+
 
 def block_words(batch: pa.RecordBatch, bits: int) -> Words:
-    texts = [x.lower().split() for x in payloads(batch["text"])]
-    distinct = list(dict.fromkeys(chain.from_iterable(texts)))
-    bucket = np.fromiter((crc32(coded(w)[:PREFIX]) for w in distinct), np.int64, len(distinct)) & ((1 << bits) - 1)
-    order = np.argsort(bucket, kind="stable").tolist()
-    distinct = [distinct[k] for k in order]
-    place = {w: k for k, w in enumerate(distinct)}
-    size = np.array([len(x) for x in texts], np.int64)
-    at = np.fromiter(map(place.__getitem__, chain.from_iterable(texts)), np.int64, int(size.sum()))
-    return Words(distinct, bucket[order], at, size)
+    texts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch["text"].cast(pa.large_string()), "")))
+    found, text = texts.flatten(), pc.list_parent_indices(texts).to_numpy()
+    some = pc.not_equal(pc.binary_length(found), 0)  # empty beside blanks at an end, or a text without words
+    size = np.bincount(text[some.to_numpy(zero_copy_only=False)], minlength=len(texts))
+    coded_words = found.filter(some).dictionary_encode()
+    distinct = coded_words.dictionary.cast(pa.large_binary()).to_pylist()
+    bucket = first_bytes(distinct) & ((1 << bits) - 1)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    distinct = [distinct[k] for k in order.tolist()]
+    hashes = np.fromiter(map(crc32, distinct), np.int64, len(distinct)) & (BEFORE - 1)
+    return Words(distinct, bucket[order], hashes, place[coded_words.indices.to_numpy()], size)
+
+
+def first_bytes(words: list[bytes]) -> np.ndarray:
+    """crc32 of the first ``PREFIX`` bytes of words as they are coded, taken once of each."""
+    begun = [coded(w[:PREFIX])[:PREFIX] for w in words]
+    known = {x: crc32(x) for x in set(begun)}
+    return np.fromiter(map(known.__getitem__, begun), np.int64, len(begun))
 
 
 @dataclass
@@ -227,7 +265,7 @@ def repeats(words: Words) -> Repeats:
     place = np.arange(n) - first[text]
     # text and word, and behind them the place: sorting numbers is faster than sorting places by them
     low = max(1, n.bit_length())
-    key = np.sort(((text * max(1, len(words.distinct)) + words.at) << low) | np.arange(n))
+    key = np.sort(((text * max(1, len(words.hashes)) + words.at) << low) | np.arange(n))
     order, key = key & ((1 << low) - 1), key >> low
     opens = np.ones(n, bool)
     opens[1:] = key[1:] != key[:-1]
@@ -240,9 +278,8 @@ def repeats(words: Words) -> Repeats:
     last = np.zeros(n, np.int64)
     for k in (1, 2, 3):
         last[k:] |= np.where(place[k:] >= k, had[:-k], 0) << (k - 1)
-    hashes = np.fromiter(map(crc32, words.distinct), np.int64, len(words.distinct)) & (BEFORE - 1)
     previous = np.zeros(n, np.int64)
-    previous[1:] = np.where(place[1:] > 0, hashes[words.at[:-1]], 0) if n else 0
+    previous[1:] = np.where(place[1:] > 0, words.hashes[words.at[:-1]], 0) if n else 0
     step = np.minimum(np.floor(np.log2(place + 1)).astype(np.int64), PLACE_STEPS - 1)
     return Repeats(text, place, times, before, np.stack([step * 8 + last, PLACE_STEPS * 8 + previous]))
 
@@ -426,19 +463,19 @@ def fitted(vocabulary: DataFrame, ends: int) -> tuple[Model, Broadcast]:
     return model, sent
 
 
-ASKED = "bucket bigint, block bigint, words binary, times binary, cell bigint, no double, yes double"
+ASKED = "bucket bigint, block bigint, words binary, times binary, cell bigint, no double, yes double, body binary"
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
 
 
 def asked(stored: DataFrame, bits: int) -> DataFrame:
     """What blocks ask buckets about (their distinct words with their training counts), and per task what it learned about "had already" (cell: of the counts,
-    or behind them of the weights, as sums over the words that a gate had), stored."""
+    or behind them of the weights, as sums over the words that a gate had), and per block the occurrences of its words (body), stored."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         had = Had(np.zeros((2, HAD_CELLS)), np.full((PLACE_STEPS, HAD_INPUTS), 0.3))
         steps, used = np.full(had.weights.shape, 1e-4), np.zeros(PLACE_STEPS)
-        names = ["bucket", "block", "words", "times", "cell", "no", "yes"]
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.float64())
+        names = ["bucket", "block", "words", "times", "cell", "no", "yes", "body"]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
 
         def rows(*columns: list) -> pa.RecordBatch:
             n = max(len(c) for c in columns)
@@ -452,11 +489,12 @@ def asked(stored: DataFrame, bits: int) -> DataFrame:
                 had.learn(repeats(words), learned, steps, used)
                 cuts = list(spans(words.bucket))
                 if cuts:
-                    yield rows([k for k, _, _ in cuts], [block] * len(cuts), [pack_words(words.distinct[a:z]) for _, a, z in cuts], [pack_any(times[a:z]) for _, a, z in cuts], [], [], [])
+                    yield rows([k for k, _, _ in cuts], [block] * len(cuts), [pack_words(words.distinct[a:z]) for _, a, z in cuts], [pack_any(times[a:z]) for _, a, z in cuts], [], [], [], [])
+                yield rows([], [block], [], [], [], [], [], [words.packed(own)])
         some = np.flatnonzero(had.counts.any(0)).tolist()
         cells = some + [HAD_CELLS + k for k in range(had.weights.size)]
         gate = np.repeat(used, HAD_INPUTS)
-        yield rows([], [], [], [], cells, [*had.counts[0][some].tolist(), *gate.tolist()], [*had.counts[1][some].tolist(), *(had.weights.ravel() * gate).tolist()])
+        yield rows([], [], [], [], cells, [*had.counts[0][some].tolist(), *gate.tolist()], [*had.counts[1][some].tolist(), *(had.weights.ravel() * gate).tolist()], [])
 
     return stage(stored.mapInArrow(ask, ASKED), "mixer-words")
 
@@ -502,8 +540,7 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         return pa.Table.from_pandas(pd.DataFrame(out, columns=["block", "bucket", "times", "value"]), preserve_index=False)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = unpack(left["content"][0].as_py())
-        words = block_words(own, bits)
+        own, n_bytes, words = Words.unpacked(left["body"][0].as_py())
         heard = sorted(zip(right["bucket"].to_pylist(), right["times"].to_pylist(), right["value"].to_pylist()))
         times = np.concatenate([unpack_any(x[1]) for x in heard]) if heard else np.empty(0, np.uint64)
         value = np.concatenate([np.frombuffer(x[2], "<f4") for x in heard]).astype(np.float64) if heard else np.empty(0)
@@ -512,7 +549,6 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         size, r = words.size, repeats(words)
         known = np.bincount(r.text, times[words.at] > 0, len(size)) + (ends > 0)
         total = had.log10(r, words, value, end)
-        n_bytes = np.array([len(x) for x in payloads(own["text"])])
         whole = lambda x: pa.array(x.astype(np.int64))
         columns = [own["doc_id"], own["held_out"], whole(size + 1), whole(known), whole(np.full(len(size), tokens)),
                    pa.array(np.bincount(r.text, base[words.at], len(size)) + last), pa.array(total), pa.array(-total / np.log10(2) / np.maximum(n_bytes, 1))]
@@ -520,4 +556,5 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     answers = own_words.select("bucket", "block", "words").groupBy("bucket").cogroup(vocabulary.select("bucket", "words", "times").groupBy("bucket"))
     answers = answers.applyInArrow(answer, "block bigint, bucket bigint, times binary, value binary")
-    return stored.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORED)
+    bodies = told.filter("body IS NOT NULL").select("block", "body")
+    return bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORED)

@@ -140,3 +140,26 @@ def test_what_repeats_costs_less_and_order_counts(spark):
     assert got[1000].score > got[1001].score + 20
     assert sum(got[k].score for k in held) / sum(got[k].n_tokens for k in held) > -2
     assert got[held[0]].bits_per_byte == pytest.approx(-got[held[0]].score * math.log2(10) / len(dict(rows)[held[0]]))
+
+
+def test_words_of_a_block_are_numbered_once():
+    import pyarrow as pa
+
+    texts = [None, "", " ", "\n", "a  B a\tb\x0b\x0c", " Ä x\x1cy \x85 y ÄA\xa0z", "x" * 20 + " xxxxy xxxx", "b"]
+    block = pa.RecordBatch.from_pydict({"doc_id": pa.array([*range(7), None], pa.int64()), "held_out": [k % 2 == 0 for k in range(8)], "text": texts}).slice(1)
+    words = mixer.block_words(block, 3)
+    plain = [(x or "").encode().lower().split() for x in texts[1:]]
+    assert [words.distinct[k] for k in words.at] == [w for x in plain for w in x] and words.size.tolist() == [len(x) for x in plain]
+    assert len(set(words.distinct)) == len(words.distinct) and sorted(words.bucket.tolist()) == words.bucket.tolist()
+    assert words.bucket.tolist() == [mixer.crc32(mixer.coded(w)[: mixer.PREFIX]) & 7 for w in words.distinct]
+    rows, n_bytes, again = mixer.Words.unpacked(words.packed(block))
+    assert rows["doc_id"].to_pylist() == block["doc_id"].to_pylist() and n_bytes.tolist() == [len((x or "").encode()) for x in texts[1:]]
+    for x, y in zip(vars(mixer.repeats(words)).values(), vars(mixer.repeats(again)).values()):
+        assert np.array_equal(x, y)
+
+
+def test_mixer_reads_texts_once(spark, monkeypatch):
+    """Texts are cut into words when blocks ask, and not again for their scores."""
+    docs = spark.createDataFrame([(k, f"a b c{k % 7} a") for k in range(40)], "doc_id long, text string")
+    plan = mixer.score(docs, 200)._jdf.queryExecution().optimizedPlan().toString()
+    assert "content" not in plan and "body" in plan
