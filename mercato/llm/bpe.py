@@ -2,10 +2,11 @@
 
 Texts are cut by the tokenizer's pattern; a task encodes each distinct piece that it meets once. A piece starts
 as the array of its bytes (their ids); a fold joins, step by step, the adjacent pair with the least rank, the leftmost of
-equals (all of them where they are many, as in long runs without a blank), until no pair has a rank. The rank map is a literal: from the ids of two neighbours to the rank, which is the id,
-of what they make, kept as one array by row displacement (Spark's own maps are searched entry by entry). Decoding
-looks ids up in a literal array of byte strings (Latin-1 characters stand for bytes there) and joins them to the binary of a piece; the pieces
-of a text are then put together.
+equals (all of them where they are many, as in long runs without a blank), until no pair has a rank. The rank map: from the ids of two neighbours to the rank, which is the id,
+of what they make, kept as one array by row displacement (Spark's own maps are searched entry by entry). It is broadcast once, and stands beside the pieces of a block as an array column: no plan
+holds it. Decoding looks the ids of a text up in the tokens' bytes (Arrow's ``take``) and joins them.
+
+Texts are looked up by what stands between blanks, where the pattern allows that (``SPACED``); what is new there is cut by the pattern.
 
 No shuffle: texts go through a task in blocks of some ``BLOCK_BYTES`` (or one longer text). A block is a row of the pieces that are
 new to the task and the places of all its pieces; after the fold the same task puts the ids of its texts together. Where there are many texts, the pieces of
@@ -14,11 +15,9 @@ some ``SAMPLE_TEXTS`` of them are folded first and sent to all tasks, which fold
 from __future__ import annotations
 
 import base64
-import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
 from pathlib import Path
 from typing import NamedTuple
 
@@ -29,10 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.blocks import cut
-from mercato.sources.tables import stage, unstage
+from mercato.llm.text import release
 
 BLOCK_BYTES, BLOCK_TEXTS = 2_000_000, 2_048
-#: A task forgets the pieces that it has met when it knows more than these.
+#: A pattern of which a piece begins at each space before anything but white space, whatever stands around, and that leaves any of its pieces
+#: whole where it stands alone.
+SPACED = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A task forgets the pieces, and words of several, that it has met when it knows more than these.
 MOST_PIECES = 1_000_000
 #: Texts whose pieces are folded beforehand (where there are four times as many), and how many of these pieces at most; longer ones are left to the tasks.
 SAMPLE_TEXTS, SAMPLE_PIECES, SAMPLE_BYTES = 10_000, 400_000, 64
@@ -49,7 +51,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
-def displaced(rows: dict[int, dict[int, int]]) -> tuple[list[int], list[int]]:
+def displaced(rows: dict[int, dict[int, int]]) -> tuple[list[int], np.ndarray]:
     """A sparse table in one array by row displacement: row ``a`` is laid over the array from place ``shift[a]`` on, where its
     entries fall on free places. Entry: a * NONE + value, or EMPTY. Long rows are laid first."""
     shift = [0] * (max(rows, default=0) + 1)
@@ -70,7 +72,7 @@ def displaced(rows: dict[int, dict[int, int]]) -> tuple[list[int], list[int]]:
         taken[fits[0] + cols] = True
         table[fits[0] + cols] = a * NONE + np.array([row[c] for c in cols.tolist()], np.int64)
         first += int(np.argmin(taken[first:]))
-    return shift, table[: int(np.flatnonzero(taken).max(initial=0)) + 1].tolist()
+    return shift, table[: int(np.flatnonzero(taken).max(initial=0)) + 1].copy()
 
 
 def let(value: Column, body) -> Column:
@@ -79,7 +81,7 @@ def let(value: Column, body) -> Column:
 
 
 @dataclass(frozen=True)
-class Literals:
+class Ranks:
     """The rank map as one array and the place of each row in it; tokens of which all pairs cannot be joined at once."""
 
     table: Column
@@ -87,6 +89,10 @@ class Literals:
     early: Column
 
 
+#: The columns of ``Ranks`` beside the pieces of a block.
+RANKS = "table array<bigint>, shift array<bigint>, early array<bigint>"
+
+
 class Cutter:
     """What tasks need of a tokenizer to cut texts."""
 
@@ -95,7 +101,7 @@ class Cutter:
 
 
 class Tokenizer:
-    """The literals and the fold for one table of ranks."""
+    """The arrays and the fold for one table of ranks."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = pattern
@@ -109,32 +115,31 @@ class Tokenizer:
         #: Tokens that merges alone do not reach; a piece equal to one is that token.
         self.whole = {x: r for x, r in ranks.items() if _merged(x, ranks) != [r]}
         shift, table = displaced(pairs)
-        names = [""] * (max(ranks.values(), default=0) + 1)
+        names = [b""] * (max(ranks.values(), default=0) + 1)
         for piece, rank in ranks.items():
-            names[rank] = piece.decode("latin-1")
-        shift += [len(table)] * (len(names) - len(shift))
-        self._shift = F.from_json(F.lit(json.dumps(shift)), "array<bigint>")
-        self._table = F.from_json(F.lit(json.dumps(table)), "array<bigint>")
-        self._names = F.from_json(F.lit(json.dumps(names)), "array<string>")
+            names[rank] = piece
+        #: The bytes of the tokens, behind one another, and how many each has.
+        self.names, self.name_sizes = b"".join(names), np.array([*map(len, names)], np.int32)
         #: Tokens that make a pair of lower rank than their own: all pairs of their rank cannot be joined at once.
         early = {x for a, row in pairs.items() for b, rank in row.items() for x in (a, b) if rank < x}
-        self._early = F.from_json(F.lit(json.dumps(sorted(early))), "array<bigint>")
+        shift += [len(table)] * (len(names) - len(shift))
+        #: By the names of ``RANKS``.
+        self.arrays = (table, np.array(shift, np.int64), np.array(sorted(early), np.int64))
 
     @staticmethod
-    def rank(t: Literals, a: Column, b: Column) -> Column:
+    def rank(t: Ranks, a: Column, b: Column) -> Column:
         """Rank, which is the id, of the token that two neighbours make; NONE or more if they make none, NULL if there is no second."""
         return F.get(t.table, F.get(t.shift, a) + b).bitwiseXOR(F.shiftleft(a, 17))
 
     def encode(self, pieces: Column) -> Column:
-        """array<array<bigint>> of pieces, each given as the ids (bigint) of its bytes. The literals are bound once, so that a plan holds
-        each of them once."""
+        """array<array<bigint>> of pieces, each given as the ids (bigint) of its bytes, in rows that hold the columns of ``RANKS``; these are bound once a row."""
 
-        def each(t: Literals) -> Column:
+        def each(t: Ranks) -> Column:
             return F.transform(pieces, lambda ids: F.when(F.size(ids) <= SHORT, self.encode_short(t, ids)).otherwise(self.encode_long(t, ids)))
 
-        return let(self._table, lambda table: let(self._shift, lambda shift: let(self._early, lambda early: each(Literals(table, shift, early)))))
+        return let(F.col("table"), lambda table: let(F.col("shift"), lambda shift: let(F.col("early"), lambda early: each(Ranks(table, shift, early)))))
 
-    def encode_short(self, t: Literals, ids: Column) -> Column:
+    def encode_short(self, t: Ranks, ids: Column) -> Column:
         """A fold over the parts of a piece, whose ranks are looked up anew in each step: least work per step for a few parts."""
 
         def joined(parts: Column, place: Column, made: Column) -> Column:
@@ -156,7 +161,7 @@ class Tokenizer:
         start = F.struct(ids.alias("parts"), (F.size(ids) < 2).alias("done"))
         return F.aggregate(ids, start, step, lambda s: s["parts"])
 
-    def encode_long(self, t: Literals, ids: Column) -> Column:
+    def encode_long(self, t: Ranks, ids: Column) -> Column:
         """The state of the fold is the parts and the rank of each with its next;
         a step cuts both arrays at the pair of least rank and looks two new ranks up, so it moves memory but computes nothing
         for the other parts. Where the least rank is that of ``MANY`` pairs or more, a step joins all of them, from the left."""
@@ -199,10 +204,6 @@ class Tokenizer:
 
         return F.aggregate(ids, state(ids, all_ranks(ids)), step, lambda s: s["parts"])
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of the ids, as binary."""
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self._names, i)), ""), "ISO-8859-1")
-
 
 def _merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     parts = [piece[k : k + 1] for k in range(len(piece))]
@@ -235,11 +236,106 @@ class Known(NamedTuple):
     values: np.ndarray
 
 
+def binaries(data: bytes | pa.Buffer, ends: np.ndarray) -> pa.BinaryArray:
+    """Byte strings that lie behind one another; ``ends`` begins with 0."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
 def places_of(sizes: np.ndarray, text: bytes) -> dict[str, int]:
     ends = np.cumsum(sizes).tolist()
     return {text[a:z].decode(): k for k, (a, z) in enumerate(zip([0, *ends], ends))}
 
 
+class Blank(Exception):
+    """A word that white space begins: the space before it begins no piece by itself."""
+
+
+class Words(dict):
+    """What follows a space -> its number in ``Pieces``."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> int:
+        if self.pieces.white.match(word):
+            raise Blank
+        number = self[word] = self.pieces.segment(" " + word)
+        return number
+
+
+class Pieces:
+    """Numbers of pieces, in the order in which they are met; ``new``: those met since that list was emptied. Where the pattern is ``SPACED``, a text is
+    looked up by its words; a word that is several pieces has the complement of its place in ``sizes`` for a number."""
+
+    def __init__(self, pattern: str, known: Iterable[str] = ()):
+        self.pattern, self.white, self.space = regex.compile(pattern), regex.compile(r"\s|$"), regex.compile(r" (?=\S)")
+        self.spaced = pattern == SPACED
+        self.words, self.others, self.n = Words(self), {}, 0
+        self.sizes, self.parts = array("i"), array("i")
+        self.new: list[str] = []
+        for piece in known:
+            self.number(piece)
+        self.new.clear()
+
+    def __len__(self) -> int:
+        return len(self.words) + len(self.others)
+
+    def number(self, piece: str) -> int:
+        follows = self.spaced and piece.startswith(" ") and not self.white.match(piece, 1)
+        held, key = (self.words, piece[1:]) if follows else (self.others, piece)
+        number = held.get(key)
+        if number is None:
+            number = held[key] = self.n
+            self.n += 1
+            self.new.append(piece)
+        return number
+
+    def segment(self, text: str) -> int:
+        found = [self.number(x) for x in self.pattern.findall(text)]
+        if len(found) == 1:
+            return found[0]
+        self.sizes.append(len(found))
+        self.parts.extend(found)
+        return ~(len(self.sizes) - 1)
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the pieces of texts (null: none), behind one another, and where each text ends."""
+        found, ends = array("i"), []
+        for text in texts:
+            text, before = text or "", len(found)
+            if not self.spaced:
+                found.extend([self.number(x) for x in self.pattern.findall(text)])
+            else:
+                head, *rest = text.split(" ")
+                try:
+                    found.extend(map(self.words.__getitem__, rest))
+                except Blank:
+                    del found[before:]
+                    head, *rest = self.space.split(text)
+                    found.extend(map(self.words.__getitem__, rest))
+                if head not in self.others:
+                    self.others[head] = self.segment(head)
+                found.insert(before, self.others[head])
+            ends.append(len(found))
+        return self.flat(np.array(found, np.int32), np.array([0, *ends]))
+
+    def flat(self, found: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        several = found < 0
+        sizes = np.array(self.sizes, np.int64)
+        which, size = ~found[several], np.ones(len(found), np.int64)
+        size[several] = n = sizes[which]
+        places, total = np.repeat(found, size), np.concatenate([[0], np.cumsum(size)])
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first = np.cumsum(sizes) - sizes
+        places[np.repeat(total[:-1][several], n) + within] = np.array(self.parts, np.int32)[np.repeat(first[which], n) + within]
+        return places, total[ends[1:]]
+
+
+def beside(arrays: tuple[np.ndarray, ...]) -> list[pa.ListArray]:
+    """The columns of ``RANKS`` for one row."""
+    return [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, pa.int64())) for x in arrays]
+
+
 def known_pieces(docs: DataFrame, tokenizer: Tokenizer, texts: int = SAMPLE_TEXTS) -> Known:
     """The folded pieces of about so many texts, of each bucket of pieces no more than its share of ``SAMPLE_PIECES``; none where texts are few."""
     none = Known(np.empty(0, np.int64), np.empty(0, np.int64), b"", np.empty(0, "<i4"))
@@ -247,19 +343,22 @@ def known_pieces(docs: DataFrame, tokenizer: Tokenizer, texts: int = SAMPLE_TEXT
     if share < 4:
         return none
     cutter, buckets = Cutter(tokenizer), 16
+    sent = docs.sparkSession.sparkContext.broadcast(tokenizer.arrays)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern, found = regex.compile(cutter.pattern), set()
+        found = Pieces(cutter.pattern)
         for batch in batches:
-            for text in batch["text"].to_pylist():
+            for b in cut(batch, "text", BLOCK_BYTES, BLOCK_TEXTS):
                 if len(found) < MOST_PIECES:
-                    found.update(pattern.findall(text or ""))
-        words = [w for x in found if len(w := x.encode()) <= SAMPLE_BYTES]
+                    found.of(b["text"].to_pylist())
+        words = [w for x in found.new if len(w := x.encode()) <= SAMPLE_BYTES]
         for k in range(0, len(words), 20_000):
             yield pa.RecordBatch.from_arrays([pa.array(words[k : k + 20_000], pa.binary())], ["piece"])
+        del found, words
+        release()
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = SAMPLE_PIECES // buckets
+        left, ranks = SAMPLE_PIECES // buckets, beside(sent.value)
         for batch in batches:
             words = batch["piece"].to_pylist()[:left]
             left -= len(words)
@@ -268,7 +367,8 @@ def known_pieces(docs: DataFrame, tokenizer: Tokenizer, texts: int = SAMPLE_TEXT
                 inner = starts_of(some, cutter)
                 pieces = pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)
                 sizes = np.array([*map(len, some)], "<i4").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([sizes], pa.binary()), pa.array([b"".join(some)], pa.binary()), pieces], ["sizes", "text", "pieces"])
+                row = [pa.array([sizes], pa.binary()), pa.array([b"".join(some)], pa.binary()), pieces, *ranks]
+                yield pa.RecordBatch.from_arrays(row, ["sizes", "text", "pieces", "table", "shift", "early"])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -281,11 +381,10 @@ def known_pieces(docs: DataFrame, tokenizer: Tokenizer, texts: int = SAMPLE_TEXT
     # no more rows of a piece than tasks; those of most tasks first
     pieces = some.mapInArrow(met, "piece binary").groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     pieces = pieces.repartition(buckets, "piece").sortWithinPartitions(F.desc("n")).select("piece")
-    # stored, so that the plan that holds the literals has no exchange and is made once
-    starts = stage(pieces.mapInArrow(listed, "sizes binary, text binary, pieces array<array<bigint>>"), "known-pieces")
+    starts = pieces.mapInArrow(listed, f"sizes binary, text binary, pieces array<array<bigint>>, {RANKS}")
     folded = starts.select("sizes", "text", tokenizer.encode(F.col("pieces")).alias("tokens"))
     rows = folded.mapInArrow(packed, "sizes binary, text binary, lengths binary, ids binary").collect()  # some MB
-    unstage(starts)
+    sent.unpersist()
     numbers = lambda name: np.frombuffer(b"".join(r[name] for r in rows), "<i4")
     return Known(numbers("sizes"), numbers("lengths"), b"".join(bytes(r["text"]) for r in rows), numbers("ids"))
 
@@ -293,32 +392,32 @@ def known_pieces(docs: DataFrame, tokenizer: Tokenizer, texts: int = SAMPLE_TEXT
 def encoded(docs: DataFrame, tokenizer: Tokenizer, sample: int = SAMPLE_TEXTS) -> DataFrame:
     """(doc_id, ids binary of little-endian 32-bit integers, decoded binary), one row per row."""
     cutter = Cutter(tokenizer)
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(known_pieces(docs, tokenizer, sample)))  # of a bounded size
+    known = known_pieces(docs, tokenizer, sample)
+    sent = docs.sparkSession.sparkContext.broadcast((*known, tokenizer.arrays, tokenizer.names, tokenizer.name_sizes))  # of a bounded size
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = regex.compile(cutter.pattern)
-        sizes, _, known_text, _ = sent.value
-        known = places_of(sizes, known_text)
-        place = known.copy()
+        sizes, _, known_text, _, arrays, *_ = sent.value
+        met, ranks = Pieces(cutter.pattern, places_of(sizes, known_text)), beside(arrays)
         for batch in batches:
             for b in cut(batch, "text", BLOCK_BYTES, BLOCK_TEXTS):
-                if len(place) > MOST_PIECES:
-                    place = known.copy()
-                before = len(place)
-                found, ends = array("i"), []
-                for text in b["text"].to_pylist():
-                    found.extend([place.setdefault(x, len(place)) for x in pattern.findall(text or "")])
-                    ends.append(len(found))
-                words = [x.encode() for x in islice(place, before, None)]
-                inner = starts_of(words, cutter)
-                row = [[b["doc_id"].to_pylist()], [ends], [found.tobytes()], [before]]
+                if len(met) > MOST_PIECES:
+                    met = Pieces(cutter.pattern, places_of(sizes, known_text))
+                before = met.n
+                places, ends = met.of(b["text"].to_pylist())
+                inner = starts_of([x.encode() for x in met.new], cutter)
+                met.new.clear()
+                row = [[b["doc_id"].to_pylist()], [ends], [places.tobytes()], [before]]
                 kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int64())
                 new = pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, row, kinds), new], ["doc_ids", "ends", "places", "before", "pieces"])
+                names = ["doc_ids", "ends", "places", "before", "pieces", "table", "shift", "early"]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, row, kinds), new, *ranks], names)
+        del met
+        release()
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, lengths, _, ids = sent.value
+        _, lengths, _, ids, _, bytes_of, name_sizes = sent.value
         values, length = ids, lengths.astype(np.int64)
+        names = binaries(bytes_of, np.concatenate([[0], np.cumsum(name_sizes)]))
         for batch in batches:
             for k in range(batch.num_rows):
                 if batch["before"][k].as_py() == len(lengths):
@@ -335,14 +434,18 @@ def encoded(docs: DataFrame, tokenizer: Tokenizer, sample: int = SAMPLE_TEXTS) -
                 at = np.repeat(first[places] - total[:-1], n) + np.arange(total[-1])
                 ends = np.array([0, *batch["ends"][k].as_py()], np.int64)
                 got, cuts = values[at], total[ends]
-                listed = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(got, pa.int32()))
-                packed = pa.array([got[a:z].tobytes() for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(batch["doc_ids"][k].as_py(), pa.int64()), packed, listed], ["doc_id", "ids", "listed"])
-
-    columns = "doc_ids array<bigint>, ends array<bigint>, places binary, before bigint, pieces array<array<bigint>>"
-    coded = docs.select("doc_id", "text").mapInArrow(pieces, columns).withColumn("tokens", tokenizer.encode(F.col("pieces"))).drop("pieces")
-    told = coded.mapInArrow(put_together, "doc_id bigint, ids binary, listed array<int>")
-    return told.select("doc_id", "ids", tokenizer.decode(F.col("listed")).alias("decoded"))
+                said = names.take(pa.array(got, pa.int32()))
+                # the looked-up bytes lie behind one another, so that a text is a cut of them
+                place = np.concatenate([[0], np.cumsum(name_sizes[got], dtype=np.int64)])[cuts]
+                decoded = binaries(said.buffers()[2] or b"", place)
+                yield pa.RecordBatch.from_arrays([pa.array(batch["doc_ids"][k].as_py(), pa.int64()), binaries(got.tobytes(), 4 * cuts), decoded], ["doc_id", "ids", "decoded"])
+        del values, length
+        release()
+
+    columns = f"doc_ids array<bigint>, ends array<bigint>, places binary, before bigint, pieces array<array<bigint>>, {RANKS}"
+    coded = docs.select("doc_id", "text").mapInArrow(pieces, columns)
+    coded = coded.select("doc_ids", "ends", "places", "before", tokenizer.encode(F.col("pieces")).alias("tokens"))
+    return coded.mapInArrow(put_together, "doc_id bigint, ids binary, decoded binary")
 
 
 def digests(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:

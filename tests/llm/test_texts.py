@@ -9,6 +9,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -290,3 +291,30 @@ def test_pieces_folded_beforehand_change_nothing(spark, odd):
     assert len(bpe.known_pieces(docs, t, 100).sizes) == 0  # few texts
     with_it = sorted(map(str, bpe.encoded(docs, t, 10).select("doc_id", "ids", "decoded").collect()))
     assert with_it == sorted(map(str, bpe.encoded(docs, t, 10**9).select("doc_id", "ids", "decoded").collect()))
+
+
+def test_texts_looked_up_by_words_have_the_pieces_of_the_pattern():
+    """Where pieces begin at blanks, texts are cut by blanks; all runs of white space, and words of several pieces, must come out as the pattern cuts them."""
+    import public_tokenizers
+
+    assert public_tokenizers.PATTERN == bpe.SPACED
+    rng = np.random.default_rng(11)
+    signs = [" ", " ", " ", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "\u2028", "'", "s", "ll", "a", "Ä", "7", "½", "-", "🙂", "\u0301", "汉"]
+    texts = [None, "", " ", "  ", " a", "a ", "a  b", "a \n b", "\n a", " \x85a", "it's 's  'll "] + ["".join(rng.choice(signs, rng.integers(1, 25))) for _ in range(3_000)]
+    for pattern in (bpe.SPACED, r"\S+|\s"):
+        known = ["a", " a", "  ", " 's", "never"] if pattern == bpe.SPACED else ["a", "never"]
+        met = bpe.Pieces(pattern, known)
+        plain, names, last = regex.compile(pattern), list(known), 0
+        for k in range(0, len(texts), 100):
+            places, ends = met.of(texts[k : k + 100])
+            names += met.new
+            met.new.clear()
+            assert len(names) == met.n == len(set(names))
+            cuts = [0, *ends.tolist()]
+            assert [[names[p] for p in places[a:z]] for a, z in zip(cuts, cuts[1:])] == [plain.findall(x or "") for x in texts[k : k + 100]]
+
+
+def test_no_plan_holds_the_ranks(spark):
+    """The driver keeps the texts of plans; the ranks were some MB of literals in them."""
+    got = bpe.digests(spark.createDataFrame([(1, "a text")], "doc_id long, text string"), tokenizer())
+    assert len(got._jdf.queryExecution().analyzed().toJSON()) < 500_000
