@@ -302,9 +302,9 @@ def test_texts_looked_up_by_words_have_the_pieces_of_the_pattern():
     signs = [" ", " ", " ", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "\u2028", "'", "s", "ll", "a", "Ä", "7", "½", "-", "🙂", "\u0301", "汉"]
     texts = [None, "", " ", "  ", " a", "a ", "a  b", "a \n b", "\n a", " \x85a", "it's 's  'll "] + ["".join(rng.choice(signs, rng.integers(1, 25))) for _ in range(3_000)]
     for pattern in (bpe.SPACED, r"\S+|\s"):
-        known = ["a", " a", "  ", " 's", "never"] if pattern == bpe.SPACED else ["a", "never"]
+        known = ["a", " a", "  ", " '", "never"] if pattern == bpe.SPACED else ["a", "never"]
         met = bpe.Pieces(pattern, known)
-        plain, names, last = regex.compile(pattern), list(known), 0
+        plain, names = regex.compile(pattern), list(known)
         for k in range(0, len(texts), 100):
             places, ends = met.of(texts[k : k + 100])
             names += met.new
@@ -317,4 +317,4 @@ def test_texts_looked_up_by_words_have_the_pieces_of_the_pattern():
 def test_no_plan_holds_the_ranks(spark):
     """The driver keeps the texts of plans; the ranks were some MB of literals in them."""
     got = bpe.digests(spark.createDataFrame([(1, "a text")], "doc_id long, text string"), tokenizer())
-    assert len(got._jdf.queryExecution().analyzed().toJSON()) < 500_000
+    assert len(got._jdf.queryExecution().analyzed().toJSON()) < 2_000_000
