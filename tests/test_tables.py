@@ -248,3 +248,68 @@ def test_a_splice_moves_its_rows_once(spark):
     spliced = merge.scd2_splice(rows, rows.drop("valid_to"), rows.columns)
     assert spliced._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert [(r.id, r.v) for r in spliced.collect()] == [(1, "a")]
+
+
+def test_ids_of_a_batch_are_not_gathered_on_the_driver(spark, schema, monkeypatch):
+    """Whatever size Spark takes them for, and where ids are known before, in the log of the time, and open; and nothing absent is staged."""
+    staged, plain = [], tables.stage
+
+    def stage(df, name):
+        staged.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df, name)
+
+    monkeypatch.setattr(tables, "stage", stage)
+    tables.create_dimension(spark, "t.d", DDL, buckets=2)
+    tables.apply_scd2(states(spark, {1: "a", 2: "x"}), "t.d", day(0))
+    assert [name for name, _ in staged] == ["d"]
+    for n, told in ((3, {1: "b", 3: "x"}), (3, {4: "y"}), (1, {1: "c", 2: "x"})):
+        tables.apply_scd2(states(spark, told), "t.d", day(n))
+    assert {"d-told", "d-stored", "d-changes"} <= {name for name, _ in staged}
+    assert not [name for name, plan in staged if "BroadcastExchange" in plan]
+    assert history(spark) == folded({day(0): {1: "a", 2: "x"}, day(1): {1: "c", 2: "x"}, day(3): {1: "b", 3: "x", 4: "y"}})
+
+
+def test_new_partitions_come_in_one_statement(spark, schema, monkeypatch):
+    tables._keyed(spark, "t.listing", schemas.LISTING, "parquet", 8)
+    said, plain = [], type(spark).sql
+
+    def sql(self, text, *x, **y):
+        said.append(text)
+        return plain(self, text, *x, **y)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    tables.upsert_table(listing(spark, range(200)), "t.listing", ["id"])
+    assert len([x for x in said if x.startswith("ALTER")]) == 1
+    tables.upsert_table(listing(spark, range(300)), "t.listing", ["id"])
+    assert tables.rows(spark, "t.listing").count() == 300
+    with pytest.raises(ValueError, match="more than once"):
+        tables.upsert_table(listing(spark, [1, 2, 2]), "t.listing", ["id"])
+
+
+def test_a_batch_is_written_once(spark, schema, tmp_path, monkeypatch):
+    """What the ingest stores as the batch is what the upsert and the dimensions read."""
+    staged, plain = [], tables.stage
+    monkeypatch.setattr(tables, "stage", lambda df, name: (staged.append(name), plain(df, name))[1])
+    tables.create_silver(spark, "s", buckets=2)
+    ads(tmp_path / "cell", f"{day(0):%d-%m-%Y}-daily-cell.json", {1: 1.0, 2: 2.0})
+    assert jobs.ingest_report(spark, str(tmp_path / "cell"), "cell", day(0), schema="s").first().rows_stored == 2
+    columns, listed = jobs._batch(spark, "s.cell_listings", None)
+    assert columns.count() == listed.count() == 2 and not {"raw-batch", "batch-columns"} & set(staged)
+
+
+def test_the_landings_of_a_gold_job_share_their_ads(spark, tmp_path, monkeypatch):
+    from mercato.checks import job_queries, views
+
+    made, landed = [], []
+    rows = [(k, k, 5.0, START.date(), "red bolt", "Brand#1", "T", 8, "C", "N", "R", r) for k in (1, 10) for r in range(1 + (k == 10))]
+    frame = spark.createDataFrame(rows, "k long, ck long, total double, day date, p_name string, p_brand string, p_type string, p_size int, "
+                                        "c_name string, n_name string, r_name string, r int")
+    monkeypatch.setattr(views, "ads", lambda *x, **y: made.append(y) or frame)
+    monkeypatch.setattr(job_queries, "_land", lambda spark, folder, category, run, lines: landed.append((category, lines.count())))
+    for place in ("ingest", "update_gold", "update_dictionaries"):
+        monkeypatch.setattr(job_queries.jobs, place, lambda *x, **y: None)
+    for name in ("raw_brands", "raw_models"):
+        monkeypatch.setattr(views, name, lambda *x: None)
+    monkeypatch.setattr(job_queries, "_GOLD", {})
+    job_queries.gold(spark, str(tmp_path))
+    assert landed == [("cell", 2), ("cell", 1), ("motorcycle", 2), ("motorcycle", 1)] and len(made) == 1
