@@ -160,3 +160,8 @@ def test_no_text_is_sorted_to_drop_duplicates(spark):
     assert columns.count() == listing.count() == 1
     for df in (listings, columns, listing):
         assert not {"info", "title", "description", "Title", "Description"} & _sorted_columns(df)
+
+
+def test_a_place_is_searched_for_its_code_once(spark):
+    plan = dimensions.location(place(spark, "1 Main St, T2P 1J9"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("[A-Z][0-9][A-Z]") == 1

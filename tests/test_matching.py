@@ -251,3 +251,21 @@ def test_hits_are_found_once(spark):
     ):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert not [x for x in plan.split("\n") if "Filter" in x and "size(" in x and "pattern#" not in x]  # the dictionary is cut into words, too
+
+
+def test_word_runs(spark):
+    texts = frame(spark, [(1, "a"), (2, "a b c"), (3, ""), (4, "a b c d e")], "id int, text string")
+    got = texts.select("id", m.word_runs(F.split("text", " "), 3).alias("runs"))
+    for r in got.join(texts, "id").collect():
+        words = r.text.split(" ")
+        assert [tuple(x) for x in r.runs] == [(i, " ".join(words[i : i + k])) for k in (1, 2, 3) for i in range(len(words) - k + 1)]
+    assert "array_join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hits_of_texts_are_combined_by_hash(spark):
+    texts = frame(spark, [(1, "apple one two"), (2, "nothing")], "id int, text string")
+    models = frame(spark, [("Apple", "One", r"\bone\b", 3), ("Apple", "Two", r"\btwo\b", 3)], "brand string, model string, pattern string, length int")
+    found = m.brand_model(texts, brands(spark), models, keep_all=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[id#\d+, brand#", plan.replace("SortAggregate", "Sorted")) and not re.search(r"SortAggregate\(key=\[id#\d+, brand#", plan)
+    assert sorted(map(tuple, found.collect())) == [(1, "Apple", "One"), (2, None, None)]
